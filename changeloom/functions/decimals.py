@@ -10,19 +10,20 @@ _MAX_BYTES = 8
 
 
 def _signed_integer(raw: Column) -> Column:
-    """Big-endian two's-complement bytes (at most eight) as DECIMAL(20,0)."""
-    unsigned = F.conv(F.hex(raw), 16, 10).cast("decimal(20,0)")
-    negative = F.substring(F.hex(raw), 1, 1) >= F.lit("8")
-    span = F.pow(F.lit(256.0), F.length(raw)).cast("decimal(20,0)")
+    """Big-endian two's-complement bytes (at most eight) as BIGINT; null for longer ones."""
+    digits = F.hex(raw)
+    fill = F.when(digits >= "8", "F").otherwise("0")
+    # A negative base makes conv read the 64 bits as signed.
     return F.when(
-        F.length(raw) <= _MAX_BYTES, F.when(negative, unsigned - span).otherwise(unsigned)
+        F.length(raw) <= _MAX_BYTES,
+        F.conv(F.lpad(digits, F.lit(2 * _MAX_BYTES), fill), 16, -10).cast("bigint"),
     )
 
 
 def decode_base64(text: Column, scale: int = 2, precision: int = 12) -> Column:
     """Decoded value, or null for text that is not base64 or does not fit."""
     whole = _signed_integer(F.try_to_binary(text, F.lit("base64")))
-    scaled = whole * F.lit(Decimal(1).scaleb(-scale))
+    scaled = whole.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
     return scaled.try_cast(f"decimal({precision},{scale})")
 
 

@@ -10,11 +10,10 @@ from .text import WORD
 _SQL_FUNCTIONS = {
     "decode_cents(t STRING) RETURNS BIGINT": """
         COALESCE(
-          CASE WHEN length(try_to_binary(t, 'base64')) <= 8 THEN CAST(
-            CAST(conv(hex(try_to_binary(t, 'base64')), 16, 10) AS DECIMAL(20,0))
-            - CASE WHEN substring(hex(try_to_binary(t, 'base64')), 1, 1) >= '8'
-                   THEN CAST(power(256D, length(try_to_binary(t, 'base64'))) AS DECIMAL(20,0))
-                   ELSE 0 END AS BIGINT) END,
+          CASE WHEN length(try_to_binary(t, 'base64')) <= 8 THEN CAST(conv(
+            lpad(hex(try_to_binary(t, 'base64')), 16,
+                 CASE WHEN hex(try_to_binary(t, 'base64')) >= '8' THEN 'F' ELSE '0' END),
+            16, -10) AS BIGINT) END,
           0)""",
     "decode_money(t STRING) RETURNS DECIMAL(12,2)": """
         CAST(decode_cents(t) * 0.01 AS DECIMAL(12,2))""",

@@ -67,87 +67,114 @@ def is_delete(operation: Column, deleted: Column | None = None) -> Column:
     return gone if deleted is None else gone | (F.coalesce(deleted, F.lit("false")) == "true")
 
 
-def _typed(image: str, table: Table) -> Column:
-    """Row image with decoded money and times; only table columns survive."""
-    out = []
-    for name, kind in table.columns.items():
-        c = F.col(f"{image}.{name}")
-        if isinstance(kind, T.DecimalType):
-            c = parse_amount(c, table.wire.get(name, "base64"), kind.scale, kind.precision)
-        elif isinstance(kind, T.TimestampType):
-            c = parse_time(c)
-        out.append(c.alias(name))
-    return F.struct(*out)
+def _decoded(text: Column, name: str, table: Table) -> Column:
+    """A column of the table from its wire text."""
+    kind = table.columns[name]
+    if isinstance(kind, T.DecimalType):
+        text = parse_amount(text, table.wire.get(name, "base64"), kind.scale, kind.precision)
+    elif isinstance(kind, T.TimestampType):
+        text = parse_time(text)
+    return text.alias(name)
+
+
+def _parsed_once(df: DataFrame, keep: list[str], value: str, row: T.StructType | None) -> DataFrame:
+    """``_event`` parsed from the text.  The one-element explode keeps the optimizer from
+    copying the parser into every filter and column that reads it."""
+    event = F.from_json(F.col(value), _event_schema(row))
+    return df.select(*keep, F.explode(F.array(event)).alias("_event"))
 
 
 def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
     """Operation, table and event time only, without decoding row images."""
-    event = F.from_json(F.col(value), _event_schema(None))
-    return (
-        df.withColumn("_event", event)
-        .withColumns({
-            "operation": op_type(),
-            "table": source_table(),
-            "ts_ms": source_ms(),
-            "corrupt": F.col(value).isNotNull() & F.col(f"_event.{CORRUPT}").isNotNull(),
-        })
-        .withColumn("event_ts", event_time(F.col("ts_ms")))
-        .drop("_event")
+    event = _parsed_once(df, df.columns, value, None)
+    return event.select(
+        *df.columns,
+        op_type().alias("operation"),
+        source_table().alias("table"),
+        source_ms().alias("ts_ms"),
+        event_time(source_ms()).alias("event_ts"),
+        (F.col(value).isNotNull() & F.col(f"_event.{CORRUPT}").isNotNull()).alias("corrupt"),
     )
 
 
-def parse_changes(
-    df: DataFrame, table: Table | str, value: str = "value", fallback: Column | None = None
-) -> DataFrame:
-    """Canonical events: ``operation, table, ts_ms, event_ts, before, after`` plus other columns.
+def _images(
+    df: DataFrame, table: Table, value: str, fallback: Column | None
+) -> tuple[DataFrame, list[str]]:
+    """Event fields, and both row images as wire text in ``_before_*`` and ``_after_*``.
 
-    A row marked deleted travels in ``before``, any other flattened row in ``after``.  Tombstones
-    and malformed text give no event; ``split_valid`` tells them apart.
+    A row marked deleted travels in ``before``, any other flattened row in ``after``.
     """
-    table = TABLES[table] if isinstance(table, str) else table
     keep = [c for c in df.columns if c != value]
-    event = F.from_json(F.col(value), _event_schema(table.wire_schema))
-    parsed = df.select(*keep, event.alias("_event")).filter(
+    parsed = _parsed_once(df, keep, value, table.wire_schema).filter(
         F.col("_event").isNotNull() & F.col(f"_event.{CORRUPT}").isNull()
     )
-    parsed = parsed.select(
+    standard = _either("_event", "op").isNotNull() & _either("_event", "__op").isNull()
+    gone = is_delete(op_type(), _either("_event", "__deleted"))
+    # Only one of image and flat row exists in an event, so the first non-null one is the value.
+    images = [
+        F.coalesce(*[
+            F.col(f"_event.{path}{n}") for path in
+            (f"payload.{image}.", f"{image}.", "payload.", "")
+        ]).alias(f"_{image}_{n}")
+        for image in ("before", "after") for n in table.columns
+    ]
+    rows = parsed.select(
         *keep,
         op_type().alias("operation"),
         source_table().alias("table"),
         source_ms().alias("ts_ms"),
-        _either("_event", "__op").isNotNull().alias("_flat"),
-        _either("_event", "op").isNotNull().alias("_images"),
-        _either("_event", "__deleted").alias("_deleted"),
-        F.when(F.col("_event.payload").isNotNull(), F.col("_event.payload"))
-        .otherwise(F.struct(*[F.col(f"_event.{f.name}") for f in _event_schema(table.wire_schema)["payload"].dataType.fields]))
-        .alias("_body"),
-    )
-    gone = is_delete(F.col("operation"), F.col("_deleted"))
-    standard = F.col("_images") & ~F.col("_flat")
-    row = _typed("_body", table)
-    before = F.when(standard & F.col("_body.before").isNotNull(), _typed("_body.before", table)).when(
-        ~standard & gone, row
-    )
-    after = F.when(standard & F.col("_body.after").isNotNull(), _typed("_body.after", table)).when(
-        ~standard & ~gone, row
+        event_time(source_ms(), fallback).alias("event_ts"),
+        F.when(standard, _either("_event", "before").isNotNull()).otherwise(gone).alias("_has_old"),
+        F.when(standard, _either("_event", "after").isNotNull()).otherwise(~gone).alias("_has_new"),
+        *images,
     )
-    return parsed.select(
-        *keep,
-        "operation",
-        "table",
-        "ts_ms",
-        event_time(F.col("ts_ms"), fallback).alias("event_ts"),
-        before.alias("before"),
-        after.alias("after"),
+    return rows, [*keep, "operation", "table", "ts_ms", "event_ts"]
+
+
+def parse_changes(
+    df: DataFrame, table: Table | str, value: str = "value", fallback: Column | None = None
+) -> DataFrame:
+    """Canonical events: ``operation, table, ts_ms, event_ts, before, after`` plus other columns.
+
+    Tombstones and malformed text give no event; ``split_valid`` tells them apart.
+    """
+    table = TABLES[table] if isinstance(table, str) else table
+    rows, kept = _images(df, table, value, fallback)
+
+    def image(name: str) -> Column:
+        return F.struct(*[_decoded(F.col(f"_{name}_{c}"), c, table) for c in table.columns])
+
+    return rows.select(
+        *kept,
+        F.when(F.col("_has_old"), image("before")).alias("before"),
+        F.when(F.col("_has_new"), image("after")).alias("after"),
     )
 
 
-def change_rows(parsed: DataFrame, *extra: str) -> DataFrame:
-    """Flatten events to ``operation, event_ts, ts_ms`` and the row (new image, else old)."""
-    image = F.coalesce(F.col("after"), F.col("before"))
-    fields = parsed.schema["after"].dataType.fieldNames()
-    return parsed.withColumn("_row", image).select(
-        "operation", "event_ts", "ts_ms", *extra, *[F.col(f"_row.{f}").alias(f) for f in fields]
+def parse_rows(
+    df: DataFrame, table: Table | str, value: str = "value", fallback: Column | None = None,
+    old: Iterable[str] = (),
+) -> DataFrame:
+    """Events as flat rows: the new image, or the old one of a delete, under the table's columns.
+
+    Equal to flattening ``parse_changes``, but each column stands alone, so unused ones are
+    neither decoded nor carried.  ``old`` adds ``old_<column>`` from the old image.
+    """
+    table = TABLES[table] if isinstance(table, str) else table
+    rows, kept = _images(df, table, value, fallback)
+    picked = rows.select(
+        *kept,
+        *[
+            F.when(F.col("_has_new"), F.col(f"_after_{c}"))
+            .when(F.col("_has_old"), F.col(f"_before_{c}")).alias(c)
+            for c in table.columns
+        ],
+        *[F.when(F.col("_has_old"), F.col(f"_before_{c}")).alias(f"old_{c}") for c in old],
+    )
+    return picked.select(
+        *kept,
+        *[_decoded(F.col(c), c, table) for c in table.columns],
+        *[_decoded(F.col(f"old_{c}"), c, table).alias(f"old_{c}") for c in old],
     )
 
 

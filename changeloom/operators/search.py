@@ -42,7 +42,7 @@ def search_index(
     changes: DataFrame, ordering: Sequence[str] = ("event_ts",),
     indexed_at: datetime | str | Column | None = None,
 ) -> DataFrame:
-    """Documents of the current products: rows of ``change_rows`` with deletes applied.
+    """Documents of the current products: rows of ``parse_rows`` with deletes applied.
 
     Text is tokenised after the fold, so each product is tokenised once.
     """

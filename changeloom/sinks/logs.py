@@ -29,10 +29,10 @@ def archive(
     """
     rows = archive_rows(df, value)
     if not df.isStreaming:
-        # Cluster rows by folder so that each task opens few files; days spread one hot table.
-        rows.repartition("table", "event_date", F.pmod(F.xxhash64(value), F.lit(16))).write.mode(
-            "append"
-        ).partitionBy("table", "event_date").parquet(root)
+        # Rows of a folder meet in few tasks, and adaptive execution splits folders that are large.
+        rows.hint("rebalance", F.col("table"), F.col("event_date")).write.mode("append").partitionBy(
+            "table", "event_date"
+        ).parquet(root)
         return None
     return (
         rows.writeStream.format("parquet")

@@ -48,14 +48,21 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items.  (order, line) repeats here, so events are ordered by line and quantity too."""
+    """Line items.  (order, line) repeats here, so events are ordered by line and quantity too.
+
+    The unit price is the line price over the quantity, rounded half up in whole cents.
+    """
     day = F.col("l_shipdate").cast("timestamp")
+    unit_cents = F.expr(
+        "(2 * cast(round(l_extendedprice * 100) AS BIGINT) + cast(l_quantity AS BIGINT))"
+        " div (2 * cast(l_quantity AS BIGINT))"
+    )
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(12,2)").alias("price"),
+        (unit_cents.cast("decimal(12,0)") / 100).cast("decimal(12,2)").alias("price"),
         day.alias("created_at"),
         day.alias("event_ts"),
     )

@@ -1,13 +1,13 @@
 """Streaming twins of the operators, and how to run them.
 
-Every pipeline takes parsed rows (``change_rows`` after the operation filter) as a streaming
+Every pipeline takes parsed rows (``parse_rows`` after the operation filter) as a streaming
 DataFrame and returns one; ``start`` and ``run`` attach a sink with checkpoint and trigger.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,6 +27,10 @@ WATERMARK = "10 minutes"
 FLUSH = "300 seconds"  # fixed value: report interval
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def with_event_time(df: DataFrame, delay: str = WATERMARK, ts: str = "event_ts") -> DataFrame:
     """Event time with a watermark; later rows are dropped by windowed operators."""
     return df.withWatermark(ts, delay)
@@ -154,7 +158,7 @@ def inventory_stream(
 
 
 def rfm_stream(
-    orders: DataFrame, root: str, checkpoint: str, as_of: Callable[[], datetime] = datetime.utcnow,
+    orders: DataFrame, root: str, checkpoint: str, as_of: Callable[[], datetime] = utc_now,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep customer segments in a keyed table under ``root``.
@@ -182,7 +186,7 @@ def latest_stream(changes: DataFrame, key: str, ordering: Sequence[str]) -> Data
 def report_stream(
     report: DataFrame, key: str, version: str, name: str, root: str, checkpoint: str,
     top: Callable[[DataFrame], DataFrame] = lambda df: df, trigger: dict | None = None,
-    now: Callable[[], datetime] = datetime.utcnow,
+    now: Callable[[], datetime] = utc_now,
 ) -> StreamingQuery:
     """A cumulative report over a stream, flushed at every trigger.
 
