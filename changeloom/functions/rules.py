@@ -38,9 +38,13 @@ def velocity(units: Column) -> Column:
     return F.coalesce(units, F.lit(0)).cast("double") / F.lit(float(VELOCITY_DAYS))
 
 
-def days_left(stock: Column, speed: Column) -> Column:
-    """Days until stock-out; the sentinel if nothing sells."""
-    return F.when(speed > 0, stock.cast("double") / speed).otherwise(F.lit(float(NEVER_DAYS)))
+def days_left(stock: Column, units: Column) -> Column:
+    """Days until stock-out from the units sold in the velocity window; the sentinel if none.
+
+    One division of whole numbers: halves that decide a rounding stay exact.
+    """
+    whole = (stock * VELOCITY_DAYS).cast("double")
+    return F.when(units > 0, whole / units.cast("double")).otherwise(F.lit(float(NEVER_DAYS)))
 
 
 def days_left_output(days: Column) -> Column:

@@ -84,17 +84,25 @@ def _parsed_once(df: DataFrame, keep: list[str], value: str, row: T.StructType |
     return df.select(*keep, F.explode(F.array(event)).alias("_event"))
 
 
+def _with_metadata(df: DataFrame, value: str, prefix: str) -> DataFrame:
+    """Metadata of each message under ``prefix`` names, next to the other columns."""
+    found = {
+        "operation": op_type(),
+        "table": source_table(),
+        "ts_ms": source_ms(),
+        "event_ts": event_time(source_ms()),
+        "corrupt": F.col(value).isNotNull() & F.col(f"_event.{CORRUPT}").isNotNull(),
+    }
+    names = {prefix + n for n in found}
+    keep = [c for c in df.columns if c not in names]
+    return _parsed_once(df, keep, value, None).select(
+        *keep, *[c.alias(prefix + n) for n, c in found.items()]
+    )
+
+
 def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
     """Operation, table and event time only, without decoding row images."""
-    event = _parsed_once(df, df.columns, value, None)
-    return event.select(
-        *df.columns,
-        op_type().alias("operation"),
-        source_table().alias("table"),
-        source_ms().alias("ts_ms"),
-        event_time(source_ms()).alias("event_ts"),
-        (F.col(value).isNotNull() & F.col(f"_event.{CORRUPT}").isNotNull()).alias("corrupt"),
-    )
+    return _with_metadata(df, value, "")
 
 
 def _images(
@@ -102,9 +110,12 @@ def _images(
 ) -> tuple[DataFrame, list[str]]:
     """Event fields, and both row images as wire text in ``_before_*`` and ``_after_*``.
 
+    Other columns of the log stay, unless an event field has their name.
+
     A row marked deleted travels in ``before``, any other flattened row in ``after``.
     """
-    keep = [c for c in df.columns if c != value]
+    fields = {value, "operation", "table", "ts_ms", "event_ts", *table.columns}
+    keep = [c for c in df.columns if c not in fields]
     parsed = _parsed_once(df, keep, value, table.wire_schema).filter(
         F.col("_event").isNotNull() & F.col(f"_event.{CORRUPT}").isNull()
     )
@@ -192,9 +203,9 @@ def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFra
 
     Tombstones (null values) are in neither; count them with ``message_counts``.
     """
-    marked = read_metadata(df, value).filter(F.col(value).isNotNull())
-    bad = marked.filter("corrupt").select(*df.columns, F.lit("JSON decode error").alias("error"))
-    return marked.filter("not corrupt").select(*df.columns), bad
+    marked = _with_metadata(df, value, "_m_").filter(F.col(value).isNotNull())
+    bad = marked.filter("_m_corrupt").select(*df.columns, F.lit("JSON decode error").alias("error"))
+    return marked.filter("not _m_corrupt").select(*df.columns), bad
 
 
 def route(
@@ -204,14 +215,14 @@ def route(
 
     ``unknown='dlq'`` adds an entry ``unknown`` with the raw events of other tables.
     """
-    marked = read_metadata(df, value)
+    marked = _with_metadata(df, value, "_m_")
     names = list(tables)
     routed = {
-        t: parse_changes(marked.filter(F.col("table") == t).select(*df.columns), t, value)
+        t: parse_changes(marked.filter(F.col("_m_table") == t).select(*df.columns), t, value)
         for t in names
     }
     if unknown == "dlq":
-        other = ~F.col("corrupt") & ~F.col("table").isin(*names) & F.col(value).isNotNull()
+        other = ~F.col("_m_corrupt") & ~F.col("_m_table").isin(*names) & F.col(value).isNotNull()
         routed["unknown"] = marked.filter(other).select(
             *df.columns, F.lit("Processing failed").alias("error")
         )

@@ -167,7 +167,7 @@ def _insight(df: DataFrame, now: Column, *extra: str) -> DataFrame:
     stock = F.col("current_stock")
     sale, restock = F.timestamp_micros("_sale_us"), F.timestamp_micros("_restock_at")
     df = df.withColumn("_speed", rules.velocity(F.col("_units")))
-    df = df.withColumn("_days", rules.days_left(stock, F.col("_speed")))
+    df = df.withColumn("_days", rules.days_left(stock, F.col("_units")))
     speed, days = F.col("_speed"), F.col("_days")
     return df.select(
         "product_id",

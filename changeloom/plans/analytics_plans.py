@@ -441,7 +441,7 @@ def flat_insights(insights: DataFrame, *keys: str) -> DataFrame:
                TIMESTAMP '{STOCK_AS_OF}' AS now_ts
         FROM upto GROUP BY 1),
     two AS (SELECT *, CAST(u AS DOUBLE) / 7 AS v FROM one),
-    three AS (SELECT *, CASE WHEN v > 0 THEN CAST(cur AS DOUBLE) / v ELSE 999 END AS days FROM two)
+    three AS (SELECT *, CASE WHEN u > 0 THEN CAST(cur * 7 AS DOUBLE) / CAST(u AS DOUBLE) ELSE 999 END AS days FROM two)
     SELECT product_id, p.name AS product_name, CAST(p.price AS DOUBLE) AS price, {_INSIGHT_OUT}
     FROM three JOIN prod p ON p.id = product_id
     """,
@@ -468,7 +468,7 @@ HISTORY_SQL = _STOCK_LOG + f""",
                later AS (PARTITION BY product_id, us ORDER BY kind, order_id, line_number, quantity
                          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
     two AS (SELECT *, CAST(u AS DOUBLE) / 7 AS v FROM one),
-    three AS (SELECT *, CASE WHEN v > 0 THEN CAST(cur AS DOUBLE) / v ELSE 999 END AS days FROM two)
+    three AS (SELECT *, CASE WHEN u > 0 THEN CAST(cur * 7 AS DOUBLE) / CAST(u AS DOUBLE) ELSE 999 END AS days FROM two)
     SELECT product_id, event_kind, {ts_text("now_ts")} AS event_ts, {_INSIGHT_OUT} FROM three
 """
 
