@@ -28,8 +28,18 @@ STOCK_ROWS = (
 )
 
 
-def _batch(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values(order, kind="stable", ignore_index=True)
+def _batch(rows: Iterator[pd.DataFrame], order: list[str]) -> dict[str, np.ndarray]:
+    """The micro-batch of one key as arrays in event order; nulls sort first."""
+    parts = list(rows)
+    frame = parts[0] if len(parts) == 1 else pd.concat(parts)
+    keys = [np.nan_to_num(frame[c].to_numpy(float, na_value=np.nan), nan=-np.inf) for c in order[1:]]
+    at = np.lexsort([*reversed(keys), frame[order[0]].to_numpy(np.int64)])
+    return {c: frame[c].to_numpy()[at] for c in frame.columns}
+
+
+def _last(mask: np.ndarray) -> np.ndarray:
+    """Position of the last true entry up to each position, or -1."""
+    return np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1))
 
 
 def _since(times: np.ndarray, now: np.ndarray, width: int) -> np.ndarray:
@@ -54,8 +64,7 @@ class AnomalyProcessor(StatefulProcessor):
         known = self.state.get() if self.state.exists() else None
         n0, cents0, times0, amounts0 = known if known else (0, 0, [], [])
         batch = _batch(rows, ["event_us", "id"])
-        now = batch["event_us"].to_numpy(np.int64)
-        cents = batch["cents"].to_numpy(np.int64)
+        now, cents = batch["event_us"].astype(np.int64), batch["cents"].astype(np.int64)
 
         times = np.concatenate([np.asarray(times0, np.int64), now])
         at = len(times0) + np.arange(1, len(now) + 1)
@@ -92,8 +101,7 @@ class AnomalyProcessor(StatefulProcessor):
 
         reach = times[times > now[-1] - max(self.spike, self.rapid)]
         self.state.update((
-            int(n0 + len(now)), int(total[-1]), [int(t) for t in reach],
-            [int(a) for a in amounts[-self.limits.z_rows:]],
+            int(n0 + len(now)), int(total[-1]), reach.tolist(), amounts[-self.limits.z_rows:].tolist(),
         ))
 
     def close(self) -> None:
@@ -129,59 +137,53 @@ class InventoryProcessor(StatefulProcessor):
             self.state.get() if self.state.exists() else start
         )
         batch = _batch(rows, ["event_us", "kind", *self.ties])
-        now = batch["event_us"].to_numpy(np.int64)
-        is_set = batch["kind"].to_numpy() == 0
-        qty = np.where(is_set, 0, batch["qty"].fillna(0)).astype(np.int64)
-        given = batch["set"].fillna(0).to_numpy().astype(np.int64)
+        now, is_set = batch["event_us"].astype(np.int64), batch["kind"] == 0
+        qty, given = _whole(batch["qty"]), _whole(batch["set"])
         sold = np.cumsum(qty)
 
         # A product event at running total S0 lifts the ceiling to stock + S0 (see batch twin).
-        ceiling = pd.Series(np.where(is_set, given + sold, np.nan))
-        carried = ceiling.ffill().fillna(stock).to_numpy()
-        after = np.maximum(0, carried - sold).astype(np.int64)
+        shown = _last(is_set)
+        ceiling = np.where(shown >= 0, (given + sold)[shown], stock)
+        after = np.maximum(0, ceiling - sold)
         if not known:
-            after[: int(np.argmax(is_set)) if is_set.any() else len(after)] = 0
+            after[shown < 0] = 0
         before = np.concatenate([[stock], after[:-1]])
 
-        last_sale = pd.Series(np.where(is_set, np.nan, now)).ffill()
-        raised = is_set & (given > before)
-        last_restock = pd.Series(np.where(raised, now, np.nan)).ffill()
-        shown = batch[["name", "price_cents"]].where(pd.Series(is_set), axis=0).astype(object)
-        shown = shown.where(shown.notna(), None).ffill()
-        filled = pd.Series(np.where(is_set, 1.0, np.nan)).ffill().notna()
-
         times = np.concatenate([np.asarray(times0, np.int64), now])
         units = np.concatenate([np.asarray(units0, np.int64), qty])
         run = np.concatenate([[0], np.cumsum(units)])
         at = len(times0) + np.arange(1, len(now) + 1)
         recent = run[at] - run[_since(times, now, self.window)]
 
-        def or_state(values: pd.Series, old) -> pd.Series:
-            return values.astype("Int64") if old is None else values.fillna(old).astype("Int64")
+        def carried(values: np.ndarray, last: np.ndarray, old) -> np.ndarray:
+            return np.where(last >= 0, values.astype(object)[last], old)
 
-        out = pd.DataFrame({
+        names = carried(batch["name"], shown, name)
+        prices = carried(_whole(batch["price_cents"]), shown, price)
+        sales = carried(now, _last(~is_set), sale)
+        restocks = carried(now, _last(is_set & (given > before)), restock)
+        yield pd.DataFrame({
             "product_id": key[0],
             "event_kind": np.where(is_set, "product", "sale"),
             "event_us": now,
-            "name": shown["name"].where(filled, name),
-            "price_cents": pd.array(shown["price_cents"].where(filled, price), dtype="Int64"),
+            "name": names,
+            "price_cents": pd.array(prices, dtype="Int64"),
             "current_stock": after,
             "units": recent,
-            "sale_us": or_state(last_sale, sale),
-            "restock_us": or_state(last_restock, restock),
+            "sale_us": pd.array(sales, dtype="Int64"),
+            "restock_us": pd.array(restocks, dtype="Int64"),
         })
-        yield out
 
         keep = (times > now[-1] - self.window) & (units != 0)
-        last = out.iloc[-1]
-        as_int = lambda v: None if pd.isna(v) else int(v)
         self.state.update((
-            bool(known or is_set.any()),
-            None if pd.isna(last["name"]) else str(last["name"]),
-            as_int(last["price_cents"]), int(after[-1]),
-            as_int(last["sale_us"]), as_int(last["restock_us"]),
-            [int(t) for t in times[keep]], [int(u) for u in units[keep]],
+            bool(known or is_set.any()), names[-1], prices[-1], int(after[-1]), sales[-1], restocks[-1],
+            times[keep].tolist(), units[keep].tolist(),
         ))
 
     def close(self) -> None:
         pass
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    """Integers with 0 for null."""
+    return np.nan_to_num(values.astype(float), nan=0.0).astype(np.int64)
