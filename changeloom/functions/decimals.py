@@ -46,9 +46,8 @@ def parse_amount(text: Column, wire: str = "base64", scale: int = 2, precision:
 def encode_decimal(amount: Column, scale: int = 2) -> Column:
     """Inverse of the base64 form, with the fewest bytes that hold the value."""
     units = (amount * F.lit(10**scale)).cast("bigint")
-    n_bytes = F.lit(_MAX_BYTES)
-    for n in range(_MAX_BYTES - 1, 0, -1):
-        edge = 1 << (8 * n - 1)
-        n_bytes = F.when(units.between(-edge, edge - 1), n).otherwise(n_bytes)
-    digits = F.lpad(F.hex(units), 16, "0")
-    return F.base64(F.unhex(F.substring(digits, F.lit(17) - n_bytes * 2, n_bytes * 2)))
+    # Bits besides the sign: those of the value, or of its complement when it is negative.
+    bits = F.length(F.bin(units.bitwiseXOR(F.shiftright(units, 63))))
+    n_bytes = F.floor(bits / 8).cast("int") + 1
+    digits = F.lpad(F.hex(units), 2 * _MAX_BYTES, "0")
+    return F.base64(F.unhex(F.substring(digits, F.lit(2 * _MAX_BYTES + 1) - n_bytes * 2, n_bytes * 2)))

@@ -14,11 +14,6 @@ def tokenize(text: Column) -> Column:
     return F.sort_array(F.array_distinct(words))
 
 
-def merge_tokens(*lists: Column) -> Column:
-    """Distinct union of token lists, sorted."""
-    return F.sort_array(F.array_distinct(F.concat(*lists)))
-
-
 def cents(price: Column) -> Column:
     """Exact cents of a decimal price."""
     return (price * 100).cast("bigint")

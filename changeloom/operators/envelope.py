@@ -37,23 +37,24 @@ def _event_schema(row: T.StructType | None) -> T.StructType:
     )
 
 
-def _either(event: str, *path: str) -> Column:
-    """A field from the payload, or from the top level of a bare event."""
-    return F.coalesce(F.col(".".join([event, "payload", *path])), F.col(".".join([event, *path])))
+def _either(*paths: str) -> str:
+    """SQL for the first field found, in the payload or at the top level of a bare event."""
+    return f"coalesce({', '.join(f'_event.payload.{p}, _event.{p}' for p in paths)})"
 
 
-def op_type(event: str = "_event") -> Column:
-    return F.coalesce(_either(event, "__op"), _either(event, "op"), F.lit(UNKNOWN))
+# Expressions over ``_event`` are SQL text: a select list of them is one call into the JVM.
+_OPERATION = f"coalesce({_either('__op', 'op')}, '{UNKNOWN}')"
+_TABLE = f"coalesce({_either('__source_table', 'source.table')}, '{UNKNOWN}')"
+_SOURCE_MS = _either("__source_ts_ms", "ts_ms")
+_CORRUPT = f"_event.{CORRUPT} IS NOT NULL"
 
 
-def source_table(event: str = "_event") -> Column:
-    return F.coalesce(
-        _either(event, "__source_table"), _either(event, "source", "table"), F.lit(UNKNOWN)
-    )
+def op_type() -> Column:
+    return F.expr(_OPERATION)
 
 
-def source_ms(event: str = "_event") -> Column:
-    return F.coalesce(_either(event, "__source_ts_ms"), _either(event, "ts_ms"))
+def source_table() -> Column:
+    return F.expr(_TABLE)
 
 
 def event_time(ms: Column, fallback: Column | None = None) -> Column:
@@ -87,16 +88,16 @@ def _parsed_once(df: DataFrame, keep: list[str], value: str, row: T.StructType |
 def _with_metadata(df: DataFrame, value: str, prefix: str) -> DataFrame:
     """Metadata of each message under ``prefix`` names, next to the other columns."""
     found = {
-        "operation": op_type(),
-        "table": source_table(),
-        "ts_ms": source_ms(),
-        "event_ts": event_time(source_ms()),
-        "corrupt": F.col(value).isNotNull() & F.col(f"_event.{CORRUPT}").isNotNull(),
+        "operation": _OPERATION,
+        "table": _TABLE,
+        "ts_ms": _SOURCE_MS,
+        "event_ts": f"timestamp_millis({_SOURCE_MS})",
+        "corrupt": f"`{value}` IS NOT NULL AND {_CORRUPT}",
     }
     names = {prefix + n for n in found}
     keep = [c for c in df.columns if c not in names]
-    return _parsed_once(df, keep, value, None).select(
-        *keep, *[c.alias(prefix + n) for n, c in found.items()]
+    return _parsed_once(df, keep, value, None).selectExpr(
+        *[f"`{c}`" for c in keep], *[f"{sql} AS `{prefix}{n}`" for n, sql in found.items()]
     )
 
 
@@ -117,28 +118,26 @@ def _images(
     fields = {value, "operation", "table", "ts_ms", "event_ts", *table.columns}
     keep = [c for c in df.columns if c not in fields]
     parsed = _parsed_once(df, keep, value, table.wire_schema).filter(
-        F.col("_event").isNotNull() & F.col(f"_event.{CORRUPT}").isNull()
+        f"_event IS NOT NULL AND NOT ({_CORRUPT})"
     )
-    standard = _either("_event", "op").isNotNull() & _either("_event", "__op").isNull()
-    gone = is_delete(op_type(), _either("_event", "__deleted"))
-    # Only one of image and flat row exists in an event, so the first non-null one is the value.
-    images = [
-        F.coalesce(*[
-            F.col(f"_event.{path}{n}") for path in
-            (f"payload.{image}.", f"{image}.", "payload.", "")
-        ]).alias(f"_{image}_{n}")
-        for image in ("before", "after") for n in table.columns
-    ]
-    rows = parsed.select(
-        *keep,
-        op_type().alias("operation"),
-        source_table().alias("table"),
-        source_ms().alias("ts_ms"),
-        event_time(source_ms(), fallback).alias("event_ts"),
-        F.when(standard, _either("_event", "before").isNotNull()).otherwise(gone).alias("_has_old"),
-        F.when(standard, _either("_event", "after").isNotNull()).otherwise(~gone).alias("_has_new"),
-        *images,
+    standard = f"{_either('op')} IS NOT NULL AND {_either('__op')} IS NULL"
+    gone = f"({_OPERATION} = '{DELETE}' OR coalesce({_either('__deleted')}, 'false') = 'true')"
+    rows = parsed.selectExpr(
+        *[f"`{c}`" for c in keep],
+        f"{_OPERATION} AS operation",
+        f"{_TABLE} AS `table`",
+        f"{_SOURCE_MS} AS ts_ms",
+        f"timestamp_millis({_SOURCE_MS}) AS event_ts",
+        f"CASE WHEN {standard} THEN {_either('before')} IS NOT NULL ELSE {gone} END AS _has_old",
+        f"CASE WHEN {standard} THEN {_either('after')} IS NOT NULL ELSE NOT {gone} END AS _has_new",
+        # Only one of image and flat row exists in an event: the first non-null one is the value.
+        *[
+            f"{_either(f'{image}.{n}', n)} AS _{image}_{n}"
+            for image in ("before", "after") for n in table.columns
+        ],
     )
+    if fallback is not None:
+        rows = rows.withColumn("event_ts", F.coalesce("event_ts", fallback.cast("timestamp")))
     return rows, [*keep, "operation", "table", "ts_ms", "event_ts"]
 
 
@@ -173,14 +172,13 @@ def parse_rows(
     """
     table = TABLES[table] if isinstance(table, str) else table
     rows, kept = _images(df, table, value, fallback)
-    picked = rows.select(
-        *kept,
+    picked = rows.selectExpr(
+        *[f"`{c}`" for c in kept],
         *[
-            F.when(F.col("_has_new"), F.col(f"_after_{c}"))
-            .when(F.col("_has_old"), F.col(f"_before_{c}")).alias(c)
+            f"CASE WHEN _has_new THEN _after_{c} WHEN _has_old THEN _before_{c} END AS {c}"
             for c in table.columns
         ],
-        *[F.when(F.col("_has_old"), F.col(f"_before_{c}")).alias(f"old_{c}") for c in old],
+        *[f"CASE WHEN _has_old THEN _before_{c} END AS old_{c}" for c in old],
     )
     return picked.select(
         *kept,

@@ -52,21 +52,33 @@ def retain(df: DataFrame, days: int, as_of: datetime | str | Column, ts: str = "
     return df.filter(F.col(ts) >= start)
 
 
-def _status_moves(events: DataFrame, key: str, ordering: Sequence[str], max_rows: int | None) -> DataFrame:
-    """Updates as (old status, new status).
+def _status_steps(
+    events: DataFrame, key: str, ordering: Sequence[str], max_rows: int | None, inserts: bool
+) -> DataFrame:
+    """Count changes ``status, delta`` of all events, in one pass over the log.
 
-    The old status is that of the old image if the log has one, else the key's last known status.
+    An update takes one from the old status and adds one to the new; the old status is that of
+    the old image if the log has one, else the key's last known status.
     """
     has_old = "old_status" in events.columns
-    rows = events.filter(F.col(key).isNotNull())
 
     def body(d: DataFrame, scan) -> DataFrame:
-        d = scan.running(d, lasts={"_known": F.col("status")})
+        known = F.when(F.col(key).isNotNull(), F.col("status"))
+        d = scan.running(d, lasts={"_known": known})
         old = F.coalesce(F.col("old_status"), F.col("_known")) if has_old else F.col("_known")
         return d.select("operation", old.alias("old"), F.col("status").alias("new"))
 
-    moves = per_key(rows, key, ordering, body, max_rows)
-    return moves.filter((F.col("operation") == UPDATE) & F.col("old").isNotNull())
+    moves = per_key(events, key, ordering, body, max_rows)
+    moved = (F.col("operation") == UPDATE) & (F.col("old") != F.col("new"))
+
+    def step(hit: Column, status: Column, delta: int) -> Column:
+        return F.when(hit, F.struct(status.alias("status"), F.lit(delta).alias("delta")))
+
+    steps = [step(moved, F.col("old"), -1), step(moved, F.col("new"), 1)]
+    if inserts:
+        inserted = F.col("operation").isin(*OPS_REPORT)
+        steps.append(step(inserted, F.coalesce("new", F.lit("unknown")), 1))
+    return moves.select(F.explode(F.array_compact(F.array(*steps))).alias("s")).select("s.*")
 
 
 def status_deltas(
@@ -78,16 +90,8 @@ def status_deltas(
     ``events`` has ``operation, status``, the key and ordering columns, and ``old_status`` where
     the log carries old images.
     """
-    moves = _status_moves(events, key, ordering, max_rows).filter(F.col("old") != F.col("new"))
-    steps = moves.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("old").alias("status"), F.lit(-1).alias("delta")),
-                F.struct(F.col("new").alias("status"), F.lit(1).alias("delta")),
-            )
-        ).alias("s")
-    )
-    return steps.groupBy("s.status").agg(F.sum("s.delta").alias("delta"))
+    steps = _status_steps(events, key, ordering, max_rows, inserts=False)
+    return steps.groupBy("status").agg(F.sum("delta").alias("delta"))
 
 
 def order_status_distribution(
@@ -95,14 +99,5 @@ def order_status_distribution(
     max_rows: int | None = None,
 ) -> DataFrame:
     """Orders per status: +1 at insert, moved by updates."""
-    inserts = (
-        events.filter(F.col("operation").isin(*OPS_REPORT))
-        .groupBy(F.coalesce("status", F.lit("unknown")).alias("status"))
-        .agg(F.count(F.lit(1)).alias("delta"))
-    )
-    moves = status_deltas(events, key, ordering, max_rows)
-    return (
-        inserts.unionByName(moves)
-        .groupBy("status")
-        .agg(F.sum("delta").cast("bigint").alias("order_count"))
-    )
+    steps = _status_steps(events, key, ordering, max_rows, inserts=True)
+    return steps.groupBy("status").agg(F.sum("delta").alias("order_count"))

@@ -20,7 +20,8 @@ from .catalog import query, ts_text
 
 def order_log(spark: SparkSession, sf: str, layout: str = "wrapped") -> DataFrame:
     """Orders as a snapshot log, one JSON text per order."""
-    return changes.snapshot_as_changes(fixtures.orders(spark, sf), ORDERS, F.col("event_ts"), layout)
+    orders = fixtures.spread(fixtures.orders(spark, sf))
+    return changes.snapshot_as_changes(orders, ORDERS, F.col("event_ts"), layout)
 
 
 def order_rows(spark: SparkSession, sf: str, layout: str = "wrapped", ops=OPS_REPORT) -> DataFrame:
@@ -115,7 +116,7 @@ _STATUS_SQL = """
 
 
 def status_log(spark: SparkSession, sf: str, layout: str) -> DataFrame:
-    orders = fixtures.orders(spark, sf)
+    orders = fixtures.spread(fixtures.orders(spark, sf))
 
     def step(seq: int, op: str, status, old):
         return F.struct(
@@ -241,7 +242,7 @@ for _layout in ("wrapped", "bare", "standard"):
     ("ev",),
 )
 def _delete_images(spark, sf):
-    events = fixtures.order_events(spark, sf)
+    events = fixtures.spread(fixtures.order_events(spark, sf))
     log = changes.to_change_log(events, ORDERS, F.col("operation"), F.col("event_ts"))
     parsed = envelope.parse_changes(log, ORDERS)
     amount = F.coalesce("after.total_amount", "before.total_amount")
@@ -430,7 +431,7 @@ def _retained(spark, sf):
 )
 def _op_counts(spark, sf):
     log = changes.to_change_log(
-        fixtures.order_events(spark, sf), ORDERS, F.col("operation"), F.col("event_ts")
+        fixtures.spread(fixtures.order_events(spark, sf)), ORDERS, F.col("operation"), F.col("event_ts")
     )
     return reports.op_counts(envelope.read_metadata(log))
 
@@ -475,7 +476,7 @@ def _replayed_files(spark, sf):
 def _archived(spark, sf):
     root = scratch_path(spark, "archive")
     log = changes.to_change_log(
-        fixtures.order_events(spark, sf), ORDERS, F.col("operation"), F.col("event_ts")
+        fixtures.spread(fixtures.order_events(spark, sf)), ORDERS, F.col("operation"), F.col("event_ts")
     )
     archive(log, root)
     rows = spark.read.parquet(root)

@@ -29,7 +29,7 @@ _DOC_SQL = f"SELECT {_DOC}, array_to_string(tokens, ' ') AS search_tokens FROM i
 
 
 def product_index(spark: SparkSession, sf: str) -> DataFrame:
-    products = fixtures.products(spark, sf)
+    products = fixtures.spread(fixtures.products(spark, sf))
     updated = products.filter("id % 5 = 0").withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
     later = F.col("event_ts") + F.expr("INTERVAL 1 DAY")
     last = F.col("event_ts") + F.expr("INTERVAL 2 DAYS")
@@ -144,7 +144,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     signup: product events.  purchase: sold items.  view: item updates, which the stock service
     cannot handle.  click: JSON cut short.  error: tombstones, or orders (an unknown table there).
     """
-    events = fixtures.order_events(spark, sf)
+    events = fixtures.spread(fixtures.order_events(spark, sf))
     product = events.select(
         "id", F.col("status").alias("name"), F.col("status").alias("description"),
         F.col("total_amount").alias("price"), F.lit(1).alias("stock_quantity"),

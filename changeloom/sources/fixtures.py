@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy work per row to all cores when the input has fewer splits than cores.
+
+    A test table is a single row group and so a single task.  Input with more splits than cores,
+    as on a cluster, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = F.lit(OPENING).cast("timestamp")
     return table(spark, sf_dir, "part").select(
@@ -92,7 +104,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as products with long descriptions."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("name"),
         F.col("text").alias("description"),
