@@ -98,7 +98,7 @@ def sales_windows(
 
 
 def customer_sessions(orders: DataFrame, gap: str = "30 minutes", ts: str = "event_ts") -> DataFrame:
-    """A customer's orders grouped by inactivity: a pause of ``gap`` or more starts a new session.
+    """A customer's orders grouped by inactivity: a pause longer than ``gap`` starts a new session.
 
     Orders within one gap-wide slot always share a session, so each customer is first reduced to
     one row per slot, map-side; sessions are then islands of slots.
@@ -112,7 +112,7 @@ def customer_sessions(orders: DataFrame, gap: str = "30 minutes", ts: str = "eve
         F.sum("total_amount").alias("total_amount"),
     )
     by_time = Window.partitionBy("customer_id").orderBy("_slot")
-    starts = F.col("_first") - F.lag("_last").over(by_time) >= gap_us
+    starts = F.col("_first") - F.lag("_last").over(by_time) > gap_us
     islands = slots.withColumn(
         "_starts", F.coalesce(starts, F.lit(True)).cast("int")
     ).withColumn(
