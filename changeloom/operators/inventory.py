@@ -192,7 +192,8 @@ def inventory_insights(
 ) -> DataFrame:
     """One row per product as of a point in time; events after it are ignored."""
     now = as_timestamp(as_of)
-    log = _log(products, items, ties).filter(F.col("event_us") <= micros(now))
+    past = F.col("event_ts") <= now  # before the union, where it reaches the scans
+    log = _log(products.filter(past), items.filter(past), ties)
     found = per_key(log, "product_id", _order(ties), _stock_log, max_rows)
     is_sale = F.col("_kind") == 1
     recent = is_sale & (F.col("event_us") > micros(now) - _WEEK)
@@ -241,12 +242,12 @@ def inventory_history(
 
 def trending_products(items: DataFrame, as_of: datetime | str) -> DataFrame:
     """Velocity of the last 7 days against the 7 days before, fastest growth first."""
-    now = micros(as_timestamp(as_of))
-    at = micros(F.col("event_ts"))
-    recent = items.filter((at <= now) & (at > now - 2 * _WEEK))
+    now, at = as_timestamp(as_of), F.col("event_ts")
+    week = F.expr(f"INTERVAL {rules.VELOCITY_DAYS} DAYS")
+    recent = items.filter((at <= now) & (at > now - week - week))
     units = recent.groupBy("product_id").agg(
-        F.sum(F.when(at > now - _WEEK, F.col("quantity")).otherwise(0)).alias("_new"),
-        F.sum(F.when(at > now - _WEEK, F.lit(0)).otherwise(F.col("quantity"))).alias("_old"),
+        F.sum(F.when(at > now - week, F.col("quantity")).otherwise(0)).alias("_new"),
+        F.sum(F.when(at > now - week, F.lit(0)).otherwise(F.col("quantity"))).alias("_old"),
     )
     return units.select(
         "product_id",

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where an aggregate on the same key follows and needs a new shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 #: Keyed state of the streaming operators lives on executor disk, not on the heap.

@@ -58,8 +58,9 @@ def write_summary(summary: DataFrame, root: str, at: datetime, status: DataFrame
                 "order_status_breakdown"
             )
         )
-        # Both frames are a single row.
-        summary = summary.withColumn("_one", F.lit(1)).join(by_name.withColumn("_one", F.lit(1)), "_one")
+        # Two single rows become one.
+        both = summary.unionByName(by_name, allowMissingColumns=True)
+        summary = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
         fields.append(F.col("order_status_breakdown"))
     summary.select(
         F.lit("summary").alias("report_type"),
