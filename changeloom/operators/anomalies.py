@@ -48,7 +48,8 @@ def order_features(
     if "event_us" not in orders.columns:
         orders = orders.withColumn("event_us", micros(F.col("event_ts")))
     rows = orders.select("customer_id", "total_amount", *dict.fromkeys(["event_us", "id", *order]))
-    cents = (F.col("total_amount") * 100).cast("decimal(14,0)")
+    cents = (F.col("total_amount") * 100).cast("bigint")
+    squared = cents.cast("decimal(14,0)") * cents.cast("decimal(14,0)")
 
     def body(d: DataFrame, scan) -> DataFrame:
         d = scan.running(
@@ -61,14 +62,14 @@ def order_features(
                 "spike_count": (F.lit(1), duration_micros(limits.spike_window)),
                 "rapid_count": (F.lit(1), duration_micros(limits.rapid_window)),
             },
+            signed=False,
         )
-        return scan.trailing(
-            d, limits.z_rows, {"_n": F.lit(1), "_s": cents, "_q": cents * cents}
-        )
+        return scan.trailing(d, limits.z_rows, {"_n": F.lit(1), "_s": cents, "_q": squared})
 
     found = per_key(rows, "customer_id", order, body, max_rows)
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
-    spread = (n * q).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")
+    whole = s.cast("decimal(19,0)")
+    spread = (n * q).cast("decimal(38,0)") - (whole * whole).cast("decimal(38,0)")
     deviation = F.when(
         n > 1, F.sqrt(spread.cast("double") / (n * (n - 1)).cast("double")) / 100.0
     )

@@ -217,7 +217,7 @@ def inventory_history(
     log = _log(products, items, ties)
 
     def body(d: DataFrame, scan) -> DataFrame:
-        d = scan.rolling(d, "event_us", {"_units": (F.coalesce("_qty", F.lit(0)), _WEEK)})
+        d = scan.rolling(d, "event_us", {"_units": (F.coalesce("_qty", F.lit(0)), _WEEK)}, signed=False)
         d = _stock_log(d, scan)
         d = scan.running(
             d,

@@ -95,29 +95,36 @@ class Scan:
             *[F.first(c, ignorenulls=True).over(upto).alias(n) for n, c in (firsts or {}).items()],
         )
 
-    def rolling(self, df: DataFrame, at: str, frames: Mapping[str, tuple[Column, int]]) -> DataFrame:
+    def rolling(
+        self, df: DataFrame, at: str, frames: Mapping[str, tuple[Column, int]], signed: bool = True
+    ) -> DataFrame:
         """Add sums over the rows with ``at`` in (now − width, now], up to the current row.
 
         ``at`` is an integer column and the leading order column; ``frames`` maps a name to
         (value, width).  Rows that tie on ``at`` count only if they come no later in the order.
+        ``signed=False`` promises values of 0 or more, which saves work.
         """
         if self.order[0] != at:
             raise ValueError("rolling frames need their time column first in the order")
-        totals = {f"_total_{n}": F.coalesce(v, F.lit(0)) for n, (v, _) in frames.items()}
-        df = self.running(df, {"_pos": F.lit(1), **totals})
+        # Frames over the same value share one running total.
+        values = {str(v): v for v, _ in frames.values()}
+        total = {text: f"_total_{i}" for i, text in enumerate(values)}
+        sums = {total[text]: F.coalesce(v, F.lit(0)) for text, v in values.items()}
+        df = self.running(df, {**sums, "_pos": F.lit(1)} if signed else sums)
         gone = Window.partitionBy(self.key).orderBy(at)
-        fields = {
-            f"_gone_{n}": F.max(F.struct("_pos", f"_total_{n}")).over(
-                gone.rangeBetween(Window.unboundedPreceding, -width)
-            )
-            for n, (_, width) in frames.items()
-        }
-        df = df.withColumns(fields)
+        left = {}
+        for n, (v, width) in frames.items():
+            outside = gone.rangeBetween(Window.unboundedPreceding, -width)
+            name = total[str(v)]
+            # The total at the last row outside: the largest one, if totals only rise.
+            last = F.max(F.struct("_pos", name)).over(outside)[name] if signed else F.max(name).over(outside)
+            left[n] = last.alias(f"_left_{n}")
+        df = df.select("*", *left.values())
         df = df.withColumns({
-            n: F.col(f"_total_{n}") - F.coalesce(F.col(f"_gone_{n}")[f"_total_{n}"], F.lit(0))
-            for n in frames
+            n: F.col(total[str(v)]) - F.coalesce(F.col(f"_left_{n}"), F.lit(0))
+            for n, (v, _) in frames.items()
         })
-        return df.drop("_pos", *totals, *fields)
+        return df.drop("_pos", *sums, *[f"_left_{n}" for n in frames])
 
     def trailing(self, df: DataFrame, rows: int, sums: Mapping[str, Column]) -> DataFrame:
         """Add sums over the last ``rows`` rows, the current one included."""
@@ -199,7 +206,7 @@ class SplitScan(Scan):
             added[n] = F.coalesce(F.col(f"_c_{n}"), local)
         return rows.select(*kept, *[c.alias(n) for n, c in added.items()])
 
-    def rolling(self, df, at, frames):
+    def rolling(self, df, at, frames, signed=True):
         """Each row enters at its time and leaves again ``width`` later: a running sum of both.
 
         Leaving rows come first at equal times, as the frame is open at its start.
@@ -225,7 +232,8 @@ class SplitScan(Scan):
             self.key, [at, "_enters", *self.order[1:]], self.chunks * (1 + len(frames)), self.max_rows
         )
         moved = scan.running(moves, {f"_r_{n}": F.col(f"_v_{n}") for n in frames})
-        plain = {f.name: f.dataType for f in Scan.rolling(self, df, at, frames).schema}
+        whole = Scan(self.key, self.order)
+        plain = {f.name: f.dataType for f in whole.rolling(df, at, frames, signed).schema}
         return moved.filter(F.col("_enters") == 1).select(
             *kept, *[F.col(f"_r_{n}").cast(plain[n]).alias(n) for n in frames]
         )

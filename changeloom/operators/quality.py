@@ -157,7 +157,7 @@ def rate(
             F.col("_c") >= F.col("_before"), F.col("_c") - F.col("_before")
         ).otherwise(F.col("_c"))
         d = d.withColumn("_grown", grown.cast("decimal(20,4)"))
-        return scan.rolling(d, "_us", {"_increase": (F.col("_grown"), width)})
+        return scan.rolling(d, "_us", {"_increase": (F.col("_grown"), width)}, signed=False)
 
     found = per_key(rows, series, keys, body, max_rows)
     return found.select(
