@@ -92,7 +92,8 @@ def _search_all(spark, sf):
 @query(
     "price_facets",
     _INDEX_SQL + """
-    SELECT CASE WHEN price >= 150000 THEN 150000 WHEN price >= 100000 THEN 100000 ELSE 0 END AS band_from,
+    SELECT CAST(CASE WHEN price >= 150000 THEN 150000 WHEN price >= 100000 THEN 100000 ELSE 0 END AS BIGINT)
+               AS band_from,
            count(*) AS products
     FROM idx GROUP BY 1
     """,
@@ -268,7 +269,7 @@ _BOUNDS = ", ".join(f"({float(b)})" for b in quality.BATCH_BOUNDS)
 @query(
     "bucket_counts",
     f"""
-    SELECT status, coalesce(le, -1) AS le, count(*) FILTER (le IS NULL OR total_amount <= le) AS cumulative_count
+    SELECT status, CAST(coalesce(le, -1) AS DOUBLE) AS le, count(*) FILTER (le IS NULL OR total_amount <= le) AS cumulative_count
     FROM ev, (VALUES {_BOUNDS}, (NULL)) AS b(le) GROUP BY 1, 2
     """,
     ("ev",),

@@ -32,6 +32,16 @@ def _value(v):
     return v
 
 
+_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_differences(con, df, sql):
+    """Columns whose types differ between Spark and DuckDB."""
+    ours = {c: _TYPES.get(t, t) for c, t in df.dtypes}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c}: {ours.get(c)} != {theirs.get(c)}" for c in sorted({*ours, *theirs}) if ours.get(c) != theirs.get(c)]
+
+
 def spark_rows(df):
     names = sorted(df.columns)
     return names, Counter(tuple(_value(r[n]) for n in names) for r in df.collect())
@@ -50,19 +60,20 @@ def differences(con, spark, name, sf_dir):
     from changeloom.plans import QUERIES
 
     q = QUERIES[name]
-    names, got = spark_rows(q.plan(spark, sf_dir))
+    df = q.plan(spark, sf_dir)
+    names, got = spark_rows(df)
     if q.sql is None:
         return [] if sum(got.values()) else ["no rows"]
     wanted_names, wanted = sql_rows(con, q.sql)
     if names != wanted_names:
         return [f"columns {names} != {wanted_names}"]
-    out = []
+    out = type_differences(con, df, q.sql)
     if got != wanted:
         extra, missing = got - wanted, wanted - got
         out.append(f"{sum(got.values())} rows, {sum(wanted.values())} wanted; "
                    f"{sum(extra.values())} extra, {sum(missing.values())} missing")
         out += [f"  + {r}" for r in list(extra)[:3]] + [f"  - {r}" for r in list(missing)[:3]]
-    elif not got:
+    if not got:
         out.append("no rows")
     return out
 
