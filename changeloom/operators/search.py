@@ -77,7 +77,10 @@ def inverted_index(index: DataFrame, block: int = POSTING_BLOCK) -> DataFrame:
     A common word may occur in a third of all products, so no row holds a whole posting list:
     block b holds the ids in [b·block, (b+1)·block).
     """
-    postings = index.select(F.explode("search_tokens").alias("token"), "product_id")
+    # The outer form keeps the optimizer from tokenising once more for an emptiness test.
+    postings = index.select(F.explode_outer("search_tokens").alias("token"), "product_id").filter(
+        F.col("token").isNotNull()
+    )
     return postings.groupBy("token", F.floor(F.col("product_id") / block).alias("block")).agg(
         F.sort_array(F.collect_list("product_id")).alias("product_ids"),
         F.count(F.lit(1)).alias("doc_count"),

@@ -65,7 +65,7 @@ def sales_windows(
         # One sketch per window and task: rows are spread in memory and combined map-side.
         last = _floor_to(at, slide_us)
         first = _floor_to(at - size_us, slide_us) + slide_us
-        starts = F.explode(F.sequence(first, last, F.lit(slide_us)))
+        starts = F.explode_outer(F.sequence(first, last, F.lit(slide_us)))
         rows = orders.select("total_amount", "customer_id", starts.alias("_start"))
         sketched = rows.groupBy("_start").agg(
             revenue, count, F.approx_count_distinct("customer_id").alias("unique_customers")
@@ -86,7 +86,7 @@ def sales_windows(
         previous = F.lag("_pane").over(Window.partitionBy("customer_id").orderBy("_pane"))
         spread = (
             panes.withColumn("_reach", _floor_to(previous, slide_us))
-            .withColumn("_start", F.explode(F.sequence(first, last, F.lit(slide_us))))
+            .withColumn("_start", F.explode_outer(F.sequence(first, last, F.lit(slide_us))))
             .withColumn("_new", F.col("_reach").isNull() | (F.col("_start") > F.col("_reach")))
         )
     folded = spread.groupBy("_start").agg(

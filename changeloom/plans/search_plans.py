@@ -195,18 +195,18 @@ _MESSAGES_SQL = """
 @query(
     "message_counts",
     _MESSAGES_SQL + """
-    SELECT topic, 'inventory-service' AS service, outcome, count(*) AS messages FROM m GROUP BY 1, 3
+    SELECT topic, 'stock' AS service, outcome, count(*) AS messages FROM m GROUP BY 1, 3
     """,
     ("ev",),
 )
 def _message_counts(spark, sf):
-    return quality.message_counts(messages(spark, sf), "inventory-service")
+    return quality.message_counts(messages(spark, sf), "stock")
 
 
 @query(
     "dead_letters",
     _MESSAGES_SQL + """
-    SELECT topic, outcome AS error, 'inventory-service' AS service,
+    SELECT topic, outcome AS error, 'stock' AS service,
            '2025-01-15T10:30:00.000000' AS "timestamp", count(*) AS letters
     FROM m WHERE outcome NOT IN ('ok', 'tombstone') GROUP BY 1, 2
     """,
@@ -215,7 +215,7 @@ def _message_counts(spark, sf):
 def _dead_letters(spark, sf):
     """Dead letters as written to their folders, read back."""
     root = scratch_path(spark, "dlq")
-    write_dlq(quality.dead_letters(messages(spark, sf), "inventory-service", "2025-01-15 10:30:00"), root)
+    write_dlq(quality.dead_letters(messages(spark, sf), "stock", "2025-01-15 10:30:00"), root)
     rows = spark.read.schema(
         "message string, error string, timestamp string, service string, topic string"
     ).json(root)
