@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import quality
+from changeloom.llm import line_windows, quality
 from changeloom.plans.catalog import Query
 
 QUERIES: dict[str, Query] = {}
@@ -27,3 +27,38 @@ def op3(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good", "votes"
     )
+
+
+@query(
+    "op10_line_dedup",
+    r"""
+    WITH line AS (
+        SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS nr
+        FROM documents WHERE text IS NOT NULL),
+    full_line AS (
+        SELECT doc_id, line, nr, row_number() OVER (PARTITION BY doc_id ORDER BY nr) AS k
+        FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    win AS (
+        SELECT a.doc_id, a.nr AS n1, b.nr AS n2, c.nr AS n3, a.line AS l1, b.line AS l2, c.line AS l3
+        FROM full_line a JOIN full_line b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+        JOIN full_line c ON a.doc_id = c.doc_id AND c.k = a.k + 2),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, n1) AS seen FROM win),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest([n1, n2, n3]) AS nr FROM ranked WHERE seen > 1),
+    kept AS (
+        SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.nr) FILTER (g.nr IS NULL) AS text,
+               count(g.nr) AS n_removed
+        FROM line l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.nr = g.nr GROUP BY l.doc_id),
+    counts AS (SELECT doc_id, count(*) AS n_lines FROM full_line GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
+           CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(k.text, '')) END AS kept_sha256
+    FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN counts c ON d.doc_id = c.doc_id
+    """,
+)
+def op10(spark, sf_dir):
+    done = line_windows.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select(
+        "row.doc_id", "info.n_lines", "info.n_removed", F.sha2("row.text", 256).alias("kept_sha256")
+    )
