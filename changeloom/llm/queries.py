@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import line_windows, quality
+from changeloom.llm import line_windows, quality, simhash
 from changeloom.plans.catalog import Query
 
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,8 @@ def op10(spark, sf_dir):
     return done.select(
         "row.doc_id", "info.n_lines", "info.n_removed", F.sha2("row.text", 256).alias("kept_sha256")
     )
+
+
+@query("op9_simhash_near_dedup")
+def op9(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
