@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import line_windows, quality, simhash
+from changeloom.llm import bpe, line_windows, mixing, quality, simhash
 from changeloom.plans.catalog import Query
 
+#: Vocabulary of the byte-level encoding.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -67,3 +71,13 @@ def op10(spark, sf_dir):
 @query("op9_simhash_near_dedup")
 def op9(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_byte_bpe")
+def op5(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query("op6_mix_sources")
+def op6(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"))
