@@ -1,14 +1,15 @@
 r"""Mixing sources to target weights by balanced sampling (the cube method, in its fast form by Chauvet and Tillé, 2006).
 
 Every document of a source is wanted target / source size times, between 0 and 3.  The whole part is given to all; the
-fraction is an inclusion probability.  The flight phase moves the probabilities of three documents at a time through
+fraction is an inclusion probability.  The flight phase moves the probabilities of a window of documents through
 the null-space of the constraints (token total, document total), so both totals stay exact while at least one
 of them reaches 0 or 1 in every move.  What stays open, two documents a source, is the landing problem: constraints are
-given up one by one.  Documents come in order of falling size, so landing is among the smallest.
+given up one by one.  Documents come in order of falling size and the largest open one is moved first, so landing is
+among the smallest.
 
 A source is dealt into chunks of about ``CHUNK`` documents (a hot source into many); what a chunk leaves open, two
-documents, goes to the next round, until one chunk a source lands.  A flight streams over sorted rows with three of them in
-hand.  Random numbers are hashes of the documents, so reruns agree.
+documents, goes to the next round, until one chunk a source lands.  A flight streams over sorted rows with ``WINDOW`` of them
+in hand.  Random numbers are hashes of the documents, so reruns agree.
 
 Defined results: null and empty texts have size 0 and may be taken without effect; rows equal in id, source and text are one
 document of their joint size and share its number of copies; a null source is a source and comes last; an empty table
@@ -29,6 +30,7 @@ from changeloom.session import written
 WEIGHTS = (5, 2, 1)
 MOST = 3
 CHUNK = 20_000
+WINDOW = 64
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -79,50 +81,73 @@ def targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 
 class Flight:
-    """Open documents of one chunk: (row, probability, size, rows, random number)."""
+    """Open documents of one chunk, ``WINDOW`` at most: serial number, probability, token and row totals, random number."""
 
     def __init__(self):
-        self.open: list[list] = []
+        self.open = np.zeros((0, 5))
         self.decided: list[tuple[int, int]] = []
+        self.waiting: list[tuple] = []
 
     def _settle(self) -> None:
-        still = []
-        for unit in self.open:
-            if 1e-9 < unit[1] < 1 - 1e-9:
-                still.append(unit)
-            else:
-                self.decided.append((unit[0], round(unit[1])))
-        self.open = still
-
-    def _move(self, direction: list[float]) -> None:
-        """As far along the direction as the cube allows, forth or back by chance so that probabilities hold on average."""
-        forth = min(((1 - u[1]) / d if d > 0 else -u[1] / d) for u, d in zip(self.open, direction) if d)
-        back = min((u[1] / d if d > 0 else (u[1] - 1) / d) for u, d in zip(self.open, direction) if d)
-        step = forth if self.open[-1][4] * (forth + back) < back else -back
-        for u, d in zip(self.open, direction):
-            u[1] += step * d
+        p = self.open[:, 1]
+        closed = (p <= 1e-9) | (p >= 1 - 1e-9)
+        self.decided += [(int(n), round(x)) for n, x in self.open[closed, :2].tolist()]
+        self.open = self.open[~closed]
+
+    def _direction(self) -> np.ndarray | None:
+        """The first document's own axis, laid into the null-space of sizes and counts, or of sizes alone where the first can't
+        move otherwise."""
+        size, rows = self.open[:, 2], self.open[:, 3]
+        for a in ([size, rows], [size]):
+            a = np.stack(a)
+            way = -a.T @ (np.linalg.pinv(a @ a.T) @ a[:, 0])
+            way[0] += 1
+            if way[0] > 1e-6:
+                return way
+        return None
+
+    def _move(self, way: np.ndarray) -> None:
+        """As far as the cube allows, forth or back by chance, so that probabilities hold on average."""
+        p, up, down = self.open[:, 1], way > 1e-12, way < -1e-12
+        forth = min(np.min((1 - p[up]) / way[up], initial=np.inf), np.min(-p[down] / way[down], initial=np.inf))
+        back = min(np.min(p[up] / way[up], initial=np.inf), np.min((p[down] - 1) / way[down], initial=np.inf))
+        p += way * (forth if self.open[0, 4] * (forth + back) < back else -back)
         self._settle()
 
-    def add(self, unit: list) -> None:
-        self.open.append(unit)
-        if len(self.open) == 3:
-            (_, _, s1, m1, _), (_, _, s2, m2, _), (_, _, s3, m3, _) = self.open
-            # Orthogonal to sizes and to counts.
-            d = [s2 * m3 - s3 * m2, s3 * m1 - s1 * m3, s1 * m2 - s2 * m1]
-            if not any(d):
-                d = [m2, -m1, 0] if m1 != m2 or s1 == s2 else [s2, -s1, 0]
-            self._move([x / max(map(abs, d)) for x in d])
-
-    def land(self) -> None:
-        """Gives up the document total, then the token total."""
-        while len(self.open) > 1:
-            (_, _, s1, m1, _), (_, _, s2, m2, _) = self.open[-2:]
-            d = [s2, -s1] if s1 and s2 else [m2, -m1]
-            self._move([0.0] * (len(self.open) - 2) + [x / max(map(abs, d)) for x in d])
-        if self.open:
-            unit = self.open[0]
-            unit[1] = float(unit[4] < unit[1])
-            self._settle()
+    def _round_first(self) -> None:
+        self.open[0, 1] = float(self.open[0, 4] < self.open[0, 1])
+        self._settle()
+
+    def _fly(self) -> None:
+        way = self._direction()
+        if way is None:
+            self._round_first()
+        else:
+            self._move(way)
+
+    def add(self, unit: tuple) -> None:
+        """The first open document is the largest: it is moved until it settles, the smaller ones make up for it."""
+        self.waiting.append(unit)
+        if len(self.waiting) + len(self.open) >= WINDOW:
+            self._take()
+            while len(self.open) > WINDOW // 2:
+                self._fly()
+
+    def _take(self) -> None:
+        if self.waiting:
+            self.open = np.concatenate((self.open, np.array(self.waiting, float)))
+            self.waiting = []
+
+    def finish(self, land: bool) -> list[tuple[int, float]]:
+        """Moves on while the null-space isn't empty; then lands, or gives back what stays open."""
+        self._take()
+        while len(self.open) > 2:
+            self._fly()
+        while land and len(self.open):
+            self._fly() if len(self.open) > 1 else self._round_first()
+        left = [(int(n), p) for n, p in self.open[:, :2].tolist()]
+        self.open = self.open[:0]
+        return left
 
 
 def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,11 +161,7 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pylist(rows, schema)
 
     def end():
-        if last:
-            flight.land()
-        rows = [held.pop(u[0]) | {"p": u[1], "one": None} for u in flight.open]
-        flight.open = []
-        return rows
+        return [held.pop(n) | {"p": p, "one": None} for n, p in flight.finish(land=last)]
 
     schema = None
     for batch in batches:
@@ -154,7 +175,7 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 late += end()
                 chunk, last = key, final
             held[serial] = row
-            flight.add([serial, row["p"], row["size"] * row["rows"], row["rows"], row["random"]])
+            flight.add((serial, row["p"], row["size"] * row["rows"], row["rows"], row["random"]))
             serial += 1
         yield pa.RecordBatch.from_pylist(late, schema)
         decided, flight.decided = flight.decided, []
