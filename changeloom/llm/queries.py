@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, line_windows, mixing, quality, simhash
+from changeloom.llm import bpe, line_windows, mixing, quality, simhash, vectors
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -81,3 +81,27 @@ def op5(spark, sf_dir):
 @query("op6_mix_sources")
 def op6(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_embedding_near_dedup",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    link AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (
+        SELECT x AS node, x AS seen FROM link UNION SELECT r.node, l.y FROM reach r JOIN link l ON r.seen = l.x),
+    root AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+    counts AS (SELECT x AS node, count(*) AS n_links FROM link GROUP BY x)
+    SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, coalesce(r.component_id, e.vec_id) AS component_id,
+           e.vec_id = coalesce(r.component_id, e.vec_id) AS kept
+    FROM embeddings e LEFT JOIN counts c ON e.vec_id = c.node LEFT JOIN root r ON e.vec_id = r.node
+    """,
+)
+def op2(spark, sf_dir):
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
