@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, line_windows, mixing, quality, simhash, vectors
+from changeloom.llm import bpe, html_text, line_windows, mixing, quality, simhash, vectors
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -105,3 +105,8 @@ def op6(spark, sf_dir):
 )
 def op2(spark, sf_dir):
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_html_text")
+def op1(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
