@@ -30,13 +30,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Pre-tokens and transitions kept by a task; both tables start anew beyond.
-KEPT_WORDS = 250_000
-KEPT_STEPS = 150_000
+#: Pre-tokens (of the last two generations) and transitions kept by a task; the tables start anew beyond.
+KEPT_WORDS = 400_000
+KEPT_STEPS = 300_000
 #: Bytes of a pre-token read before certain tokens are emitted, from time to time.
 LOOK = 1024
 #: Tokens decoded at once.
 CHUNK = 4096
+#: Key of a state's live places among its steps, which have bytes as keys.
+LIVE = -1
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -49,15 +51,30 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.starts = {token[:k] for token in ranks for k in range(1, len(token) + 1)}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.own: dict[bytes, bool] = {}
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        # The vocabulary's prefix tree: steps by byte, and the rank of the token that ends at a node.
+        self.below: list[dict[int, int]] = [{}]
+        self.ends: list[int | None] = [None]
+        self.depth = [0]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                if byte not in self.below[node]:
+                    self.below[node][byte] = len(self.below)
+                    self.below.append({})
+                    self.ends.append(None)
+                    self.depth.append(self.depth[node] + 1)
+                node = self.below[node][byte]
+            self.ends[node] = rank
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        # A state: for each place that may still start a token, the bytes since it and the token that ends at it.
-        start = ((b"", b""),)
-        self.states, self.ids, self.steps = [start], {start: 0}, {}
+        # A state: for each place that may still start a token, the tree node of the bytes since it and the token that ends at
+        # it.  It is a dictionary of its steps, byte to (next state, length and rank of the token that can end there), under
+        # LIVE its places.
+        self.start = {LIVE: ((0, None),)}
+        self.states, self.kept = {self.start[LIVE]: self.start}, 0
 
     def merged(self, piece: bytes) -> list[bytes]:
         """Merges by rank; used for the vocabulary's own pairs, not for texts."""
@@ -70,69 +87,68 @@ class Transducer:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _token(self, part: bytes) -> bool:
-        if part not in self.own:
-            self.own[part] = part in self.ranks and self.merged(part) == [part]
-        return self.own[part]
-
-    def _follows(self, before: bytes, token: bytes) -> bool:
-        if not before:
-            return True
-        known = self.pairs.get((before, token))
+    def _follows(self, before: int | None, rank: int) -> bool:
+        """Whether the token may stand after the other; the first of a text, alone."""
+        known = self.pairs.get((before, rank))
         if known is None:
-            known = self.pairs[before, token] = self.merged(before + token) == [before, token]
+            chain = [self.tokens[rank]] if before is None else [self.tokens[before], self.tokens[rank]]
+            known = self.pairs[before, rank] = self.merged(b"".join(chain)) == chain
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        added, ended, live = bytes([byte]), b"", []
-        for since, before in self.states[state]:
-            since += added
-            if not ended and self._token(since) and self._follows(before, since):
-                ended = since
-            if since in self.starts:
-                live.append((since, before))
-        live.append((b"", ended))
+    def _step(self, state: dict, byte: int) -> tuple[dict, int, int]:
+        ended, live, below, ends = None, [], self.below, self.ends
+        for node, before in state[LIVE]:
+            node = below[node].get(byte)
+            if node is not None:
+                rank = ends[node]
+                if rank is not None and ended is None and self._follows(before, rank):
+                    ended = rank
+                if below[node]:
+                    live.append((node, before))
+        live.append((0, ended))
         new = tuple(live)
-        if new not in self.ids:
-            self.ids[new] = len(self.states)
-            self.states.append(new)
-        out = self.steps[state << 8 | byte] = (self.ids[new], len(ended))
+        following = self.states.get(new)
+        if following is None:
+            following = self.states[new] = {LIVE: new}
+        out = state[byte] = (following, len(self.tokens[ended]), ended)
+        self.kept += 1
         return out
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self.steps) > KEPT_STEPS:
+        if self.kept > KEPT_STEPS:
             self.forget()
-        # lengths[i]: of the one token that can end before byte done + i; tokens before done are emitted.
-        state, out, lengths, done, known = 0, [], [0], 0, self.steps.get
+        # path[i]: the step over byte done + i; tokens before done are emitted.
+        state, out, path = self.start, [], []
         for look in range(0, len(piece), LOOK):
             for byte in piece[look:look + LOOK]:
-                state, length = known(state << 8 | byte) or self._step(state, byte)
-                lengths.append(length)
+                step = state.get(byte) or self._step(state, byte)
+                state = step[0]
+                path.append(step)
             if look + LOOK < len(piece):
-                certain = self._certain(state, lengths)
-                out += self._chain(piece, done, lengths, certain)
-                del lengths[:certain]
-                done += certain
-        return out + self._chain(piece, done, lengths, len(lengths) - 1)
+                certain = self._certain(state, path)
+                out += self._chain(path, certain)
+                del path[:certain]
+        return out + self._chain(path, len(path))
 
-    def _certain(self, state: int, lengths: list[int]) -> int:
+    def _certain(self, state: dict, path: list) -> int:
         """The last place that the chains to all places which may still start a token share."""
-        places = {len(lengths) - 1 - len(since) for since, _ in self.states[state]}
+        places = {len(path) - self.depth[node] for node, _ in state[LIVE]}
         while len(places) > 1:
             last = max(places)
             places.remove(last)
-            places.add(last - lengths[last])
-        return max(0, *places, 0)
+            places.add(last - path[last - 1][1])
+        return max(0, *places)
 
-    def _chain(self, piece: bytes, done: int, lengths: list[int], end: int) -> list[int]:
+    def _chain(self, path: list, end: int) -> list[int]:
         out = []
         while end > 0:
-            start = end - lengths[end]
-            out.append(self.ranks[piece[done + start:done + end]])
-            end = start
-        return out[::-1]
+            _, length, rank = path[end - 1]
+            out.append(rank)
+            end -= length
+        out.reverse()
+        return out
 
 
 class Words(dict):
@@ -141,10 +157,14 @@ class Words(dict):
     def __init__(self, transducer: Transducer):
         self.transducer = transducer
 
+        self.old: dict[str, tuple[int, ...]] = {}
+
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= KEPT_WORDS:
+            # Words met since the last change stay one change longer.
+            self.old = dict(self)
             self.clear()
-        ids = self[piece] = tuple(self.transducer.encode(piece.encode()))
+        ids = self[piece] = self.old.pop(piece, None) or tuple(self.transducer.encode(piece.encode()))
         return ids
 
 
