@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from changeloom.llm.arrays import Texts, mix, pieces
+from changeloom.llm.rewrite import SPAN, SPANS, digest, rewrite, spans
 
 WINDOW = 3
-INFO = "struct<n_lines: bigint, n_removed: bigint, spans: array<struct<from_byte: bigint, to_byte: bigint>>>"
+INFO = f"n_lines bigint, n_removed bigint, spans {SPANS}"
 
 
 def full_lines(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -36,11 +37,6 @@ def full_lines(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return starts[full], ends[full], doc[full], number[full]
 
 
-def digest(text: Column) -> Column:
-    """Tells documents of one id apart."""
-    return F.xxhash64(text)
-
-
 def windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, digest, lines, h1, h2``: the numbers of each window's lines and its hash."""
 
@@ -86,51 +82,29 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``row, info``: the row with its new text, and what went: lines, removed lines and removed runs in the old text
     (byte offsets in UTF-8, of the lines without their line ends)."""
-    gone = removals(docs, doc_id, text).select(
-        F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"), F.col("lines").alias("gone")
-    )
-    rows = docs.select(F.struct("*").alias("row"))
-    own = F.col("row").getField(text)
-    joined = rows.join(
-        gone, F.col("row").getField(doc_id).eqNullSafe(F.col("gone_id")) & digest(own).eqNullSafe(F.col("gone_digest")), "left"
-    ).select("row", "gone")
-    place = docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fields = batch.column("row").flatten()
-            flat = pa.RecordBatch.from_arrays([fields[place], batch.column("gone"), batch.column("row")], names=["text", "gone", "row"])
-            for piece in pieces(flat, "text"):
-                yield _rewritten(piece, place)
-
-    out = T.StructType([T.StructField("row", docs.schema), T.StructField("info", T._parse_datatype_string(INFO))])
-    return joined.mapInArrow(run, out)
+    gone = removals(docs, doc_id, text).withColumnRenamed("lines", "found")
+    return rewrite(docs, gone, _without, INFO, doc_id, text)
 
 
-def _rewritten(piece: pa.RecordBatch, place: int) -> pa.RecordBatch:
+def _without(piece: pa.RecordBatch) -> tuple[pa.Array, pa.StructArray]:
+    """Texts without their removed lines."""
     t = Texts.of(piece.column("text"))
     starts, ends, doc = t.lines()
     first = np.searchsorted(doc, np.arange(t.n + 1))
     _, _, full_doc, _ = full_lines(t)
-    gone = piece.column("gone")
+    gone, texts = piece.column("found"), piece.column("text")
     affected = np.flatnonzero(gone.is_valid())
-    texts = piece.column("text").to_pylist() if len(affected) else None
-    counts, spans = np.zeros(t.n, np.int64), [[] for _ in range(t.n)]
+    new = texts.to_pylist() if len(affected) else None
+    counts, runs = np.zeros(t.n, np.int64), [[] for _ in range(t.n)]
     for i in affected.tolist():
         goes = np.zeros(first[i + 1] - first[i], bool)
         goes[gone[i].values.to_numpy()] = True
         s, e = starts[first[i]:first[i + 1]], ends[first[i]:first[i + 1]]
-        texts[i] = b"\n".join(t.data[a:b].tobytes() for a, b in zip(s[~goes], e[~goes])).decode()
+        new[i] = b"\n".join(t.data[a:b].tobytes() for a, b in zip(s[~goes], e[~goes])).decode()
         edges = np.flatnonzero(np.diff(goes.astype(np.int8), prepend=0, append=0))
-        spans[i] = [{"from_byte": int(s[a] - t.at[i]), "to_byte": int(e[b - 1] - t.at[i])} for a, b in zip(edges[::2], edges[1::2])]
+        runs[i] = spans(s[edges[::2]] - t.at[i], e[edges[1::2] - 1] - t.at[i])
         counts[i] = goes.sum()
-    fields = piece.column("row").flatten()
-    if texts is not None:
-        fields[place] = pa.array(texts, fields[place].type)
-    span = pa.list_(pa.struct([("from_byte", pa.int64()), ("to_byte", pa.int64())]))
     info = pa.StructArray.from_arrays(
-        [pa.array(t.per_doc(full_doc)), pa.array(counts), pa.array(spans, span)], ["n_lines", "n_removed", "spans"]
+        [pa.array(t.per_doc(full_doc)), pa.array(counts), pa.array(runs, SPAN)], ["n_lines", "n_removed", "spans"]
     )
-    kind = piece.column("row").type
-    row = pa.StructArray.from_arrays(fields, fields=[kind.field(k) for k in range(kind.num_fields)])
-    return pa.RecordBatch.from_arrays([row, info], names=["row", "info"])
+    return (texts if new is None else pa.array(new, pa.string())), info

@@ -29,7 +29,7 @@ from changeloom.session import written
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-CHUNK = 20_000
+CHUNK = 4_000
 WINDOW = 64
 
 

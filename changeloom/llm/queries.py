@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, html_text, line_windows, mixing, quality, simhash, vectors
+from changeloom.llm import bpe, html_text, line_windows, mixing, quality, simhash, units, vectors
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -110,3 +110,47 @@ def op2(spark, sf_dir):
 @query("op1_html_text")
 def op1(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op4_unit_dedup",
+    r"""
+    WITH marked AS (
+        SELECT doc_id, text, regexp_replace(text, '([.!?])[\x20\x09-\x0D]', '\1' || chr(10), 'g') AS cut
+        FROM documents WHERE text IS NOT NULL),
+    part AS (
+        SELECT doc_id, text, unnest(string_split(cut, chr(10))) AS part,
+               generate_subscripts(string_split(cut, chr(10)), 1) AS k FROM marked),
+    placed AS (
+        SELECT doc_id, k, length(part) AS n,
+               substr(text, CAST(1 + sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(part) - 1 AS BIGINT),
+                      length(part) + 1) AS piece,
+               len(regexp_extract_all(part, '[^\x20\x09-\x0D]+')) AS words,
+               md5(translate(regexp_replace(part, '[\x20\x09-\x0D!-/:-@\[-`{-~]', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h,
+               length(regexp_replace(part, '[\x20\x09-\x0D!-/:-@\[-`{-~]', '', 'g')) > 0 AS is_full
+        FROM part),
+    unit AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS nr,
+               row_number() OVER (PARTITION BY h ORDER BY doc_id, k) > 1 AS is_later
+        FROM placed WHERE is_full),
+    run AS (
+        SELECT *, nr - row_number() OVER (PARTITION BY doc_id, is_later ORDER BY nr) AS island FROM unit),
+    sized AS (
+        SELECT *, is_later AND sum(words) OVER (PARTITION BY doc_id, is_later, island) >= 25 AS goes FROM run),
+    kept AS (
+        SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.k) FILTER (NOT coalesce(s.goes, false)) AS text,
+               count(s.k) AS n_units, count(*) FILTER (s.goes) AS n_removed,
+               CAST(coalesce(sum(s.words) FILTER (s.goes), 0) AS BIGINT) AS n_removed_words
+        FROM placed p LEFT JOIN sized s ON p.doc_id = s.doc_id AND p.k = s.k GROUP BY p.doc_id)
+    SELECT d.doc_id, coalesce(k.n_units, 0) AS n_units, coalesce(k.n_removed, 0) AS n_removed,
+           coalesce(k.n_removed_words, 0) AS n_removed_words,
+           CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(k.text, '')) END AS kept_sha256
+    FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
+)
+def op4(spark, sf_dir):
+    done = units.dedup_units(table(spark, sf_dir, "documents"))
+    return done.select(
+        "row.doc_id", "info.n_units", "info.n_removed", "info.n_removed_words", F.sha2("row.text", 256).alias("kept_sha256")
+    )
