@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, html_text, line_windows, mixing, quality, simhash, units, vectors
+from changeloom.llm import bpe, html_text, language, line_windows, mixing, quality, simhash, units, vectors
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -154,3 +154,9 @@ def op4(spark, sf_dir):
     return done.select(
         "row.doc_id", "info.n_units", "info.n_removed", "info.n_removed_words", F.sha2("row.text", 256).alias("kept_sha256")
     )
+
+
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
