@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeloom.llm import bpe, html_text, language, line_windows, mixing, quality, simhash, units, vectors
+from changeloom.llm import bpe, html_text, language, line_windows, mixing, quality, simhash, substrings, units, vectors
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -160,3 +160,38 @@ def op4(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.learn(docs))
+
+
+@query(
+    "op7_substring_dedup",
+    r"""
+    WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    place AS (
+        SELECT doc_id, unnest(generate_series(0, CAST(length(x) // 2 - 200 AS BIGINT))) AS pos, x
+        FROM doc WHERE length(x) >= 400),
+    win AS (SELECT doc_id, pos, md5(substr(x, CAST(2 * pos + 1 AS BIGINT), 400)) AS h FROM place),
+    again AS (SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM win) WHERE n > 1),
+    run AS (
+        SELECT doc_id, min(pos) AS a, max(pos) + 200 AS b FROM (
+            SELECT *, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM (
+                SELECT *, CASE WHEN pos > lag(pos, 1, -1000) OVER (PARTITION BY doc_id ORDER BY pos) + 200 THEN 1 ELSE 0 END AS is_new
+                FROM again))
+        GROUP BY doc_id, g),
+    gap AS (
+        SELECT doc_id, a, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM run
+        UNION ALL SELECT d.doc_id, length(x) // 2, coalesce(max(r.b), 0)
+        FROM doc d LEFT JOIN run r ON d.doc_id = r.doc_id GROUP BY d.doc_id, x),
+    kept AS (
+        SELECT g.doc_id, string_agg(substr(d.x, CAST(2 * g.z + 1 AS BIGINT), CAST(2 * (g.a - g.z) AS BIGINT)), '' ORDER BY g.a, g.z) AS x
+        FROM gap g JOIN doc d ON g.doc_id = d.doc_id GROUP BY g.doc_id),
+    sums AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+    SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, coalesce(s.n_removed, 0) AS n_removed,
+           coalesce(s.n_spans, 0) AS n_spans, sha256(unhex(k.x)) AS kept_sha256
+    FROM doc d JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN sums s ON d.doc_id = s.doc_id
+    """,
+)
+def op7(spark, sf_dir):
+    done = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
