@@ -26,10 +26,18 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 KEEP_FROM = 0.5
 EM_ROUNDS = 60
-#: Weight of the starting beliefs against the corpus, as a share of its documents.
-PRIOR_WEIGHT = 0.02
-#: Starting beliefs: share of good documents, accuracy of a rule's votes.
-START_GOOD, START_ACCURACY = 0.8, 0.95
+#: Weight of the starting beliefs against the corpus, as a share of its documents: of a rule's accuracy, and of the share of good.
+PRIOR_WEIGHT, SHARE_WEIGHT = 0.02, 0.5
+#: A rule is right more often than wrong, never always: without the first, good and bad could change places.
+ACCURACIES = (0.6, 0.999)
+#: Starting beliefs: share of good documents; how often a rule votes where it is right and where it is wrong.
+START_GOOD = 0.8
+RIGHT_GOOD, WRONG_GOOD = 0.8, 0.1
+RIGHT_BAD, WRONG_BAD = 0.3, 0.02
+#: Weight of the starting beliefs against the corpus, as a share of its documents: of a rule's votes, and of the share of good.
+PRIOR_WEIGHT, SHARE_WEIGHT = 0.02, 0.5
+#: Least and most evidence of a vote (natural log).
+EVIDENCE = (0.5, 6.0)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_ascii_letters",
           "n_shouts", "n_stops", "n_marked_words")
@@ -120,25 +128,35 @@ def unpattern(p: np.ndarray) -> np.ndarray:
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
-    """Expectation-maximisation over vote patterns: the share of good documents and each rule's accuracy.
+    """Expectation-maximisation over vote patterns: the share of good documents and each rule's evidence, the log of how
+    much more often it votes on good documents than on bad ones.
 
-    A rule that abstains says nothing.  The starting beliefs count as ``PRIOR_WEIGHT`` of all documents, so the
-    estimate doesn't depend on the corpus size and stays proper where a rule never votes.
+    A rule that abstains says nothing.  The starting beliefs count as a share of all documents, so the estimate doesn't
+    depend on the corpus size and stays proper where a rule never votes.
     """
     v, n = unpattern(patterns).astype(float), counts.astype(float)
     weight = max(PRIOR_WEIGHT * n.sum(), 1e-9)
-    prior, accuracy = START_GOOD, np.full(len(RULES), START_ACCURACY)
+    right, wrong = np.where(_SAYS > 0, RIGHT_GOOD, RIGHT_BAD), np.where(_SAYS > 0, WRONG_GOOD, WRONG_BAD)
+    start_good, start_bad = np.where(_SAYS > 0, right, wrong), np.where(_SAYS > 0, wrong, right)
+    prior, evidence = START_GOOD, np.log(start_good / start_bad)
     for _ in range(EM_ROUNDS):
-        good = posterior(v, prior, accuracy)
-        right = np.where(_SAYS > 0, good[:, None], 1 - good[:, None])
-        prior = (n @ good + weight * START_GOOD) / (n.sum() + weight)
-        accuracy = (n @ (v * right) + weight * START_ACCURACY) / (n @ v + weight)
-    return prior, accuracy
+        good = n * posterior(v, prior, evidence)
+        bad = n - good
+        prior = (good.sum() / n.sum() + SHARE_WEIGHT * START_GOOD) / (1 + SHARE_WEIGHT)
+        on_good = (good @ v + weight * start_good) / (good.sum() + weight)
+        on_bad = (bad @ v + weight * start_bad) / (bad.sum() + weight)
+        # A rule's vote never speaks for the other side; otherwise good and bad could change places.
+        evidence = _SAYS * np.clip(_SAYS * np.log(on_good / on_bad), *EVIDENCE)
+    return prior, evidence
 
 
-def posterior(v: np.ndarray, prior: float, accuracy: np.ndarray) -> np.ndarray:
-    odds = np.log(prior / (1 - prior)) + v @ (_SAYS * np.log(accuracy / (1 - accuracy)))
-    return 1 / (1 + np.exp(-odds))
+def accuracy(v: np.ndarray, n: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """How often each rule's vote is right, by the posterior of the documents it votes on."""
+    return (n @ (v * np.where(_SAYS > 0, good[:, None], 1 - good[:, None]))) / np.maximum(n @ v, 1e-9)
+
+
+def posterior(v: np.ndarray, prior: float, evidence: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-(np.log(prior / (1 - prior)) + v @ evidence)))
 
 
 def vote_patterns(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -160,10 +178,10 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Posterior of good for each vote pattern, learned from all documents."""
     rows = vote_patterns(docs, text).collect()  # at most PATTERNS rows
     found = sorted((r["pattern"], r["n"]) for r in rows)
-    prior, accuracy = START_GOOD, np.full(len(RULES), START_ACCURACY)
-    if found:
-        prior, accuracy = fit(np.array([p for p, _ in found]), np.array([n for _, n in found]))
-    return posterior(unpattern(np.arange(PATTERNS)), prior, accuracy)
+    if not found:
+        return np.full(PATTERNS, START_GOOD)
+    prior, evidence = fit(np.array([p for p, _ in found]), np.array([n for _, n in found]))
+    return posterior(unpattern(np.arange(PATTERNS)), prior, evidence)
 
 
 def base_failed(f: dict[str, np.ndarray]) -> np.ndarray:

@@ -196,10 +196,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             n = row["size"]
-            yield pa.RecordBatch.from_pydict({
-                "h": [row["h"]] * n, "c": [row["c"]] * n, "nr": list(range(n)), "copies": [row["copies"]] * n,
-                "window": [hashlib.blake2b(row["bytes"][k:k + LENGTH], digest_size=16).digest() for k in range(n)],
-            })
+            digests = [hashlib.blake2b(row["bytes"][k:k + LENGTH], digest_size=16).digest() for k in range(n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["h"]] * n), pa.array([row["c"]] * n), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary()),
+                 pa.array([row["copies"]] * n)], names=["h", "c", "nr", "window", "copies"],
+            )
 
 
 def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
