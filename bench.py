@@ -43,6 +43,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "changeloom.spread": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         },
     )

@@ -6,40 +6,58 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-_MAX_BYTES = 8
+_HALF = 8
 
 
 def _signed_integer(raw: Column) -> Column:
-    """Big-endian two's-complement bytes (at most eight) as BIGINT; null for longer ones."""
-    digits = F.hex(raw)
+    """Big-endian two's-complement bytes as DECIMAL(38,0): any length as long as the value fits, else null."""
+    # Leading bytes that only repeat the sign carry nothing.
+    digits = F.regexp_replace(F.hex(raw), "^((?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
     fill = F.when(digits >= "8", "F").otherwise("0")
+    wide = F.lpad(digits, F.lit(4 * _HALF), fill)
     # A negative base makes conv read the 64 bits as signed.
-    return F.when(
-        F.length(raw) <= _MAX_BYTES,
-        F.conv(F.lpad(digits, F.lit(2 * _MAX_BYTES), fill), 16, -10).cast("bigint"),
-    )
+    high = F.conv(F.substring(wide, 1, 2 * _HALF), 16, -10).cast("decimal(20,0)")
+    low = F.conv(F.substring(wide, 2 * _HALF + 1, 2 * _HALF), 16, 10).cast("decimal(20,0)")
+    whole = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), low)
+    return F.when((F.length(digits) <= 4 * _HALF) & (F.length(digits) > 0), whole.try_cast("decimal(38,0)"))
+
+
+def _base64_value(text: Column, scale: int) -> Column:
+    """The value as far as DECIMAL(38) holds it."""
+    whole = _signed_integer(F.try_to_binary(text, F.lit("base64")))
+    return F.try_multiply(whole, F.lit(Decimal(1).scaleb(-scale)))
 
 
 def decode_base64(text: Column, scale: int = 2, precision: int = 12) -> Column:
     """Decoded value, or null for text that is not base64 or does not fit."""
-    whole = _signed_integer(F.try_to_binary(text, F.lit("base64")))
-    scaled = whole.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
-    return scaled.try_cast(f"decimal({precision},{scale})")
+    return _base64_value(text, scale).try_cast(f"decimal({precision},{scale})")
+
+
+def overflows(text: Column, wire: str = "base64", scale: int = 2, precision: int = 12) -> Column:
+    """Whether the text holds a number that the money column cannot; such a message belongs to the dead letters."""
+    kind = f"decimal({precision},{scale})"
+    number = text.try_cast("double").isNotNull() & text.try_cast(kind).isNull()
+    if wire != "base64":
+        return F.coalesce(number, F.lit(False))
+    raw = F.try_to_binary(text, F.lit("base64"))
+    coded = (F.length(raw) > 0) & decode_base64(text, scale, precision).isNull() & text.try_cast(kind).isNull()
+    return F.coalesce(coded, F.lit(False)) | F.coalesce(number & (raw.isNull() | (F.length(raw) == 0)), F.lit(False))
 
 
 def decode_decimal(text: Column, scale: int = 2, precision: int = 12) -> Column:
-    """Base64 money; plain numbers pass through; null and bad text give 0."""
+    """Base64 money; plain numbers pass through; null and bad text give 0, a value too large for the type null."""
     kind = f"decimal({precision},{scale})"
-    return F.coalesce(decode_base64(text, scale, precision), text.try_cast(kind), F.lit(0).cast(kind))
+    known = F.coalesce(decode_base64(text, scale, precision), text.try_cast(kind))
+    return F.when(~overflows(text, "base64", scale, precision), F.coalesce(known, F.lit(0).cast(kind)))
 
 
 def parse_amount(text: Column, wire: str = "base64", scale: int = 2, precision: int = 12) -> Column:
-    """Money column under its configured wire form; 0 where it cannot be read."""
+    """Money column under its configured wire form; 0 where it cannot be read, null where it is too large."""
     if wire == "base64":
         return decode_decimal(text, scale, precision)
     if wire in ("string", "number"):
         kind = f"decimal({precision},{scale})"
-        return F.coalesce(text.try_cast(kind), F.lit(0).cast(kind))
+        return F.when(~overflows(text, wire, scale, precision), F.coalesce(text.try_cast(kind), F.lit(0).cast(kind)))
     raise ValueError(f"unknown wire form: {wire}")
 
 
@@ -49,5 +67,5 @@ def encode_decimal(amount: Column, scale: int = 2) -> Column:
     # Bits besides the sign: those of the value, or of its complement when it is negative.
     bits = F.length(F.bin(units.bitwiseXOR(F.shiftright(units, 63))))
     n_bytes = F.floor(bits / 8).cast("int") + 1
-    digits = F.lpad(F.hex(units), 2 * _MAX_BYTES, "0")
-    return F.base64(F.unhex(F.substring(digits, F.lit(2 * _MAX_BYTES + 1) - n_bytes * 2, n_bytes * 2)))
+    digits = F.lpad(F.hex(units), 2 * _HALF, "0")
+    return F.base64(F.unhex(F.substring(digits, F.lit(2 * _HALF + 1) - n_bytes * 2, n_bytes * 2)))

@@ -8,15 +8,24 @@ from .text import WORD
 
 # Bodies are SQL expressions over the parameters; none of them leaves the JVM.
 _SQL_FUNCTIONS = {
+    "money_hex(t STRING) RETURNS STRING": """
+        regexp_replace(hex(try_to_binary(t, 'base64')), '^((?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))', '')""",
+    "money_units(t STRING) RETURNS DECIMAL(38,0)": """
+        try_add(
+          try_multiply(CAST(conv(substr(lpad(money_hex(t), 32, CASE WHEN money_hex(t) >= '8' THEN 'F' ELSE '0' END), 1, 16), 16, -10)
+                            AS DECIMAL(20,0)), 18446744073709551616),
+          CAST(conv(substr(lpad(money_hex(t), 32, CASE WHEN money_hex(t) >= '8' THEN 'F' ELSE '0' END), 17, 16), 16, 10)
+               AS DECIMAL(20,0)))""",
     "decode_cents(t STRING) RETURNS BIGINT": """
-        COALESCE(
-          CASE WHEN length(try_to_binary(t, 'base64')) <= 8 THEN CAST(conv(
-            lpad(hex(try_to_binary(t, 'base64')), 16,
-                 CASE WHEN hex(try_to_binary(t, 'base64')) >= '8' THEN 'F' ELSE '0' END),
-            16, -10) AS BIGINT) END,
-          0)""",
+        CASE WHEN length(money_hex(t)) BETWEEN 1 AND 32 THEN try_cast(money_units(t) AS BIGINT)
+             WHEN length(money_hex(t)) > 32 THEN NULL ELSE 0 END""",
     "decode_money(t STRING) RETURNS DECIMAL(12,2)": """
-        CAST(decode_cents(t) * 0.01 AS DECIMAL(12,2))""",
+        CASE WHEN length(money_hex(t)) BETWEEN 1 AND 32 AND try_cast(try_multiply(money_units(t), 0.01) AS DECIMAL(12,2)) IS NOT NULL
+             THEN try_cast(try_multiply(money_units(t), 0.01) AS DECIMAL(12,2))
+             WHEN try_cast(t AS DECIMAL(12,2)) IS NOT NULL THEN try_cast(t AS DECIMAL(12,2))
+             WHEN length(money_hex(t)) > 0 THEN NULL
+             WHEN try_cast(t AS DOUBLE) IS NOT NULL THEN NULL
+             ELSE CAST(0 AS DECIMAL(12,2)) END""",
     "tokenize(t STRING) RETURNS ARRAY<STRING>": f"""
         sort_array(array_distinct(regexp_extract_all(lower(coalesce(t, '')), r'{WORD}', 0)))""",
     "rfm_segment(recency BIGINT, frequency BIGINT, monetary DOUBLE) RETURNS STRING": """
@@ -29,6 +38,6 @@ _SQL_FUNCTIONS = {
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``decode_cents``, ``decode_money``, ``tokenize`` and ``rfm_segment`` callable in SQL."""
+    """Make ``money_hex``, ``money_units``, ``decode_cents``, ``decode_money``, ``tokenize`` and ``rfm_segment`` callable in SQL."""
     for signature, body in _SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

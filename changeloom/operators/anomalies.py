@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import money_text
 from ..functions.times import duration_micros, micros
+from .envelope import require_key
 from .ordered import per_key
 
 
@@ -47,7 +48,7 @@ def order_features(
     """
     if "event_us" not in orders.columns:
         orders = orders.withColumn("event_us", micros(F.col("event_ts")))
-    rows = orders.select("customer_id", "total_amount", *dict.fromkeys(["event_us", "id", *order]))
+    rows = require_key(orders, "customer_id").select("customer_id", "total_amount", *dict.fromkeys(["event_us", "id", *order]))
     cents = (F.col("total_amount") * 100).cast("bigint")
     squared = cents.cast("decimal(14,0)") * cents.cast("decimal(14,0)")
 
@@ -184,7 +185,7 @@ def recent_history(
         "recent_orders": (F.lit(1), width),
         "recent_amount": (F.col("total_amount"), width),
     }
-    rows = orders.select("customer_id", "total_amount", *dict.fromkeys(["event_us", "id", *order]))
+    rows = require_key(orders, "customer_id").select("customer_id", "total_amount", *dict.fromkeys(["event_us", "id", *order]))
     return per_key(
         rows, "customer_id", order, lambda d, scan: scan.rolling(d, "event_us", frames), max_rows
     )

@@ -49,23 +49,9 @@ _SOURCE_MS = _either("__source_ts_ms", "ts_ms")
 _CORRUPT = f"_event.{CORRUPT} IS NOT NULL"
 
 
-def op_type() -> Column:
-    return F.expr(_OPERATION)
-
-
-def source_table() -> Column:
-    return F.expr(_TABLE)
-
-
-def event_time(ms: Column, fallback: Column | None = None) -> Column:
-    """Event time from source milliseconds, else from ``fallback``."""
-    ts = F.timestamp_millis(ms)
-    return ts if fallback is None else F.coalesce(ts, fallback.cast("timestamp"))
-
-
-def is_delete(operation: Column, deleted: Column | None = None) -> Column:
-    gone = operation == DELETE
-    return gone if deleted is None else gone | (F.coalesce(deleted, F.lit("false")) == "true")
+def event_order(df: DataFrame) -> list[str]:
+    """Order of a log's events: time, and the offset where the log has one, as changes of one transaction share their time."""
+    return [c for c in ("event_ts", "offset") if c in df.columns]
 
 
 def _decoded(text: Column, name: str, table: Table) -> Column:

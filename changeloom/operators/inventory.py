@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import rules
 from ..functions.times import as_timestamp, duration_micros, micros
+from .envelope import event_order, require_key
 from .ordered import per_key
 
 TIES = ("order_id", "line_number", "quantity")
@@ -21,8 +22,9 @@ _WEEK = duration_micros(f"{rules.VELOCITY_DAYS} days")
 
 
 def _last_products(products: DataFrame) -> DataFrame:
-    last = F.max_by(F.struct("stock_quantity", "name", "price", "event_ts"), "event_ts")
-    return products.groupBy(F.col("id").alias("product_id")).agg(last.alias("p")).select(
+    position = F.struct(*event_order(products))
+    last = F.max_by(F.struct("stock_quantity", "name", "price", "event_ts"), position)
+    return require_key(products, "id").groupBy(F.col("id").alias("product_id")).agg(last.alias("p")).select(
         "product_id",
         F.col("p.stock_quantity").alias("_stock"),
         F.col("p.name").alias("product_name"),
@@ -32,8 +34,13 @@ def _last_products(products: DataFrame) -> DataFrame:
 
 
 def _sold_since(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Per product: last set stock, and units sold at or after that moment."""
-    sold = items.select("product_id", "quantity", "event_ts")
+    """Per product: last set stock, and units sold at or after that moment.
+
+    Items are folded per product and event time first, map-side, so a hot product is small before the join.
+    """
+    sold = require_key(items, "product_id").groupBy("product_id", "event_ts").agg(
+        F.sum(F.col("quantity").cast("bigint")).alias("quantity")
+    )
     # The left join keeps items of unknown products, which start at stock 0.
     known = _last_products(products)
     after = F.col("_set_at").isNull() | (F.col("event_ts") >= F.col("_set_at"))
@@ -41,7 +48,7 @@ def _sold_since(products: DataFrame, items: DataFrame) -> DataFrame:
         sold.join(known.select("product_id", "_set_at"), "product_id", "left")
         .filter(after)
         .groupBy("product_id")
-        .agg(F.sum(F.col("quantity").cast("bigint")).alias("_sold"))
+        .agg(F.sum("quantity").alias("_sold"))
     )
     return known.join(by_item, "product_id", "full").withColumns({
         "_stock": F.coalesce("_stock", F.lit(0)).cast("bigint"),
@@ -62,9 +69,10 @@ def current_inventory(products: DataFrame, items: DataFrame) -> DataFrame:
 def optimizer_stock(products: DataFrame, items: DataFrame) -> DataFrame:
     """Stock per product, never below 0.
 
-    Sales are not negative, so clamping after every sale equals clamping their sum once.
+    Sales are not negative (``valid_items``; others are left out), so clamping after every sale equals clamping
+    their sum once.
     """
-    return _sold_since(products, items).select(
+    return _sold_since(products, valid_items(items)[0]).select(
         "product_id",
         F.greatest(F.lit(0), F.col("_stock") - F.col("_sold")).alias("current_stock"),
     )
@@ -75,7 +83,10 @@ def low_stock(inventory: DataFrame, limit: int = rules.LOW_STOCK) -> DataFrame:
 
 
 def valid_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): items the stock algebra holds for, and items with a negative quantity."""
+    """(good, bad): items the clamped stock algebra holds for, and items with a negative quantity.
+
+    The clamped operators keep the good ones; send the bad ones to the dead letters.
+    """
     ok = F.coalesce(F.col("quantity"), F.lit(0)) >= 0
     bad = items.filter(~ok).withColumn("error", F.lit("Processing failed"))
     return items.filter(ok), bad
@@ -92,7 +103,7 @@ def apply_deltas(
 
 def _log(products: DataFrame, items: DataFrame, ties: Sequence[str]) -> DataFrame:
     """One tagged log; ``_kind`` puts product events before items of the same time."""
-    p = products.select(
+    p = require_key(products, "id").select(
         F.col("id").alias("product_id"),
         F.lit(0).alias("_kind"),
         F.coalesce("name", F.lit("Unknown")).alias("_name"),
@@ -100,7 +111,7 @@ def _log(products: DataFrame, items: DataFrame, ties: Sequence[str]) -> DataFram
         F.coalesce("stock_quantity", F.lit(0)).cast("bigint").alias("_set"),
         micros(F.col("event_ts")).alias("event_us"),
     )
-    i = items.select(
+    i = require_key(valid_items(items)[0], "product_id").select(
         "product_id",
         F.lit(1).alias("_kind"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("_qty"),
@@ -241,7 +252,7 @@ def inventory_history(
 
 
 def trending_products(items: DataFrame, as_of: datetime | str) -> DataFrame:
-    """Velocity of the last 7 days against the 7 days before, fastest growth first."""
+    """Velocity of the last 7 days against the 7 days before; the caller orders the rows."""
     now, at = as_timestamp(as_of), F.col("event_ts")
     week = F.expr(f"INTERVAL {rules.VELOCITY_DAYS} DAYS")
     recent = items.filter((at <= now) & (at > now - week - week))
@@ -255,4 +266,4 @@ def trending_products(items: DataFrame, as_of: datetime | str) -> DataFrame:
         rules.velocity(F.col("_old")).alias("previous_velocity"),
         (F.col("_new") - F.col("_old")).alias("unit_change"),
         F.try_divide(F.col("_new").cast("double"), F.col("_old").cast("double")).alias("ratio"),
-    ).orderBy(F.desc("unit_change"), F.asc("product_id"))
+    )

@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import written
+from ..session import shared_dir, written
 
 #: Rows of one key that a single task may sort and scan.
 MAX_ROWS_PER_KEY = 4_000_000
@@ -28,13 +28,6 @@ BROADCAST_ROWS = 200_000
 _CHUNK = "_chunk"
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
-
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -51,6 +44,7 @@ def per_key(
     ``order`` names the columns of the event order within a key; together they should tell
     rows apart.
     """
+    shared_dir(df.sparkSession)  # a missing setting shows now, not on the day a key grows large
     limit = max_rows or MAX_ROWS_PER_KEY
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.filter(F.col("_rows") > limit)

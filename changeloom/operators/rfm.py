@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.rules import average, recency_days, segment
 from ..functions.times import as_timestamp
+from .envelope import require_key
 from .ordered import per_key
 
 
@@ -31,7 +32,7 @@ def _finish(df: DataFrame, as_of: Column, *extra: str) -> DataFrame:
 
 def rfm_totals(orders: DataFrame, ts: str = "event_ts") -> DataFrame:
     """The mergeable part: count, spend, first and last order per customer."""
-    return orders.groupBy("customer_id").agg(
+    return require_key(orders, "customer_id").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("total_amount").alias("total_spent"),
         F.min(ts).alias("first_order_date"),
@@ -56,7 +57,7 @@ def rfm_history(
 
     Recency is measured at the order's own time unless ``as_of`` is given.
     """
-    rows = orders.select(
+    rows = require_key(orders, "customer_id").select(
         "customer_id", "total_amount", *dict.fromkeys(["id", *order]), F.col(ts).alias("_ts")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import cents, price_display, tokenize
 from ..functions.times import as_timestamp
+from .envelope import event_order
 from .state import latest_state
 
 #: Product ids per posting list row; bounds the size of every collected list.
@@ -32,7 +33,7 @@ def search_documents(
         F.coalesce("stock_quantity", F.lit(0)).cast("bigint").alias("stock_quantity"),
         # No word spans the blank, so this is the union of both token lists in one pass.
         tokenize(F.concat_ws(" ", name, description)).alias("search_tokens"),
-        F.coalesce(*[F.col(c) for c in changed]).alias("cdc_timestamp"),
+        F.coalesce(*[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for c in changed], F.lit("")).alias("cdc_timestamp"),
     )
     if indexed_at is not None:
         docs = docs.withColumn("indexed_at", as_timestamp(indexed_at))
@@ -40,14 +41,14 @@ def search_documents(
 
 
 def search_index(
-    changes: DataFrame, ordering: Sequence[str] = ("event_ts",),
+    changes: DataFrame, ordering: Sequence[str] | None = None,
     indexed_at: datetime | str | Column | None = None,
 ) -> DataFrame:
     """Documents of the current products: rows of ``parse_rows`` with deletes applied.
 
     Text is tokenised after the fold, so each product is tokenised once.
     """
-    return search_documents(latest_state(changes, "id", ordering), indexed_at)
+    return search_documents(latest_state(changes, "id", ordering or event_order(changes)), indexed_at)
 
 
 def by_id(index: DataFrame, product_id: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import as_timestamp
 from ..schemas import DELETE, OPS_REPORT, UPDATE
+from .envelope import event_order
 from .ordered import per_key
 
 
@@ -53,7 +54,7 @@ def retain(df: DataFrame, days: int, as_of: datetime | str | Column, ts: str = "
 
 
 def _status_steps(
-    events: DataFrame, key: str, ordering: Sequence[str], max_rows: int | None, inserts: bool
+    events: DataFrame, key: str, ordering: Sequence[str] | None, max_rows: int | None, inserts: bool, full_images: bool
 ) -> DataFrame:
     """Count changes ``status, delta`` of all events, in one pass over the log.
 
@@ -68,7 +69,12 @@ def _status_steps(
         old = F.coalesce(F.col("old_status"), F.col("_known")) if has_old else F.col("_known")
         return d.select("operation", old.alias("old"), F.col("status").alias("new"))
 
-    moves = per_key(events, key, ordering, body, max_rows)
+    if full_images:
+        if not has_old:
+            raise ValueError("full images bring a column old_status")
+        moves = events.select("operation", F.col("old_status").alias("old"), F.col("status").alias("new"))
+    else:
+        moves = per_key(events, key, ordering or event_order(events), body, max_rows)
     moved = (F.col("operation") == UPDATE) & (F.col("old") != F.col("new"))
 
     def step(hit: Column, status: Column, delta: int) -> Column:
@@ -82,22 +88,23 @@ def _status_steps(
 
 
 def status_deltas(
-    events: DataFrame, key: str = "id", ordering: Sequence[str] = ("event_ts",),
-    max_rows: int | None = None,
+    events: DataFrame, key: str = "id", ordering: Sequence[str] | None = None,
+    max_rows: int | None = None, full_images: bool = False,
 ) -> DataFrame:
     """Net change per status from updates: −1 for the old one, +1 for the new one.
 
     ``events`` has ``operation, status``, the key and ordering columns, and ``old_status`` where
-    the log carries old images.
+    the log carries old images.  ``full_images`` says that every update carries its old image
+    (``quality.full_image_check`` verifies it): rows are then only counted, and no key's history is put in order.
     """
-    steps = _status_steps(events, key, ordering, max_rows, inserts=False)
+    steps = _status_steps(events, key, ordering, max_rows, False, full_images)
     return steps.groupBy("status").agg(F.sum("delta").alias("delta"))
 
 
 def order_status_distribution(
-    events: DataFrame, key: str = "id", ordering: Sequence[str] = ("event_ts",),
-    max_rows: int | None = None,
+    events: DataFrame, key: str = "id", ordering: Sequence[str] | None = None,
+    max_rows: int | None = None, full_images: bool = False,
 ) -> DataFrame:
     """Orders per status: +1 at insert, moved by updates."""
-    steps = _status_steps(events, key, ordering, max_rows, inserts=True)
+    steps = _status_steps(events, key, ordering, max_rows, True, full_images)
     return steps.groupBy("status").agg(F.sum("delta").alias("order_count"))

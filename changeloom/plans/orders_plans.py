@@ -168,7 +168,7 @@ def _status_deltas(spark, sf):
     ("ord",),
 )
 def _status_distribution(spark, sf):
-    return state.order_status_distribution(status_events(spark, sf, "standard"))
+    return state.order_status_distribution(status_events(spark, sf, "standard"), full_images=True)
 
 
 @query(
@@ -468,8 +468,10 @@ def _replayed_files(spark, sf):
 @query(
     "archived_changes",
     """
-    SELECT 'orders' AS "table", strftime(event_ts, '%Y-%m-%d') AS event_date, operation, count(*) AS events
+    SELECT 'orders' AS "table", strftime(event_ts, '%Y-%m-%d') AS event_date, operation, 'event' AS status, count(*) AS events
     FROM ev GROUP BY 2, 3
+    UNION ALL SELECT 'unknown', NULL, 'unknown', 'tombstone', count(*) FROM ev WHERE operation = 'd'
+    UNION ALL SELECT 'unknown', NULL, 'unknown', 'malformed', count(*) FROM ev WHERE id % 100 = 0
     """,
     ("ev",),
 )
@@ -478,9 +480,13 @@ def _archived(spark, sf):
     log = changes.to_change_log(
         fixtures.spread(fixtures.order_events(spark, sf)), ORDERS, F.col("operation"), F.col("event_ts")
     )
-    archive(log, root)
+    # Each delete is followed by a tombstone, and some messages are cut short.
+    events = fixtures.order_events(spark, sf)
+    tombstones = events.filter("operation = 'd'").select(F.lit(None).cast("string").alias("value"))
+    broken = events.filter("id % 100 = 0").select(F.lit('{"id": 1,').alias("value"))
+    archive(log.select("value").unionByName(tombstones).unionByName(broken), root)
     rows = spark.read.parquet(root)
-    return rows.groupBy("table", "event_date", "operation").agg(F.count(F.lit(1)).alias("events"))
+    return rows.groupBy("table", "event_date", "operation", "status").agg(F.count(F.lit(1)).alias("events"))
 
 
 @query(
@@ -535,13 +541,47 @@ def _recent_changes(spark, sf):
     ("ord",),
 )
 def _report_files(spark, sf):
-    """The daily report as written, read back from its JSON object."""
+    """The daily report as written, read back from its rows."""
     at = datetime(2025, 1, 15, 10, 30)
     daily = reports.daily_sales(fixtures.orders(spark, sf))
     path = write_report(daily, "date", "daily_sales", scratch_path(spark, "reports"), at)
     value = "struct<total_amount:decimal(22,2),order_count:bigint>"
-    rows = spark.read.schema(f"report_type string, data map<string,{value}>").json(path)
-    return rows.select(F.explode("data").alias("date", "v")).select("date", "v.*")
+    rows = spark.read.schema(f"report_type string, key string, value {value}").json(path)
+    return rows.select(F.col("key").alias("date"), "value.*")
+
+
+@query(
+    "customer_report_file",
+    """
+    SELECT CAST(customer_id AS VARCHAR) AS customer_id, count(*) AS order_count,
+           CAST(sum(total_amount) AS DOUBLE) AS total_spent
+    FROM ord GROUP BY customer_id
+    """,
+    ("ord",),
+)
+def _customer_report_file(spark, sf):
+    """A report of every customer: the same layout at any length."""
+    at = datetime(2025, 1, 15, 10, 30)
+    rows = reports.customer_metrics(fixtures.orders(spark, sf))
+    path = write_report(rows, "customer_id", "customers", scratch_path(spark, "reports"), at)
+    value = "struct<order_count:bigint,total_spent:decimal(22,2)>"
+    back = spark.read.schema(f"key string, value {value}").json(path)
+    return back.select(F.col("key").alias("customer_id"), "value.order_count", "value.total_spent")
+
+
+@query(
+    "short_report_object",
+    """
+    SELECT status, count(*) AS order_count FROM ord GROUP BY status
+    """,
+    ("ord",),
+)
+def _short_report_object(spark, sf):
+    """A report that is short by definition, as one JSON object."""
+    rows = fixtures.orders(spark, sf).groupBy("status").agg(F.count("*").alias("order_count"))
+    path = write_report(rows, "status", "order_status", scratch_path(spark, "reports"), datetime(2025, 1, 15), as_object=True)
+    back = spark.read.schema("data map<string,bigint>").json(path)
+    return back.select(F.explode("data").alias("status", "order_count"))
 
 
 @query(

@@ -171,5 +171,5 @@ def _stream_report(spark, sf):
         trigger={"availableNow": True}, now=lambda: datetime(2025, 1, 15, 10, 30),
     ).awaitTermination()
     value = "struct<total_amount:decimal(22,2),order_count:bigint>"
-    rows = spark.read.schema(f"data map<string,{value}>").json(f"{root}/daily_sales/20250115_103000")
-    return rows.select(F.explode("data").alias("date", "v")).select("date", "v.*")
+    rows = spark.read.schema(f"key string, value {value}").json(f"{root}/daily_sales/20250115_103000")
+    return rows.select(F.col("key").alias("date"), "value.*")

@@ -15,11 +15,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join also where an aggregate on the same key follows and needs a new shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keyed state of streams lives on executor disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-#: Keyed state of the streaming operators lives on executor disk, not on the heap.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -38,10 +38,6 @@ def build_session(app: str = "changeloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -50,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     named = tempfile.mkdtemp(prefix="changeloom-")
     spark.conf.set("spark.checkpoint.dir", named)

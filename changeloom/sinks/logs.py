@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.envelope import read_metadata
+from ..operators.envelope import UNKNOWN, read_metadata
 
 
 def write_dlq(letters: DataFrame, root: str) -> None:
@@ -14,9 +14,16 @@ def write_dlq(letters: DataFrame, root: str) -> None:
 
 
 def archive_rows(df: DataFrame, value: str = "value") -> DataFrame:
-    """Raw events with table, operation, event time and day, ready for partitioned storage."""
-    return read_metadata(df, value).filter(~F.col("corrupt") & F.col(value).isNotNull()).select(
-        "table", "operation", "event_ts", F.to_date("event_ts").alias("event_date"), value
+    """Every raw message with table, operation, event time and day, ready for partitioned storage.
+
+    ``status`` is ``event``, ``tombstone`` (no value) or ``malformed``; the last two stand under table ``unknown``.
+    """
+    status = F.when(F.col(value).isNull(), "tombstone").when(F.col("corrupt"), "malformed").otherwise("event")
+    known = status == "event"
+    return read_metadata(df, value).select(
+        F.when(known, F.col("table")).otherwise(F.lit(UNKNOWN)).alias("table"),
+        F.when(known, F.col("operation")).otherwise(F.lit(UNKNOWN)).alias("operation"),
+        "event_ts", F.to_date("event_ts").alias("event_date"), status.alias("status"), value,
     )
 
 

@@ -1,19 +1,20 @@
-"""Report files: ``<root>/<report>/<yyyymmdd_hhmmss>``, one folder per report and flush."""
+"""Report files: ``<root>/<report>/<yyyymmdd_hhmmss>``, one folder per report and flush.
+
+A report is written as one JSON line per row, whatever its length.  The single JSON object with a ``data`` map is for
+reports that are short by definition (top lists, order status, summary); the caller asks for it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Reports up to this many rows are written as one JSON object, longer ones as one line per row.
-OBJECT_ROWS = 10_000
-
-
 def report_object(report: DataFrame, key: str, name: str, at: datetime) -> DataFrame:
     """The report as one row ``report_type, generated_at, data`` with a map from key to values.
 
-    Only for reports known to be short; ``write_report`` checks that.
+    Only for reports that are short by definition: the map is one value in one task.
     """
     return report.agg(F.map_from_entries(F.collect_list(_entry(report, key))).alias("data")).select(
         F.lit(name).alias("report_type"), F.lit(at.isoformat()).alias("generated_at"), "data"
@@ -35,13 +36,9 @@ def _entry(report: DataFrame, key: str) -> Column:
     return F.struct(F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("key"), value.alias("value"))
 
 
-def write_report(report: DataFrame, key: str, name: str, root: str, at: datetime) -> str:
+def write_report(report: DataFrame, key: str, name: str, root: str, at: datetime, as_object: bool = False) -> str:
     path = f"{root.rstrip('/')}/{name}/{at:%Y%m%d_%H%M%S}"
-    # At most OBJECT_ROWS + 1 rows are counted, and no row reaches the driver.
-    if report.limit(OBJECT_ROWS + 1).count() <= OBJECT_ROWS:
-        out = report_object(report, key, name, at).coalesce(1)
-    else:
-        out = report_lines(report, key, name, at)
+    out = report_object(report, key, name, at).coalesce(1) if as_object else report_lines(report, key, name, at)
     out.write.mode("overwrite").json(path)
     return path
 
@@ -51,8 +48,6 @@ def write_summary(summary: DataFrame, root: str, at: datetime, status: DataFrame
     path = f"{root.rstrip('/')}/summary/{at:%Y%m%d_%H%M%S}"
     fields = [F.col(c) for c in summary.columns]
     if status is not None:
-        if status.limit(OBJECT_ROWS + 1).count() > OBJECT_ROWS:
-            raise ValueError("too many order statuses for one object; write them as a report")
         by_name = status.agg(
             F.map_from_entries(F.collect_list(F.struct("status", "order_count"))).alias(
                 "order_status_breakdown"
@@ -71,9 +66,10 @@ def write_summary(summary: DataFrame, root: str, at: datetime, status: DataFrame
 
 
 def write_reports(
-    reports: dict[str, tuple[DataFrame, str]], root: str, at: datetime
+    reports: dict[str, tuple[DataFrame, str]], root: str, at: datetime, as_object: Iterable[str] = ()
 ) -> dict[str, str]:
-    """Write several reports; each entry gives the frame and its key column."""
+    """Write several reports; each entry gives the frame and its key column, ``as_object`` the short ones."""
+    short = set(as_object)
     return {
-        name: write_report(df, key, name, root, at) for name, (df, key) in reports.items()
+        name: write_report(df, key, name, root, at, name in short) for name, (df, key) in reports.items()
     }

@@ -13,6 +13,9 @@ from ..operators.state import compact
 
 ITEMS_PER_WRITE = 25  # fixed value: items in one store request
 
+#: Batches between two compactions of a streaming sink.
+COMPACT_EVERY = 20
+
 _DELETED = "_deleted"
 _BATCH = "batch_id"
 
@@ -27,7 +30,8 @@ class KeyedTable:
 
     A batch costs what it holds, not what the table holds.  Writing the same batch id again
     replaces that folder, so replays after a failure change nothing.  ``compact`` folds all
-    batches up to one into a base folder from time to time.
+    batches up to one into a base folder; ``sink`` does so every ``COMPACT_EVERY`` batches.  A list of
+    finished folders is kept beside them: what a failed writer left half done is not in it and never read.
     """
 
     def __init__(self, root: str, key: str | Sequence[str], ordering: Sequence[str]):
@@ -40,48 +44,59 @@ class KeyedTable:
         gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
         last = compact(batch.withColumn(_DELETED, gone), self.key, self.ordering)
         last.write.mode("overwrite").parquet(f"{self.root}/batches/{_BATCH}={int(batch_id)}")
+        self._finished(batch.sparkSession, "batch", int(batch_id))
 
     def sink(
-        self, deleted: Column | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None
+        self, deleted: Column | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None,
+        every: int = COMPACT_EVERY,
     ) -> Callable[[DataFrame, int], None]:
-        """Function for ``foreachBatch``."""
+        """Function for ``foreachBatch``; folds the batches after each ``every`` of them."""
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             self.write(prepare(batch) if prepare else batch, batch_id, deleted)
+            if batch_id % every == every - 1:
+                self.compact(batch.sparkSession)
 
         return on_batch
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current rows."""
-        return self._merged(spark).filter(~F.col(_DELETED)).drop(_DELETED, _BATCH)
+        return self._merged(spark, *self._parts(spark)).filter(~F.col(_DELETED)).drop(_DELETED, _BATCH)
 
     def compact(self, spark: SparkSession) -> int:
-        """Fold all batches into a new base; returns the last batch id in it.
+        """Fold the batches finished by now into a new base; returns the last batch id in it.
 
-        Old folders stay: readers that started before keep working, and a base counts only once
-        its writer has finished.  Deletes remain as markers, so late batches still meet them.
+        Old folders stay: readers that started before keep working.  Deletes remain as markers, so late
+        batches still meet them.
         """
-        merged = self._merged(spark)
-        upto = self._batches(spark).agg(F.max(_BATCH)).first()[0]
-        merged.write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
+        base, batches = self._parts(spark)
+        upto = max(batches, default=base)
+        if upto is None:
+            raise ValueError("the table holds no finished batch")
+        if batches:
+            self._merged(spark, base, batches).write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
+            self._finished(spark, "base", upto)
         return upto
 
-    def _batches(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/batches")
+    def _finished(self, spark: SparkSession, kind: str, number: int) -> None:
+        row = spark.createDataFrame([(kind, number)], "kind string, number long")
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/finished")
 
-    def _base(self, spark: SparkSession) -> int | None:
-        """Newest finished base."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/base/upto=*/_SUCCESS")
-        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-        done = [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
-        return max(done, default=None)
+    def _parts(self, spark: SparkSession) -> tuple[int | None, list[int]]:
+        """Newest finished base, and the finished batches after it."""
+        done = [tuple(r) for r in spark.read.parquet(f"{self.root}/finished").distinct().collect()]
+        base = max((n for kind, n in done if kind == "base"), default=None)
+        return base, sorted(n for kind, n in done if kind == "batch" and (base is None or n > base))
 
-    def _merged(self, spark: SparkSession) -> DataFrame:
-        batches, base = self._batches(spark), self._base(spark)
+    def _merged(self, spark: SparkSession, base: int | None, batches: list[int]) -> DataFrame:
+        parts = []
         if base is not None:
-            old = spark.read.parquet(f"{self.root}/base/upto={base}")
-            batches = old.unionByName(batches.filter(F.col(_BATCH) > base))
-        return compact(batches, self.key, [*self.ordering, _BATCH])
+            parts.append(spark.read.parquet(f"{self.root}/base/upto={base}"))
+        if batches:
+            folders = [f"{self.root}/batches/{_BATCH}={n}" for n in batches]
+            parts.append(spark.read.option("basePath", f"{self.root}/batches").parquet(*folders))
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return compact(rows, self.key, [*self.ordering, _BATCH])
 
 
 def _item(c: Column, kind: T.DataType) -> Column:

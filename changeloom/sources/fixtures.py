@@ -8,6 +8,8 @@ from ..functions.times import micros
 from ..session import configure
 
 OPENING = "1995-01-01"
+#: Setting of benches and tests on tables with fewer splits than cores.
+SPREAD = "changeloom.spread"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,15 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give heavy work per row to all cores when the input has fewer splits than cores.
+    """Deal the rows of a table to as many tasks as ``changeloom.spread`` says; unset, leave them as they are.
 
-    A test table is a single row group and so a single task.  Input with more splits than cores,
-    as on a cluster, is left as it is.
+    A test table is a single row group and so a single task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    parts = df.sparkSession.conf.get(SPREAD, None)
+    return df if parts is None or df.isStreaming else df.repartition(int(parts))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

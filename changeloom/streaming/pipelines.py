@@ -18,7 +18,6 @@ from ..operators import inventory
 from ..operators.anomalies import Limits, alerts_from_features
 from ..operators.rfm import finish_totals, rfm_totals
 from ..operators.windows import _label, window_metrics
-from ..session import use_rocksdb
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable
 from .processors import FEATURES, STOCK_ROWS, AnomalyProcessor, InventoryProcessor
@@ -92,7 +91,6 @@ def session_stream(
 
 def anomaly_stream(orders: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Alerts as orders arrive (append mode)."""
-    use_rocksdb(orders.sparkSession)
     rows = orders.filter(F.col("customer_id").isNotNull()).select(
         "customer_id",
         "id",
@@ -112,7 +110,6 @@ def inventory_stream(
     products: DataFrame, items: DataFrame, ties: Sequence[str] = inventory.TIES
 ) -> DataFrame:
     """Insight row per product or sale event as it arrives (append mode)."""
-    use_rocksdb(products.sparkSession)
     none = F.lit(None).cast("bigint")
     p = products.select(
         F.col("id").alias("product_id"),
@@ -124,7 +121,7 @@ def inventory_stream(
         micros(F.col("event_ts")).alias("event_us"),
         *[none.alias(t) for t in ties],
     )
-    i = items.select(
+    i = inventory.valid_items(items)[0].select(
         "product_id",
         F.lit(1).alias("kind"),
         F.lit(None).cast("string").alias("name"),
@@ -196,8 +193,10 @@ def report_stream(
     """
     table = KeyedTable(f"{root.rstrip('/')}/_tables/{name}", key, [version])
 
+    on_batch = table.sink()
+
     def flush(batch: DataFrame, batch_id: int) -> None:
-        table.write(batch, batch_id)
+        on_batch(batch, batch_id)
         write_report(top(table.read(batch.sparkSession)), key, name, root, now())
 
     return start(

@@ -2,7 +2,9 @@
 
 Each processor keeps what its rules can still reach and works on whole micro-batches with array
 operations.  Rules and output fields are the batch operators' columns, applied after it.  Within
-a micro-batch events are put in order; across micro-batches they count in arrival order.
+a micro-batch events are put in order.  Across micro-batches an event counts what arrived before it and
+lies in its own window, so a late event neither misses earlier ones nor hides itself from later ones;
+state reaches back from the latest time seen.
 """
 
 from __future__ import annotations
@@ -42,9 +44,17 @@ def _last(mask: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1))
 
 
-def _since(times: np.ndarray, now: np.ndarray, width: int) -> np.ndarray:
-    """How many of the sorted ``times`` are at or before ``now - width``."""
-    return np.searchsorted(times, now - width, side="right")
+def _within(old: np.ndarray, amounts: np.ndarray, now: np.ndarray, added: np.ndarray, width: int) -> np.ndarray:
+    """Per new event: the sum of the amounts that arrived up to it and lie after its time less ``width``.
+
+    ``now`` is in order inside the micro-batch; ``old`` need not be, as late events join it in any order.
+    """
+    at = np.argsort(old, kind="stable")
+    before = np.concatenate([[0], np.cumsum(amounts[at])])
+    inside = np.concatenate([[0], np.cumsum(added)])
+    gone = np.searchsorted(old[at], now - width, side="right")
+    passed = np.searchsorted(now, now - width, side="right")
+    return before[-1] - before[gone] + inside[1:] - inside[passed]
 
 
 class AnomalyProcessor(StatefulProcessor):
@@ -66,8 +76,9 @@ class AnomalyProcessor(StatefulProcessor):
         batch = _batch(rows, ["event_us", "id"])
         now, cents = batch["event_us"].astype(np.int64), batch["cents"].astype(np.int64)
 
-        times = np.concatenate([np.asarray(times0, np.int64), now])
-        at = len(times0) + np.arange(1, len(now) + 1)
+        old = np.asarray(times0, np.int64)
+        times = np.concatenate([old, now])
+        ones, new = np.ones(len(old), np.int64), np.ones(len(now), np.int64)
 
         # Exact integer sums over the last rows: running totals of Python integers.
         amounts = np.concatenate([np.asarray(amounts0, np.int64), cents]).astype(object)
@@ -92,14 +103,14 @@ class AnomalyProcessor(StatefulProcessor):
             "event_us": now,
             "total_customer_orders": n0 + np.arange(1, len(now) + 1),
             "total_customer_amount": _decimals(total),
-            "spike_count": at - _since(times, now, self.spike),
-            "rapid_count": at - _since(times, now, self.rapid),
+            "spike_count": _within(old, ones, now, new, self.spike),
+            "rapid_count": _within(old, ones, now, new, self.rapid),
             "mean_amount": mean,
             "stddev_amount": np.where(n > 1, deviation, np.nan),
             "z_score": pd.array(z, dtype="Float64"),
         })
 
-        reach = times[times > now[-1] - max(self.spike, self.rapid)]
+        reach = np.sort(times[times > times.max() - max(self.spike, self.rapid)])
         self.state.update((
             int(n0 + len(now)), int(total[-1]), reach.tolist(), amounts[-self.limits.z_rows:].tolist(),
         ))
@@ -151,9 +162,7 @@ class InventoryProcessor(StatefulProcessor):
 
         times = np.concatenate([np.asarray(times0, np.int64), now])
         units = np.concatenate([np.asarray(units0, np.int64), qty])
-        run = np.concatenate([[0], np.cumsum(units)])
-        at = len(times0) + np.arange(1, len(now) + 1)
-        recent = run[at] - run[_since(times, now, self.window)]
+        recent = _within(np.asarray(times0, np.int64), np.asarray(units0, np.int64), now, qty, self.window)
 
         def carried(values: np.ndarray, last: np.ndarray, old) -> np.ndarray:
             return np.where(last >= 0, values.astype(object)[last], old)
@@ -174,7 +183,7 @@ class InventoryProcessor(StatefulProcessor):
             "restock_us": pd.array(restocks, dtype="Int64"),
         })
 
-        keep = (times > now[-1] - self.window) & (units != 0)
+        keep = (times > times.max() - self.window) & (units != 0)
         self.state.update((
             bool(known or is_set.any()), names[-1], prices[-1], int(after[-1]), sales[-1], restocks[-1],
             times[keep].tolist(), units[keep].tolist(),

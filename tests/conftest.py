@@ -13,7 +13,7 @@ from changeloom.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g", "changeloom.spread": "4"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

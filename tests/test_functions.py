@@ -117,3 +117,25 @@ def test_sql_functions(spark):
         assert spark.sql(f"SELECT decode_money('{wire}')").first()[0] == Decimal(value)
     assert spark.sql("SELECT decode_money(NULL), decode_money('!!bad')").first()[:] == (Decimal("0.00"),) * 2
     assert spark.sql("SELECT tokenize('Ring of RINGS, ring')").first()[0] == ["of", "ring", "rings"]
+
+
+def test_money_of_any_length(spark):
+    from base64 import b64encode
+
+    from changeloom.functions.decimals import decode_base64, decode_decimal, overflows
+    from changeloom.functions.registry import register
+
+    register(spark)
+    cents = [1299, -1299, 0, 127, 128, -128, -129, 10**12 - 1, -(10**12) + 1]
+    texts = [(b64encode(c.to_bytes(n, "big", signed=True)).decode(), c) for c in cents for n in (6, 8, 9, 12, 16, 20)]
+    big = [b64encode(c.to_bytes(n, "big", signed=True)).decode() for c, n in ((10**12, 8), (-(10**14), 9), (2**100, 16), (2**140, 20))]
+    df = spark.createDataFrame([*texts, *[(t, None) for t in big], ("%", 0), (None, 0), ("12.5", 1250)], "t string, c long")
+    rows = df.select("c", decode_decimal(F.col("t")).alias("v"), overflows(F.col("t")).alias("o"), F.expr("decode_money(t)").alias("m")).collect()
+    for r in rows:
+        assert r.v == r.m
+        if r.c is None:
+            assert r.v is None and r.o
+        else:
+            assert r.v * 100 == r.c and not r.o
+    wide = df.select(decode_base64(F.col("t"), 2, 38).alias("v")).filter("v > 1000000000000").count()
+    assert wide >= 1

@@ -151,5 +151,5 @@ def test_bursts_and_trends(spark):
     sold = spark.createDataFrame(
         [(1, 7, datetime(2025, 1, 14)), (1, 14, datetime(2025, 1, 5)), (2, 7, datetime(2025, 1, 14))],
         "product_id bigint, quantity int, event_ts timestamp")
-    top = inventory.trending_products(sold, "2025-01-15").collect()
+    top = inventory.trending_products(sold, "2025-01-15").orderBy(F.desc("unit_change"), "product_id").collect()
     assert [(r.product_id, r.velocity, r.previous_velocity, r.ratio) for r in top] == [(2, 1.0, 0.0, None), (1, 1.0, 2.0, 0.5)]

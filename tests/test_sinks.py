@@ -31,10 +31,37 @@ def test_keyed_table(spark, tmp_path):
     assert table.compact(spark) == 1 and rows(table.read(spark)) == wanted
     table.write(batch(spark, (1, "old", 1, False), (2, "e", 3, False)), 2, gone)  # late, and back again
     assert rows(table.read(spark)) == [(1, "b", 2, False), (2, "e", 3, False), (3, "d", 2, False)]
-    os.remove(glob(f"{tmp_path}/base/upto=1/_SUCCESS")[0])  # an unfinished base does not count
+    # A folder that its writer did not finish does not count.
+    batch(spark, (9, "half", 9, False)).withColumn("_deleted", F.lit(False)).write.parquet(f"{tmp_path}/batches/batch_id=7")
+    batch(spark).write.parquet(f"{tmp_path}/base/upto=9")
     assert len(rows(table.read(spark))) == 3
 
 
+def test_batch_written_during_compaction(spark, tmp_path, monkeypatch):
+    table = KeyedTable(str(tmp_path), "k", ["n"])
+    table.write(batch(spark, (1, "a", 1, False)), 0)
+    merged = table._merged
+
+    def slow(*args):
+        found = merged(*args)
+        monkeypatch.setattr(table, "_merged", merged)
+        table.write(batch(spark, (2, "b", 1, False)), 1)
+        return found
+
+    monkeypatch.setattr(table, "_merged", slow)
+    assert table.compact(spark) == 0
+    assert len(rows(table.read(spark))) == 2
+
+
+def test_sink_compacts(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), "k", ["n"])
+    on_batch = table.sink(every=2)
+    for n in range(5):
+        on_batch(batch(spark, (n % 2, str(n), n, False)), n)
+    assert table._parts(spark) == (3, [4])
+    assert rows(table.read(spark)) == [(0, "4", 4, False), (1, "3", 3, False)]
+
+
 def test_item_form(spark):
     df = spark.createDataFrame(
         [(1, 0.1, None, {"a": None, "b": 1.5}, ["x", None], (None, 2.5))],
@@ -78,13 +105,13 @@ def test_reports(spark, tmp_path):
             "customer_metrics": (reports.top_customers(o), "customer_id"),
             "order_status": (status, "status"),
         },
-        str(tmp_path), AT,
+        str(tmp_path), AT, as_object=("product_sales", "customer_metrics", "order_status"),
     )
     assert paths["daily_sales"] == f"{tmp_path}/daily_sales/20250115_103000"
     [daily] = read_json(paths["daily_sales"])
     assert daily == {
         "report_type": "daily_sales", "generated_at": "2025-01-15T10:30:00",
-        "data": {"2025-01-15": {"total_amount": 1819.96, "order_count": 3}}}
+        "key": "2025-01-15", "value": {"total_amount": 1819.96, "order_count": 3}}
     [top] = read_json(paths["product_sales"])
     assert top["data"]["1"] == {"quantity_sold": 1, "total_revenue": 1299.99}
     [by_status] = read_json(paths["order_status"])
@@ -95,12 +122,12 @@ def test_reports(spark, tmp_path):
         "order_status_breakdown": {"completed": 1, "pending": 1, "processing": 1}}
 
 
-def test_long_reports_become_lines(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(report_sink, "OBJECT_ROWS", 2)
-    path = report_sink.write_report(reports.customer_metrics(orders(spark)), "customer_id", "c", str(tmp_path), AT)
-    lines = read_json(path)
-    assert sorted(x["key"] for x in lines) == ["1001", "1002", "1003"]
-    assert lines[0]["report_type"] == "c"
+def test_one_layout_at_every_length(spark, tmp_path):
+    long = spark.range(10_001).select(F.col("id").alias("customer_id"), F.lit(1).alias("order_count"))
+    for n in (3, 10_000, 10_001):
+        path = report_sink.write_report(long.limit(n), "customer_id", f"c{n}", str(tmp_path), AT)
+        back = spark.read.schema("report_type string, key string, value int").json(path)
+        assert back.filter("value = 1 and key is not null").count() == n
 
 
 def test_dlq_and_archive(spark, tmp_path):
@@ -116,6 +143,9 @@ def test_dlq_and_archive(spark, tmp_path):
     both = [spark.read.parquet(f"{tmp_path}/{k}").drop("event_ts") for k in ("batch", "stream")]
     assert rows(both[0]) == rows(both[1]) and both[0].count() == 3
     assert os.path.isdir(f"{tmp_path}/batch/table=orders/event_date=2025-01-15")
+    odd = spark.createDataFrame([(None,), ("{",)], "value string")
+    archive(odd, f"{tmp_path}/odd")
+    assert sorted(r.status for r in spark.read.parquet(f"{tmp_path}/odd").collect()) == ["malformed", "tombstone"]
 
 
 def test_apply_deltas(spark):

@@ -128,3 +128,21 @@ def test_replay_of_text_log(spark, events, tmp_path):
     got = pipelines.run(envelope.parse_rows(text, ORDERS), f"{tmp_path}/cp", f"{tmp_path}/out")
     assert got.count() == df.count()
     assert rows(got.select("id", "total_amount", "status")) == rows(df.select("id", "total_amount", "status"))
+
+
+def test_late_events_count_what_came_before():
+    import numpy as np
+
+    from changeloom.streaming.processors import _within
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        old = rng.integers(0, 50, rng.integers(0, 8))
+        amounts = rng.integers(0, 5, len(old))
+        now = np.sort(rng.integers(0, 50, rng.integers(1, 6)))
+        added = rng.integers(0, 5, len(now))
+        want = [amounts[old > t - 10].sum() + sum(a for u, a in zip(now[:k + 1], added) if u > t - 10) for k, t in enumerate(now)]
+        assert _within(old, amounts, now, added, 10).tolist() == want
+    minute = 60
+    # 05:00, 04:30, 05:01 in three batches: the third has two orders within five minutes.
+    assert _within(np.array([300, 270]) * minute, np.ones(2, int), np.array([301]) * minute, np.ones(1, int), 5 * minute).tolist() == [2]
