@@ -25,6 +25,7 @@ class Limits:
     z_rows: int = 100
     z_min_rows: int = 3
     large_amount: float = 1000.0
+    kept: str = "24 hours"  # order times a stream keeps, back from the last order handled
 
 
 SPIKE, RAPID, OUTLIER, LARGE = "order_spike", "rapid_orders", "statistical_outlier", "large_order"

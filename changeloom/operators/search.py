@@ -82,12 +82,17 @@ def inverted_index(index: DataFrame, block: int = POSTING_BLOCK) -> DataFrame:
     postings = index.select(F.explode_outer("search_tokens").alias("token"), "product_id").filter(
         F.col("token").isNotNull()
     )
-    return postings.groupBy("token", F.floor(F.col("product_id") / block).alias("block")).agg(
+    return postings.groupBy("token", F.expr(f"product_id div {int(block)}").alias("block")).agg(
         F.sort_array(F.collect_list("product_id")).alias("product_ids"),
         F.count(F.lit(1)).alias("doc_count"),
     )
 
 
+def token_counts(postings: DataFrame) -> DataFrame:
+    """Documents per token: the blocks of the inverted index added up."""
+    return postings.groupBy("token").agg(F.sum("doc_count").alias("doc_count"))
+
+
 def search(index: DataFrame, query: str, require_all: bool = True) -> DataFrame:
     """Products matching a query, best first; all its words, or any of them."""
     wanted = tokenize(F.lit(query))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-from ..operators import anomalies, envelope, inventory, rfm, windows
+from ..operators import anomalies, envelope, inventory, rfm, state, windows
 from ..schemas import OPS_SALES
 from ..sources import fixtures
 from .catalog import query, ts_text
@@ -22,6 +22,26 @@ def sale_events(spark: SparkSession, sf: str) -> DataFrame:
     return envelope.with_ops(fixtures.order_events(spark, sf), OPS_SALES)
 
 
+_SEGMENT = """
+    CASE WHEN recency_days > 90 THEN 'Churned'
+         WHEN total_orders >= 5 AND total_spent >= 500 THEN 'VIP'
+         WHEN recency_days > 30 AND total_orders >= 3 THEN 'At-Risk'
+         WHEN total_orders <= 2 THEN 'New' ELSE 'Regular' END
+"""
+
+
+def _rfm_events_sql(customer: str) -> str:
+    """Segments of the sale events under another customer column."""
+    return f"""
+    + k AS (SELECT {customer} AS customer_id, total_amount, event_ts FROM ev WHERE operation <> 'd'),
+    t AS (SELECT customer_id, count(*) AS total_orders, sum(total_amount) AS total_spent,
+                 date_diff('day', CAST(max(event_ts) AS DATE), CAST('{RFM_AS_OF}' AS DATE)) AS days,
+                 CAST(floor(epoch(TIMESTAMP '{RFM_AS_OF}' - max(event_ts)) / 86400) AS BIGINT) AS recency_days
+          FROM k WHERE customer_id IS NOT NULL GROUP BY 1)
+    SELECT customer_id, total_orders AS frequency, CAST(total_spent AS DOUBLE) AS monetary_value, {_SEGMENT} AS segment FROM t
+    """
+
+
 # ---- windows
 
 
@@ -60,15 +80,24 @@ def _daily(spark, sf):
 @query(
     "sales_hourly_approx",
     """
-    SELECT CAST(floor(event_us / 3600e6) * 3600000 AS BIGINT) AS start_ms, count(*) AS order_count
+    SELECT CAST(floor(event_us / 3600e6) * 3600000 AS BIGINT) AS start_ms, count(*) AS order_count,
+           count(DISTINCT customer_id) AS unique_customers, true AS estimate_is_near
     FROM ev WHERE operation <> 'd' GROUP BY 1
     """,
     ("ev",),
 )
 def _hourly_approx(spark, sf):
-    """The sketch's estimate is left out: only exact columns can be compared."""
+    """Beside the exact count, whether the sketch's estimate lies within three times its stated error (5 %), in whole
+    customers."""
     approx = windows.sales_windows(sale_events(spark, sf), "1 hour", approx=True)
-    return approx.select(F.unix_millis("window_start").alias("start_ms"), "order_count")
+    exact = windows.sales_windows(sale_events(spark, sf), "1 hour").select(
+        "window_start", F.col("unique_customers").alias("_exact")
+    )
+    near = F.abs(F.col("unique_customers") - F.col("_exact")) <= 1 + F.ceil(0.15 * F.col("_exact"))
+    return approx.join(exact, "window_start").select(
+        F.unix_millis("window_start").alias("start_ms"), "order_count", F.col("_exact").alias("unique_customers"),
+        near.alias("estimate_is_near"),
+    )
 
 
 @query(
@@ -92,13 +121,6 @@ def _sessions(spark, sf):
 
 # ---- segments
 
-_SEGMENT = """
-    CASE WHEN recency_days > 90 THEN 'Churned'
-         WHEN total_orders >= 5 AND total_spent >= 500 THEN 'VIP'
-         WHEN recency_days > 30 AND total_orders >= 3 THEN 'At-Risk'
-         WHEN total_orders <= 2 THEN 'New' ELSE 'Regular' END
-"""
-
 _RFM_OUT = f"""
     {_SEGMENT} AS segment, recency_days, total_orders AS frequency,
     CAST(total_spent AS DOUBLE) AS monetary_value, total_orders,
@@ -242,13 +264,13 @@ for _name, _kind in (
 @query(
     "large_orders",
     """
-    SELECT id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount FROM ord WHERE total_amount > 1000
+    SELECT id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount FROM ord WHERE total_amount > 150000
     """,
     ("ord",),
 )
 def _large_orders(spark, sf):
     orders = fixtures.orders(spark, sf).select("id", "customer_id", "total_amount")
-    return anomalies.large_orders(orders)
+    return anomalies.large_orders(orders, 150_000.0)
 
 
 @query(
@@ -497,3 +519,70 @@ def _inventory_history(spark, sf):
 )
 def _trending(spark, sf):
     return inventory.trending_products(fixtures.order_items(spark, sf), STOCK_AS_OF)
+
+
+@query(
+    "segments_of_keyed_events",
+    _rfm_events_sql("CASE WHEN id % 7 = 0 THEN NULL ELSE customer_id END"),
+    ("ev",),
+)
+def _segments_of_keyed_events(spark, sf):
+    """Events without a customer belong to nobody."""
+    return rfm.rfm_segments(_some_without_key(spark, sf), RFM_AS_OF).select(
+        "customer_id", "frequency", "monetary_value", "segment"
+    )
+
+
+def _some_without_key(spark, sf):
+    events = sale_events(spark, sf)
+    return events.withColumn("customer_id", F.when(F.col("id") % 7 != 0, F.col("customer_id")))
+
+
+@query(
+    "rapid_orders_of_keyed_events",
+    """
+    + k AS (SELECT * FROM ev WHERE operation <> 'd' AND id % 7 <> 0),
+    n AS (SELECT id, customer_id, count(*) OVER (PARTITION BY customer_id ORDER BY event_us
+                 RANGE BETWEEN 299999999 PRECEDING AND CURRENT ROW) AS c FROM k)
+    SELECT customer_id || '_' || id || '_rapid_orders' AS alert_id, c AS order_count FROM n WHERE c >= 2
+    """,
+    ("ev",),
+)
+def _rapid_orders_of_keyed_events(spark, sf):
+    found = anomalies.anomalies(_some_without_key(spark, sf), anomalies.Limits(), [anomalies.RAPID])
+    return found.select("alert_id", F.col("details.order_count").cast("long").alias("order_count"))
+
+
+@query(
+    "stock_without_returns",
+    """
+    + sold AS (SELECT product_id, sum(quantity) AS q FROM item WHERE (order_id + line_number) % 5 <> 0 GROUP BY 1)
+    SELECT coalesce(p.id, s.product_id) AS product_id,
+           greatest(0, coalesce(p.stock_quantity, 0) - coalesce(CAST(s.q AS BIGINT), 0)) AS current_stock
+    FROM prod p FULL JOIN sold s ON s.product_id = p.id
+    """,
+    ("prod", "item"),
+)
+def _stock_without_returns(spark, sf):
+    """Items with a negative quantity are left out of the clamped stock."""
+    q = F.col("quantity")
+    items = fixtures.order_items(spark, sf).withColumn(
+        "quantity", F.when((F.col("order_id") + F.col("line_number")) % 5 == 0, -q).otherwise(q)
+    )
+    return inventory.optimizer_stock(fixtures.products(spark, sf), items)
+
+
+@query(
+    "changes_of_one_transaction",
+    """
+    SELECT customer_id, max(id) AS last_id FROM ev GROUP BY customer_id HAVING max(id) % 3 <> 0
+    """,
+    ("ev",),
+)
+def _changes_of_one_transaction(spark, sf):
+    """All changes at one time, told apart by their offset; the last of a key may delete it."""
+    log = fixtures.order_events(spark, sf).select(
+        F.col("customer_id").alias("key"), F.col("id").alias("last_id"), F.col("id").alias("offset"),
+        F.lit("2025-01-15").cast("timestamp").alias("event_ts"), F.when(F.col("id") % 3 == 0, "d").otherwise("u").alias("operation"),
+    )
+    return state.latest_state(log, "key", envelope.event_order(log)).select(F.col("key").alias("customer_id"), "last_id")

@@ -685,11 +685,15 @@ def _recompute(spark, sf):
 
 @query(
     "reconcile_totals",
-    _TOTALS_SQL + "SELECT id, header_cents, item_cents FROM totals WHERE header_cents <> item_cents",
+    _TOTALS_SQL + "SELECT id, header_cents, item_cents FROM totals WHERE header_cents <> item_cents AND id % 3 <> 0",
     ("ord", "item"),
 )
 def _reconcile(spark, sf):
-    differ = order_ops.reconcile_totals(fixtures.orders(spark, sf), fixtures.order_items(spark, sf))
+    """Every third header is right: it is taken from the items."""
+    orders, items = fixtures.orders(spark, sf), fixtures.order_items(spark, sf)
+    right = order_ops.recompute_order_totals(orders.filter("id % 3 = 0"), items)
+    headers = orders.filter("id % 3 <> 0").select("id", "total_amount").unionByName(right.select("id", "total_amount"))
+    differ = order_ops.reconcile_totals(headers, items)
     return differ.select(
         "id",
         (F.col("total_amount") * 100).cast("bigint").alias("header_cents"),

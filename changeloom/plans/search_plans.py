@@ -136,6 +136,37 @@ def _inverted_index(spark, sf):
     return search.inverted_index(docs, block=256)
 
 
+@query(
+    "token_counts",
+    _WORDS_SQL + """
+    SELECT token, count(*) AS doc_count FROM (SELECT unnest(tokens) AS token, product_id FROM t) GROUP BY 1
+    """,
+)
+def _token_counts(spark, sf):
+    docs = search.search_documents(fixtures.documents(spark, sf))
+    return search.token_counts(search.inverted_index(docs, block=256))
+
+
+@query(
+    "search_document_times",
+    """
+    + t AS (SELECT id, CASE WHEN id % 2 = 0 THEN strftime(event_ts + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%f')
+                            WHEN id % 3 = 0 THEN strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') ELSE '' END AS cdc_timestamp FROM prod)
+    SELECT id AS product_id, cdc_timestamp, '2025-01-15T10:30:00.000000' AS indexed_at FROM t
+    """,
+    ("prod",),
+)
+def _search_document_times(spark, sf):
+    """The first time known: of the update, else of the creation, else none."""
+    at = F.col("event_ts")
+    products = fixtures.products(spark, sf).withColumns({
+        "updated_at": F.when(F.col("id") % 2 == 0, at + F.expr("INTERVAL 1 DAY")),
+        "created_at": F.when(F.col("id") % 3 == 0, at),
+    })
+    docs = search.search_documents(products, "2025-01-15 10:30:00")
+    return docs.select("product_id", "cdc_timestamp", "indexed_at")
+
+
 # ---- messages: five kinds of events, of which three fail in different ways
 
 

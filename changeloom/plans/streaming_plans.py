@@ -6,11 +6,12 @@ held to the same SQL as its batch twin.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import envelope, reports
+from ..operators import anomalies, envelope, reports
 from ..schemas import OPS_REPORT, OPS_SALES, ORDERS
 from ..session import configure, scratch_path
 from ..sources import changes, fixtures
@@ -88,6 +89,45 @@ def _stream_anomalies(spark, sf):
     return flat_alerts(_run(pipelines.anomaly_stream(order_stream(spark, sf), LIMITS), "alerts"))
 
 
+#: Events in five files by time; every tenth arrives one file late.
+_ARRIVAL = "least(4, bucket + CASE WHEN id % 10 = 3 THEN 1 ELSE 0 END)"
+
+
+@query(
+    "stream_late_orders",
+    f"""
+    + r AS (SELECT min(event_us) AS lo, max(event_us) AS hi FROM ev WHERE operation <> 'd'),
+    k AS (SELECT *, {_ARRIVAL} AS file FROM (
+              SELECT ev.*, least(4, (event_us - lo) * 5 // (hi - lo)) AS bucket FROM ev, r WHERE operation <> 'd')),
+    m AS (SELECT customer_id, file, max(event_us) AS last FROM k GROUP BY 1, 2),
+    c AS (
+        SELECT e.customer_id, e.id, count(*) AS n FROM k e JOIN k f ON e.customer_id = f.customer_id
+          AND f.event_us > e.event_us - 7200000000
+          AND (f.file < e.file OR f.file = e.file AND (f.event_us, f.id) <= (e.event_us, e.id))
+        WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.customer_id = e.customer_id AND m.file >= f.file AND m.file < e.file
+                          AND m.last - 864000000000 >= f.event_us)
+        GROUP BY 1, 2)
+    SELECT customer_id, id AS order_id, n AS order_count FROM c WHERE n >= 2
+    """,
+    ("ev",),
+)
+def _stream_late_orders(spark, sf):
+    """Alerts where some orders come late: five files, one micro-batch each, counted as they arrive."""
+    root = scratch_path(spark, "late-files")
+    events = envelope.with_ops(fixtures.order_events(spark, sf), OPS_SALES)
+    low, high = events.agg(F.min("event_us"), F.max("event_us")).first()
+    bucket = F.expr(f"least(4, (event_us - {low}) * 5 div ({high} - {low}))")
+    rows = events.withColumn("bucket", bucket).withColumn("file", F.expr(_ARRIVAL)).drop("bucket")
+    for n in range(5):
+        rows.filter(F.col("file") == n).drop("file").coalesce(1).write.mode("append").parquet(root)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    limits = replace(LIMITS, rapid_window="2 hours", kept="10 days")
+    found = _run(pipelines.anomaly_stream(stream, limits), "late-alerts")
+    return found.filter(F.col("anomaly_type") == anomalies.RAPID).select(
+        "customer_id", "order_id", F.col("details.order_count").cast("long").alias("order_count")
+    )
+
+
 @query("stream_inventory", HISTORY_SQL, ("prod", "item"))
 def _stream_inventory(spark, sf):
     streaming = _Streaming(spark)

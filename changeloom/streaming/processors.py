@@ -3,8 +3,7 @@
 Each processor keeps what its rules can still reach and works on whole micro-batches with array
 operations.  Rules and output fields are the batch operators' columns, applied after it.  Within
 a micro-batch events are put in order.  Across micro-batches an event counts what arrived before it and
-lies in its own window, so a late event neither misses earlier ones nor hides itself from later ones;
-state reaches back from the latest time seen.
+lies in its own window, so a late event neither misses earlier ones nor hides itself from later ones.
 """
 
 from __future__ import annotations
@@ -58,12 +57,13 @@ def _within(old: np.ndarray, amounts: np.ndarray, now: np.ndarray, added: np.nda
 
 
 class AnomalyProcessor(StatefulProcessor):
-    """State per customer: totals, order times of the widest window, last amounts in cents."""
+    """State per customer: totals, order times of the last day, last amounts in cents."""
 
     def __init__(self, limits: Limits = Limits()):
         self.limits = limits
         self.spike = duration_micros(limits.spike_window)
         self.rapid = duration_micros(limits.rapid_window)
+        self.kept = max(self.spike, self.rapid, duration_micros(limits.kept))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState(
@@ -110,7 +110,7 @@ class AnomalyProcessor(StatefulProcessor):
             "z_score": pd.array(z, dtype="Float64"),
         })
 
-        reach = np.sort(times[times > times.max() - max(self.spike, self.rapid)])
+        reach = times[times > now[-1] - self.kept]
         self.state.update((
             int(n0 + len(now)), int(total[-1]), reach.tolist(), amounts[-self.limits.z_rows:].tolist(),
         ))
