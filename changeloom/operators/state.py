@@ -103,8 +103,14 @@ def status_deltas(
 
 def order_status_distribution(
     events: DataFrame, key: str = "id", ordering: Sequence[str] | None = None,
-    max_rows: int | None = None, full_images: bool = False,
+    max_rows: int | None = None, full_images: bool = False, version: str | None = None,
 ) -> DataFrame:
-    """Orders per status: +1 at insert, moved by updates."""
+    """Orders per status: +1 at insert, moved by updates.
+
+    With ``full_images`` it runs on streams, too; ``version`` then names a column that only grows.
+    """
     steps = _status_steps(events, key, ordering, max_rows, True, full_images)
-    return steps.groupBy("status").agg(F.sum("delta").alias("order_count"))
+    counts = [F.sum("delta").alias("order_count")]
+    if version:
+        counts.append(F.count(F.lit(1)).alias(version))
+    return steps.groupBy("status").agg(*counts)

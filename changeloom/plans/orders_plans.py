@@ -158,15 +158,14 @@ def _status_deltas(spark, sf):
     return state.status_deltas(status_events(spark, sf, "wrapped"))
 
 
-@query(
-    "order_status_distribution",
-    _STATUS_SQL + """
+STATUS_COUNTS_SQL = _STATUS_SQL + """
     SELECT status, CAST(sum(d) AS BIGINT) AS order_count FROM (
         SELECT status, d FROM deltas
         UNION ALL SELECT status, 1 FROM log WHERE operation = 'c') GROUP BY 1
-    """,
-    ("ord",),
-)
+"""
+
+
+@query("order_status_distribution", STATUS_COUNTS_SQL, ("ord",))
 def _status_distribution(spark, sf):
     return state.order_status_distribution(status_events(spark, sf, "standard"), full_images=True)
 

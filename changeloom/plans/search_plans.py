@@ -28,7 +28,7 @@ _DOC = "product_id, name, name_lower, description, price, price_display, stock_q
 _DOC_SQL = f"SELECT {_DOC}, array_to_string(tokens, ' ') AS search_tokens FROM idx"
 
 
-def product_index(spark: SparkSession, sf: str) -> DataFrame:
+def product_changes(spark: SparkSession, sf: str) -> DataFrame:
     products = fixtures.spread(fixtures.products(spark, sf))
     updated = products.filter("id % 5 = 0").withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
     later = F.col("event_ts") + F.expr("INTERVAL 1 DAY")
@@ -38,7 +38,11 @@ def product_index(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(changes.to_change_log(updated, PRODUCTS, "u", later, "standard"))
         .unionByName(changes.to_change_log(products.filter("id % 11 = 0"), PRODUCTS, "d", last, "bare"))
     )
-    return search.search_index(envelope.parse_rows(log, PRODUCTS))
+    return envelope.parse_rows(log, PRODUCTS)
+
+
+def product_index(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search_index(product_changes(spark, sf))
 
 
 def _docs(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import anomalies, envelope, reports
+from ..operators import anomalies, envelope, reports, search
 from ..schemas import OPS_REPORT, OPS_SALES, ORDERS
 from ..session import configure, scratch_path
 from ..sources import changes, fixtures
@@ -20,7 +20,8 @@ from .analytics_plans import (
     ANOMALY_SQL, HISTORY_SQL, LIMITS, RFM_AS_OF, RFM_SQL, _window_sql, flat_alerts, flat_insights,
 )
 from .catalog import query, ts_text
-from .orders_plans import _LAST_EVENT
+from .orders_plans import STATUS_COUNTS_SQL, _LAST_EVENT, status_events
+from .search_plans import _DOC_SQL, _INDEX_SQL, _docs, product_changes
 
 
 class _Streaming:
@@ -129,7 +130,7 @@ def _stream_late_orders(spark, sf):
 
 
 @query("stream_inventory", HISTORY_SQL, ("prod", "item"))
-def _stream_inventory(spark, sf):
+def _stream_inventory(spark, sf, twin=pipelines.inventory_stream):
     streaming = _Streaming(spark)
     products = fixtures.products(streaming, sf)
 
@@ -147,10 +148,35 @@ def _stream_inventory(spark, sf):
     )
     products = products.withColumn("_e", F.explode(F.filter(events, lambda e: e.isNotNull())))
     products = products.withColumns({"event_ts": F.col("_e.at"), "stock_quantity": F.col("_e.stock")})
-    found = pipelines.inventory_stream(products, fixtures.order_items(streaming, sf))
+    found = twin(products, fixtures.order_items(streaming, sf))
     return flat_insights(_run(found, "insights"), "event_kind", "event_ts")
 
 
+@query("stream_low_stock", HISTORY_SQL.rstrip() + " WHERE cur < 10", ("prod", "item"))
+def _stream_low_stock(spark, sf):
+    return _stream_inventory(spark, sf, pipelines.low_stock_stream)
+
+
+@query("stream_status", STATUS_COUNTS_SQL, ("ord",))
+def _stream_status(spark, sf):
+    root = scratch_path(spark, "status-report")
+    pipelines.status_stream(
+        status_events(_Streaming(spark), sf, "standard"), root, scratch_path(spark, "status-state"),
+        trigger={"availableNow": True}, now=lambda: datetime(2025, 1, 15, 10, 30),
+    ).awaitTermination()
+    rows = spark.read.schema("key string, value bigint").json(f"{root}/order_status/20250115_103000")
+    return rows.select(F.col("key").alias("status"), F.col("value").alias("order_count"))
+
+
+@query("stream_search_index", _INDEX_SQL + _DOC_SQL, ("prod",))
+def _stream_search_index(spark, sf):
+    root = scratch_path(spark, "search-table")
+    pipelines.search_index_stream(
+        product_changes(_Streaming(spark), sf), root, scratch_path(spark, "search-state")
+    ).awaitTermination()
+    return _docs(search.search_documents(pipelines.search_table(root).read(spark)))
+
+
 @query("stream_rfm", RFM_SQL, ("ord",))
 def _stream_rfm(spark, sf):
     root = scratch_path(spark, "segments")

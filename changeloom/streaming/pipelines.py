@@ -16,8 +16,11 @@ from ..functions import rules
 from ..functions.times import duration_micros, micros
 from ..operators import inventory
 from ..operators.anomalies import Limits, alerts_from_features
+from ..operators.envelope import event_order
 from ..operators.rfm import finish_totals, rfm_totals
+from ..operators.state import order_status_distribution as status_counts
 from ..operators.windows import _label, window_metrics
+from ..schemas import DELETE
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable
 from .processors import FEATURES, STOCK_ROWS, AnomalyProcessor, InventoryProcessor
@@ -173,6 +176,34 @@ def rfm_table(root: str) -> KeyedTable:
     return KeyedTable(root, "customer_id", ["total_orders"])
 
 
+def status_stream(events: DataFrame, root: str, checkpoint: str, **flush) -> StreamingQuery:
+    """The status report over a log whose updates carry their old images."""
+    counts = status_counts(events, full_images=True, version="changes")
+    return report_stream(
+        counts, "status", "changes", "order_status", root, checkpoint, top=lambda df: df.drop("changes"), **flush
+    )
+
+
+def search_table(root: str, ordering: Sequence[str] = ("event_ts",)) -> KeyedTable:
+    """Current products; ``search_documents`` makes their documents."""
+    return KeyedTable(root, "id", list(ordering))
+
+
+def search_index_stream(
+    changes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the products behind the search index, deletes applied, as rows of ``parse_rows`` arrive."""
+    table = search_table(root, event_order(changes))
+    return start(
+        changes, checkpoint, trigger=trigger, each_batch=table.sink(deleted=F.col("operation") == DELETE)
+    )
+
+
+def low_stock_stream(products: DataFrame, items: DataFrame, limit: int = rules.LOW_STOCK) -> DataFrame:
+    """An insight row for each event that leaves less than ``limit`` in stock."""
+    return inventory_stream(products, items).filter(F.col("current_stock") < limit)
+
+
 def latest_stream(changes: DataFrame, key: str, ordering: Sequence[str]) -> DataFrame:
     """Last row per key, emitted when it changes (update mode)."""
     rest = [c for c in changes.columns if c != key]
