@@ -10,7 +10,6 @@ from pyspark.sql import Column, functions as F
 MICROS_FROM = 10**14
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def as_timestamp(value: Column | datetime | str) -> Column:

@@ -32,11 +32,6 @@ SPIKE, RAPID, OUTLIER, LARGE = "order_spike", "rapid_orders", "statistical_outli
 
 ORDER = ("event_us", "id")
 
-DETAILS = (
-    "struct<order_count:bigint,threshold:double,window_minutes:bigint,order_amount:double,"
-    "mean_amount:double,z_score:double>"
-)
-
 
 def order_features(
     orders: DataFrame, limits: Limits = Limits(), order: Sequence[str] = ORDER,

@@ -13,10 +13,7 @@ from .envelope import read_metadata
 from .ordered import per_key
 
 # Histogram bounds.
-DURATION_BOUNDS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0)
 BATCH_BOUNDS = (1, 5, 10, 25, 50, 100, 250, 500, 1000)
-WRITE_BOUNDS = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0)
-STORE_BOUNDS = (0.01, 0.05, 0.1, 0.5, 1.0, 2.0, 5.0)
 
 DECODE_ERROR, HANDLER_ERROR = "JSON decode error", "Processing failed"
 
