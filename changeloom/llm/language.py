@@ -120,9 +120,13 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """Each language's n-grams by rank."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    size = rows.groupBy("lang").count()
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    if not sizes:
+        return {}
+    # A filter beside the scan: joining the sizes would shuffle all texts by language.
+    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
     part = F.pmod(F.xxhash64("id", F.lit("learn")), F.lit(1_000_000))
-    few = rows.join(size, "lang").filter(part * F.col("count") < F.lit(bound * 1_000_000)).select("lang", "text")
+    few = rows.filter(part * size[F.col("lang")] < F.lit(bound * 1_000_000)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
