@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -249,22 +250,29 @@ def decided(docs: DataFrame, group: int = GROUP) -> DataFrame:
     )
 
 
+def _covered(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row's repeated runs of starts: row, first byte and the byte behind the last they cover."""
+    strand = found.flatten()
+    runs = strand.field("runs")
+    run, count = runs.flatten(), pc.list_value_length(runs).to_numpy()
+    row = np.repeat(np.arange(len(found)), pc.fill_null(pc.list_value_length(found), 0).to_numpy())
+    start = np.repeat(strand.field("place").to_numpy() >> 20, count)
+    return np.repeat(row, count), start + run.field("from_byte").to_numpy(), start + run.field("to_byte").to_numpy() - 1 + LENGTH
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tool = zstandard.ZstdDecompressor()
     for batch in batches:
+        row, start, end = _covered(batch.column("found"))
+        first = np.searchsorted(row, np.arange(batch.num_rows + 1))
         rows = []
-        for small, found in zip(batch.column("bytes"), batch.column("found")):
-            text = tool.decompress(small.as_py()) if small.is_valid else b""
-            if not found.is_valid:
+        for k, small in enumerate(batch.column("bytes").to_pylist()):
+            text, a, b = tool.decompress(small) if small is not None else b"", first[k], first[k + 1]
+            if a == b:
                 rows.append((len(text), 0, [], text))
                 continue
-            edge = np.zeros(len(text) + 1, np.int32)
-            for strand in found.as_py():
-                start = strand["place"] >> 20
-                for run in strand["runs"]:
-                    edge[start + run["from_byte"]] += 1
-                    edge[start + run["to_byte"] - 1 + LENGTH] -= 1
-            gone = np.cumsum(edge)[:-1] > 0
+            n = len(text) + 1
+            gone = np.cumsum(np.bincount(start[a:b], minlength=n) - np.bincount(end[a:b], minlength=n))[:-1] > 0
             rows.append((len(text), int(gone.sum()), _runs(gone), np.frombuffer(text, np.uint8)[~gone].tobytes()))
         n, removed, runs, kept = zip(*rows) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
