@@ -8,9 +8,9 @@ anchor is one row, a *strand*: some 70 starts, so about one row per 70 bytes is
 **Decision.**  Equal strands are folded with their number (counted with map-side combining).  The distinct strands
 of an anchor come from different shards of the corpus; their suffixes are merged as Burrows-Wheeler transforms are, by
 iterative interleave refinement (Holt and McMillan, 2014): the interleave starts as one shard after another; each round
-reads the symbol before every suffix and deals the suffixes stably by it.  After h rounds the interleave is right for h symbols
-and its blocks are the intervals with a common prefix of h, so 200 rounds give the repeated intervals without sorting
-suffixes.  A block of one is final and leaves, and only suffixes that still lead to a window start are carried.
+reads the symbols before every suffix (two at a time) and deals the suffixes stably by them.  After h symbols the interleave
+is right for h of them and its blocks are the intervals with a common prefix of h, so 100 rounds give the repeated intervals
+without sorting suffixes.  A block of one is final and leaves, and only suffixes that still lead to a window start are carried.
 An anchor with a single distinct strand has one block from the start and needs no round.
 
 **Scale.**  Tasks hold ``BUCKET`` bytes of strands.  An anchor with more than ``GROUP`` distinct strands is decided by
@@ -150,16 +150,18 @@ _STRAND = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("copies", pa.int64()
 
 def repeated_starts(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Flags the places (ascending) in ``text`` whose ``length`` symbols stand at another of the places, too."""
+    # A round reads the two symbols before a suffix as one, so 200 symbols take 100 rounds.
+    pairs = (text[:-1].astype(np.uint16) << np.uint16(8)) | text[1:]
     suffix, block = starts + length, np.zeros(len(starts), np.int32)
-    for h in range(length):
-        suffix = suffix - 1  # one symbol longer, to the left
-        order = np.argsort(text[suffix], kind="stable")
+    for h in range(0, length, 2):
+        suffix = suffix - 2
+        order = np.argsort(pairs[suffix], kind="stable")
         suffix, block = suffix[order], block[order]
-        symbol = text[suffix]
+        symbol = pairs[suffix]
         head = np.ones(len(suffix) + 1, bool)
         head[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
         block = np.cumsum(head[:-1], dtype=np.int32)
-        if h % 4 == 3 or h == length - 1:
+        if h % 4 == 2 or h == length - 2:
             shared = ~(head[:-1] & head[1:])  # a block of one is final
             suffix, block = suffix[shared], block[shared]
     out = np.zeros(len(starts), bool)
