@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -82,42 +82,44 @@ def order_features(
     ).drop("_n", "_s", "_q")
 
 
-def _alert(kind: str, severity: str, hit: Column, text: Column, **details: Column) -> Column:
-    return F.struct(
-        hit.alias("hit"),
-        F.lit(kind).alias("anomaly_type"),
-        F.lit(severity).alias("severity"),
-        text.alias("description"),
-        F.struct(*[
-            details.get(name, F.lit(None)).cast(kind_).alias(name)
-            for name, kind_ in (
-                ("order_count", "bigint"), ("threshold", "double"), ("window_minutes", "bigint"),
-                ("order_amount", "double"), ("mean_amount", "double"), ("z_score", "double"),
-            )
-        ]).alias("details"),
-    )
+@dataclass(frozen=True)
+class _Rule:
+    severity: str
+    hit: Column
+    text: Column
+    details: Column
+
+
+def _alert(severity: str, hit: Column, text: Column, **details: Column) -> _Rule:
+    return _Rule(severity, hit, text, F.struct(*[
+        details.get(name, F.lit(None)).cast(kind).alias(name)
+        for name, kind in (
+            ("order_count", "bigint"), ("threshold", "double"), ("window_minutes", "bigint"),
+            ("order_amount", "double"), ("mean_amount", "double"), ("z_score", "double"),
+        )
+    ]))
 
 
-def alert_rules(limits: Limits = Limits()) -> dict[str, Column]:
+def alert_rules(limits: Limits = Limits()) -> dict[str, _Rule]:
     """The four rules over the columns of ``order_features``."""
     amount, z = F.col("total_amount"), F.col("z_score")
     dollars = F.concat(F.lit("$"), money_text(amount))
     minutes = duration_micros(limits.rapid_window) // 60_000_000
     return {
         SPIKE: _alert(
-            SPIKE, "high", F.col("spike_count") > limits.spike_orders,
+            "high", F.col("spike_count") > limits.spike_orders,
             F.concat(F.lit("Customer placed "), F.col("spike_count"), F.lit(" orders in the last hour")),
             order_count=F.col("spike_count"), threshold=F.lit(limits.spike_orders),
         ),
         RAPID: _alert(
-            RAPID, "medium", F.col("rapid_count") >= limits.rapid_orders,
+            "medium", F.col("rapid_count") >= limits.rapid_orders,
             F.concat(
                 F.lit("Customer placed "), F.col("rapid_count"), F.lit(f" orders within {minutes} minutes")
             ),
             order_count=F.col("rapid_count"), window_minutes=F.lit(minutes),
         ),
         OUTLIER: _alert(
-            OUTLIER, "medium", z > limits.z_score,
+            "medium", z > limits.z_score,
             F.concat(
                 F.lit("Order amount "), dollars, F.lit(" is "),
                 F.round(z, 2).cast("decimal(12,2)").cast("string"), F.lit(" std devs above mean"),
@@ -125,7 +127,7 @@ def alert_rules(limits: Limits = Limits()) -> dict[str, Column]:
             order_amount=amount, mean_amount=F.col("mean_amount"), z_score=z,
         ),
         LARGE: _alert(
-            LARGE, "low", amount > limits.large_amount,
+            "low", amount > limits.large_amount,
             F.concat(F.lit("Large order amount: "), dollars),
             order_amount=amount, threshold=F.lit(limits.large_amount),
         ),
@@ -136,17 +138,22 @@ def alerts_from_features(
     features: DataFrame, limits: Limits = Limits(), kinds: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per triggered rule."""
-    rules = alert_rules(limits)
-    chosen = F.array(*[rules[k] for k in (kinds or rules)])
-    hits = features.withColumn("_a", F.explode(F.filter(chosen, lambda a: a["hit"])))
+    rules = {k: r for k, r in alert_rules(limits).items() if kinds is None or k in kinds}
+    # Hits are rare: text and details are made for them only.
+    names = F.array_compact(F.array(*[F.when(r.hit, F.lit(k)) for k, r in rules.items()]))
+    hits = features.withColumn("anomaly_type", F.explode(names))
+
+    def of_kind(value: Callable[[_Rule], Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("anomaly_type") == k, value(r)) for k, r in rules.items()])
+
     return hits.select(
-        F.concat_ws("_", "customer_id", "id", "_a.anomaly_type").alias("alert_id"),
+        F.concat_ws("_", "customer_id", "id", "anomaly_type").alias("alert_id"),
         "customer_id",
         F.col("id").alias("order_id"),
-        "_a.anomaly_type",
-        "_a.severity",
-        "_a.description",
-        "_a.details",
+        "anomaly_type",
+        of_kind(lambda r: F.lit(r.severity)).alias("severity"),
+        of_kind(lambda r: r.text).alias("description"),
+        of_kind(lambda r: r.details).alias("details"),
         F.col("total_amount").alias("order_amount"),
         F.timestamp_micros("event_us").alias("timestamp"),
         "total_customer_orders",
