@@ -18,6 +18,7 @@ from ..sources import changes, fixtures
 from ..streaming import pipelines
 from .analytics_plans import (
     ANOMALY_SQL, HISTORY_SQL, LIMITS, RFM_AS_OF, RFM_SQL, _window_sql, flat_alerts, flat_insights,
+    sale_events,
 )
 from .catalog import query, ts_text
 from .orders_plans import STATUS_COUNTS_SQL, _LAST_EVENT, status_events
@@ -65,6 +66,13 @@ def _stream_windows(spark, sf):
     return _run(pipelines.sales_window_stream(order_stream(spark, sf), "1 hour", "5 minutes"), "windows")
 
 
+@query("stream_sales_windows_flushed", _window_sql(3600, 300, "sliding_1h_5m"), ("ev",))
+def _stream_windows_flushed(spark, sf):
+    """All windows of a bounded input: those of the stream, and its final flush."""
+    rows = sale_events(spark, sf)
+    return _stream_windows(spark, sf).unionByName(pipelines.flush_windows(rows, "1 hour", "5 minutes"))
+
+
 @query(
     "stream_sessions",
     f"""

@@ -19,7 +19,7 @@ from ..operators.anomalies import Limits, alerts_from_features
 from ..operators.envelope import event_order
 from ..operators.rfm import finish_totals, rfm_totals
 from ..operators.state import order_status_distribution as status_counts
-from ..operators.windows import _label, window_metrics
+from ..operators.windows import _label, sales_windows, window_metrics
 from ..schemas import DELETE
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable
@@ -176,6 +176,19 @@ def rfm_table(root: str) -> KeyedTable:
     return KeyedTable(root, "customer_id", ["total_orders"])
 
 
+def flush_windows(
+    orders: DataFrame, size: str = "1 hour", slide: str | None = None, delay: str = WATERMARK, ts: str = "event_ts",
+) -> DataFrame:
+    """The final flush of a bounded ``sales_window_stream``: windows still open when its input ended.
+
+    ``orders`` is the same input as a batch; only rows that an open window can hold are read.
+    """
+    edge = orders.agg(F.max(ts)).first()[0]
+    mark = F.lit(edge) - F.expr(f"INTERVAL {delay}")
+    tail = orders.filter(F.col(ts) >= mark - F.expr(f"INTERVAL {size}"))
+    return sales_windows(tail, size, slide).filter(F.col("window_end") > mark)
+
+
 def status_stream(events: DataFrame, root: str, checkpoint: str, **flush) -> StreamingQuery:
     """The status report over a log whose updates carry their old images."""
     counts = status_counts(events, full_images=True, version="changes")
