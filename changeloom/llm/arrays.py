@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACES = b" \t\n\x0b\x0c\r"
 #: Bytes of text worked on at once; one longer document is worked on alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True

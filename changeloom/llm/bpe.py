@@ -31,8 +31,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Pre-tokens (of the last two generations) and transitions kept by a task; the tables start anew beyond.
-KEPT_WORDS = 400_000
-KEPT_STEPS = 300_000
+KEPT_WORDS = 250_000
+KEPT_STEPS = 200_000
 #: Bytes of a pre-token read before certain tokens are emitted, from time to time.
 LOOK = 1024
 #: Tokens decoded at once.

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from changeloom.llm.arrays import pieces
+from changeloom.llm.arrays import PIECE_BYTES, pieces
 
 
 def digest(text: Column) -> Column:
@@ -17,7 +17,7 @@ def digest(text: Column) -> Column:
 
 def rewrite(
     docs: DataFrame, found: DataFrame, step: Callable[[pa.RecordBatch], tuple[pa.Array, pa.StructArray]], info: str,
-    doc_id: str = "doc_id", text: str = "text", limit: int = 4 << 20,
+    doc_id: str = "doc_id", text: str = "text", limit: int = PIECE_BYTES,
 ) -> DataFrame:
     """``row, info``: rows (all columns, their names don't matter) with the text that ``step`` makes of ``text`` and ``found``.
 
