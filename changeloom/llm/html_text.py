@@ -3,8 +3,9 @@ r"""Main text of web pages.
 A page is read tag by tag into flat text blocks: the text between block-level tags.  A block has its number of words and
 its link density (share of words inside links), those of the blocks before and after it, and what its open elements
 say: inside an element of page furniture (menu, footer, form, advert, comments ...), inside or outside the page's
-article element.  A decision tree (Gini, grown here from the small labelled table ``LABELLED``) tells text from
-furniture; text blocks are joined in page order.
+article element.  Class, id and role count by whole tokens; an article or main element ends the furniture of a marked wrapper
+or form around it, not that of a menu, an aside or comments.  A decision tree (Gini, grown here from the small labelled
+table ``LABELLED``) tells text from furniture; text blocks are joined in page order.
 
 Pages never leave their row, so there is no shuffle.  The tree is a handful of numbers in the task's closure.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -32,6 +34,8 @@ BLOCK = frozenset(
 VOID = frozenset("area base basefont br col embed frame hr img input keygen link meta param source track wbr".split())
 UNSEEN = "script|style|noscript|template|svg|math|textarea|select|iframe|object|audio|video|title|head"
 FURNITURE = frozenset("nav aside footer form menu button dialog fieldset label option datalist".split())
+#: Furniture that may hold the whole page: an article in it is none.
+WRAPPERS = frozenset("form fieldset label".split())
 #: Words of class, id and role that mark furniture.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner bar breadcrumb breadcrumbs byline caption-credit "
@@ -40,11 +44,19 @@ MARKS = frozenset(
     "promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription tags teaser toolbar tooltip widget alert complementary contentinfo".split()
 )
+#: Those of them whose articles are furniture, too.
+HELD_MARKS = frozenset("comment comments commentlist disqus related replies reply respond".split())
 #: Words of class and id that mark the article where no article or main element is.
 ARTICLE_MARKS = frozenset("article articlebody content entry maincontent post story storybody".split())
+#: Words that may stand beside a mark in one token (site-footer, comment-list); others (has-sidebar, search-enabled) void it.
+BESIDE = frozenset(
+    "area author block body bottom box button buttons container global head icons inner item items link links list main meta "
+    "outer page posts section site slot text title top wrap wrapper x".split()
+)
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unseen>{UNSEEN})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=unseen)\s*>|(?=<body)|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<closed>svg|math)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"
+    rf"|<(?P<unseen>{UNSEEN})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=unseen)\s*>|(?=<body)|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[/!?a-zA-Z][^>]*>",
     re.S | re.I,
 )
@@ -114,29 +126,47 @@ def is_text(tree: tuple, block: tuple) -> bool:
 
 
 class _Open:
-    """An open element and what it says of the text below it."""
+    """An open element and what it says of the text below it.  ``held``: articles below are furniture, too; ``article``: 2 in an article
+    element, 1 in another that marks the article."""
+
+    __slots__ = ("name", "furniture", "held", "article")
+
+    def __init__(self, name: str, furniture: bool, held: bool, article: int):
+        self.name, self.furniture, self.held, self.article = name, furniture, held, article
 
-    __slots__ = ("name", "furniture", "article")
 
-    def __init__(self, name: str, furniture: bool, article: bool):
-        self.name, self.furniture, self.article = name, furniture, article
+@lru_cache(4096)
+def _marks(value: str) -> frozenset[str]:
+    """Marks of the whole tokens of a class, id or role."""
+    found = set()
+    for token in value.lower().strip("\"'").split():
+        words = _WORD.findall(token)
+        if all(w in MARKS or w in ARTICLE_MARKS or w in BESIDE for w in words):
+            found.update(w for w in words if w not in BESIDE)
+        found.add(re.sub("[-_]", "", token))
+    return frozenset(found)
 
 
 def _element(name: str, rest: str, above: _Open | None) -> _Open:
-    furniture, article = (above.furniture, above.article) if above else (False, False)
+    furniture, held, article = (above.furniture, above.held, above.article) if above else (False, False, 0)
     marks = set()
     if rest:
         for _, value in _MARK.findall(rest):
-            marks.update(_WORD.findall(value.lower()))
-    own_article = name in ("article", "main") or "main" in marks
-    if name not in ("html", "body", "article", "main") and not own_article:
+            marks |= _marks(value)
+    own_article = 2 if name == "article" else int(name == "main" or "main" in marks)
+    if own_article > article:
+        furniture = held
+    if name not in ("html", "body") and not own_article:
         # The heading of an article stands in its header.
         marked = marks & MARKS - ({"header"} if article else set())
-        if name in FURNITURE or name == "header" and not article or marked or rest and _HIDDEN.search(rest):
+        element = name in FURNITURE or name == "header" and not article
+        hidden = bool(rest and _HIDDEN.search(rest))
+        if element or marked or hidden:
             furniture = True
+            held = held or hidden or element and name not in WRAPPERS or bool(marks & HELD_MARKS)
         elif marks & ARTICLE_MARKS and name in ("div", "section", "td"):
-            article = article or "articlebody" in marks or "article" in marks
-    return _Open(name, furniture, article or own_article)
+            article = max(article, int("articlebody" in marks or "article" in marks))
+    return _Open(name, furniture, held, max(article, own_article))
 
 
 def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
@@ -171,7 +201,7 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
         at = m.end()
         name = m["name"]
         if not name:
-            if m["unseen"]:
+            if m["unseen"] or m["closed"]:
                 parts.append(" ")
             continue
         name = name.lower()
@@ -199,7 +229,7 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
         if name not in VOID and not m["rest"].endswith("/"):
             stack.append(_element(name, m["rest"], stack[-1] if stack else None))
             links += name == "a"
-            any_article = any_article or stack[-1].article
+            any_article = any_article or stack[-1].article > 0
     if at < len(html):
         text(html[at:])
     close()

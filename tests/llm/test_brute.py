@@ -69,6 +69,44 @@ def test_html_without_article():
     assert got == "\n\n".join(t.strip() for t in text)
 
 
+PARAGRAPH = " ".join(["A paragraph of the article that runs on for a while with many words in it."] * 4)
+FRAME = "<nav><a href=/>Home</a></nav>{}<footer>Imprint and other things</footer>"
+
+
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", 'div id="page-no-header"', "div class=search-enabled", "div class='layout sidebar'",
+                                     "form id=aspnetForm", "section class='widget'"])
+@pytest.mark.parametrize("element", ["article", "main", "main><article"])
+def test_html_wrappers(wrapper, element):
+    page = FRAME.format(f"<{wrapper}><{element}><p>{PARAGRAPH}</p></{element.split('>')[0]}></{wrapper.split()[0]}>")
+    assert html_text.main_text(page, html_text.grow(html_text.LABELLED)) == PARAGRAPH
+
+
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", 'div id="page-no-header"', "div class=search-enabled"])
+def test_html_wrappers_without_article(wrapper):
+    page = FRAME.format(f"<{wrapper}><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></{wrapper.split()[0]}>")
+    assert html_text.main_text(page, html_text.grow(html_text.LABELLED)) == f"{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
+@pytest.mark.parametrize("around", ["aside", "nav", "section id=comments", "ol class='comment-list'", "div hidden", "div class='related-posts'"])
+def test_html_articles_in_furniture(around):
+    other = f"<{around}><article><p>{PARAGRAPH.upper()}</p></article></{around.split()[0]}>"
+    for page in (f"<article><p>{PARAGRAPH}</p></article>{other}", f"<main><p>{PARAGRAPH}</p>{other}</main>"):
+        assert html_text.main_text(FRAME.format(page), html_text.grow(html_text.LABELLED)) == PARAGRAPH
+
+
+@pytest.mark.parametrize("mark", ["site-footer", "cookie-notice", "share-buttons", "main-menu", "ad", "ad_slot", "comments-list"])
+def test_html_marked_compounds(mark):
+    page = f"<body><p>{PARAGRAPH}</p><div class='x {mark}'>{PARAGRAPH.upper()}</div><p>{PARAGRAPH}</p>"
+    assert html_text.main_text(page, html_text.grow(html_text.LABELLED)) == f"{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
+@pytest.mark.parametrize("tag", ["<svg/>", "<svg class='i' viewBox=\"0 0 1 1\" />", "<math/>", "<MATH alttext='a>b'/>", "<svg><path d='M0'/></svg>"])
+@pytest.mark.parametrize("later", ["", "<svg><text>unseen</text></svg><math><mi>unseen</mi></math>"])
+def test_html_self_closed(tag, later):
+    page = f"<article><p>{PARAGRAPH} {tag}</p><p>{PARAGRAPH}</p></article>{later}"
+    assert html_text.main_text(page, html_text.grow(html_text.LABELLED)) == f"{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
 def test_html_articles_of_pages(spark):
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
         article = re.search(r"<article>(.*?)(</article>|$)", row["html"], re.S)[1]
