@@ -10,15 +10,20 @@ nodes whose shared bits differ in more than three places is dropped with everyth
 differ in more is linked whole; the others open to their children.  A group above ``GROUP`` codes is dealt into chunks
 and searched by pairs of chunks, so no task holds a hot group.  Each task gives a spanning forest of its links.
 
+Shingle length and distance are parameters.  Links at d bits share at least ``lead`` of d + ``lead`` blocks, and fingerprints are
+sent to a group for each choice of ``lead`` blocks, so the search is exact at any distance.  With ``similarity``, fingerprints only
+propose: all pairs within the distance, and all texts of one fingerprint, link where their sets of shingles of ``SIMILAR`` words
+have that Jaccard similarity.  Every pair is compared, so this work grows with the square of a group of near copies.
+
 Defined results: null, empty and wordless texts have fingerprint zero and link like any other; repeated rows share a
-fingerprint; null ids never are the smallest unless a group has no other; an empty table gives an empty table; columns
+fingerprint; with ``similarity`` wordless texts are alike and shorter texts are one shingle; null ids never are the smallest unless a group has no other; an empty table gives an empty table; columns
 other than id and text are not looked at (``keep_one`` carries them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +37,10 @@ from changeloom.session import written
 SEED = 42
 SHINGLE = 3
 DISTANCE = 3
-BLOCKS = 4
-BLOCK_BITS = 64 // BLOCKS
+#: Blocks that links are sure to share.
+LEAD = 1
+#: Words of the shingles that ``similarity`` compares.
+SIMILAR = 5
 #: Codes of one group held by a task; larger groups are searched by pairs of chunks.
 GROUP = 200_000
 #: Codes a task sorts at once, about.
@@ -46,12 +53,12 @@ STEP = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shingle_hashes(text: bytes) -> np.ndarray:
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     words = text.translate(_LOWER).split()  # bytes split at the word rule's white space
-    n = len(words) - SHINGLE + 1
+    n = len(words) - shingle + 1
     if n < 1:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
-    runs = zip(*(words[k:] for k in range(SHINGLE)))
+    runs = zip(*(words[k:] for k in range(shingle)))
     return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64, n)
 
 
@@ -66,13 +73,13 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(2 * sums > counts[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``id, digest, fp``: the fingerprint of every row; the digest tells texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text", 2 << 20):
-                each = [shingle_hashes(x) for x in piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
+                each = [shingle_hashes(x, shingle) for x in piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
                 codes = majority(np.concatenate(each), np.array([len(x) for x in each]))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("id"), piece.column("digest"), pa.array(codes.view(np.int64))], names=["id", "digest", "fp"]
@@ -89,8 +96,11 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def close_pairs(codes: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links between codes of one group: places in ``codes``, which stand sorted by group and Gray rank."""
+def close_pairs(
+    codes: np.ndarray, group: np.ndarray, distance: int = DISTANCE, every_pair: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links between codes of one group: places in ``codes``, which stand sorted by group and Gray rank.  Stars stand for codes that
+    are all near each other, unless every pair is asked for."""
     # Levels from the codes up: all bits set in every code below, bits set in any, first child of each node.
     levels = [(codes, codes, np.arange(len(codes)), group)]
     firsts: list[np.ndarray] = []
@@ -108,14 +118,14 @@ def close_pairs(codes: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarr
         every, some, first, _ = levels[level]
         fixed = ~(every[p] ^ some[p]) & ~(every[q] ^ some[q])
         apart = np.bitwise_count((every[p] ^ every[q]) & fixed)
-        near = apart <= DISTANCE
+        near = apart <= distance
         p, q, apart, fixed = p[near], q[near], apart[near], fixed[near]
         if level == 0:
             yield first[p[p != q]], first[q[p != q]]
             continue
         ends = np.append(first[1:], len(codes))
         # Every code below p is near every code below q: one star links them all.
-        whole = apart + np.bitwise_count(~fixed) <= DISTANCE
+        whole = (apart + np.bitwise_count(~fixed) <= distance) & (not every_pair)
         for node in (p[whole], q[whole]):
             size = ends[node] - first[node]
             offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -133,46 +143,64 @@ def close_pairs(codes: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarr
             stack.append((level - 1, cx[once], cy[once]))
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of a partition's groups; the whole of a group is here."""
+def _search(batches: Iterator[pa.RecordBatch], masks: list[int], distance: int, every_pair: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning links of a partition's groups, or every link; the whole of a group is here."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
     t = pa.Table.from_batches(held)
     fp = t["fp"].to_numpy().view(np.uint64)
-    shift = t["block"].to_numpy().astype(np.uint64) * np.uint64(BLOCK_BITS)
-    turned = (fp << shift) | (fp >> ((np.uint64(64) - shift) % np.uint64(64)))
+    # The bits a group shares are left out: they lead.
+    rest = fp & ~np.array(masks, np.uint64)[t["block"].to_numpy()]
     keys = [t[k].to_numpy() for k in ("pair_b", "pair_a", "lead", "block")]
-    order = np.lexsort((gray_rank(turned), *keys))
+    order = np.lexsort((gray_rank(rest), *keys))
     changed = np.zeros(len(order), bool)
     for k in keys:
         k = k[order]
         changed[1:] |= k[1:] != k[:-1]
-    group, codes = np.cumsum(changed), turned[order]
+    group, codes = np.cumsum(changed), fp[order]
     sizes = np.bincount(group)
-    some = sizes[group] > 1
-    codes, fp = codes[some], fp[order][some]
+    codes, group = codes[sizes[group] > 1], group[sizes[group] > 1]
     if not len(codes):
         return
+
+    def batch(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(codes[x].view(np.int64)), pa.array(codes[y].view(np.int64))], names=["a", "b"])
+
+    pairs = close_pairs(codes, np.unique(group, return_inverse=True)[1], distance, every_pair)
+    if every_pair:
+        yield from (batch(x, y) for x, y in pairs)
+        return
     label, a, b, held_links = np.arange(len(codes)), [], [], 0
-    for x, y in close_pairs(codes, np.unique(group[some], return_inverse=True)[1]):
+    for x, y in pairs:
         a.append(x), b.append(y)
         held_links += len(x)
         if held_links > 2_000_000:
             label = forest(len(codes), np.concatenate((np.arange(len(codes)), *a)), np.concatenate((label, *b)))
             a, b, held_links = [], [], 0
     label = forest(len(codes), np.concatenate((np.arange(len(codes)), *a)), np.concatenate((label, *b)))
-    linked = label != np.arange(len(label))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(fp[linked].view(np.int64)), pa.array(fp[label[linked]].view(np.int64))], names=["a", "b"]
-    )
+    linked = np.flatnonzero(label != np.arange(len(label)))
+    yield batch(linked, label[linked])
+
+
+def block_masks(distance: int, lead: int = LEAD) -> list[int]:
+    """Bits of each choice of ``lead`` out of ``distance + lead`` blocks."""
+    n = distance + lead
+    if not 0 < n <= 64 or lead < 1:
+        raise ValueError(f"{n} blocks of 64 bits")
+    ends = [64 * k // n for k in range(n + 1)]
+    blocks = [(1 << ends[k + 1]) - (1 << ends[k]) for k in range(n)]
+    return [sum(chosen) for chosen in combinations(blocks, lead)]
 
 
-def links(distinct: DataFrame, group: int = GROUP, task: int = TASK) -> DataFrame:
-    """``a, b``: links that connect what the links of all distinct ``fp`` connect."""
+def links(
+    distinct: DataFrame, group: int = GROUP, task: int = TASK, distance: int = DISTANCE, lead: int = LEAD, every_pair: bool = False
+) -> DataFrame:
+    """``a, b``: links that connect what the links of all distinct ``fp`` connect; with ``every_pair`` all of them, some repeatedly."""
+    masks = block_masks(distance, lead)
     blocks = F.array(*[
-        F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", k * BLOCK_BITS), 64 - BLOCK_BITS).cast("int").alias("lead"))
-        for k in range(BLOCKS)
+        F.struct(F.lit(k).alias("block"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("lead"))
+        for k, m in enumerate(masks)
     ])
     sent = distinct.select("fp", F.explode(blocks).alias("x")).select("fp", "x.block", "x.lead")
     # Groups above the bound: their number is at most 4 n / bound, and the optimizer broadcasts them only where they are small.
@@ -184,16 +212,55 @@ def links(distinct: DataFrame, group: int = GROUP, task: int = TASK) -> DataFram
     dealt = dealt.select("fp", "block", "lead", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select("fp", "block", "lead", F.least("own", "other").alias("pair_a"), F.greatest("own", "other").alias("pair_b"))
     spark = distinct.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), BLOCKS * distinct.count() // task)
-    return dealt.repartition(parts, "block", "lead", "pair_a", "pair_b").mapInArrow(_search, "a long, b long")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(masks) * distinct.count() // task)
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _search(batches, masks, distance, every_pair)
 
-def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, digest, fp, root``: the fingerprint of every row and its component of fingerprints."""
-    found = written(fingerprints(docs, doc_id, text), "fingerprints")
+    return dealt.repartition(parts, "block", "lead", "pair_a", "pair_b").mapInArrow(search, "a long, b long")
+
+
+def shingle_sets(docs: DataFrame, text: str = "text", shingle: int = SIMILAR) -> DataFrame:
+    """``digest, shingles``: the distinct shingles of each distinct text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                each = [np.unique(shingle_hashes(x, shingle)).view(np.int64) for x in piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
+                yield pa.RecordBatch.from_arrays([piece.column("digest"), pa.array(each, pa.list_(pa.int64()))], names=["digest", "shingles"])
+
+    few = docs.select(F.xxhash64(F.col(text)).alias("digest"), F.col(text).alias("text"))
+    return few.mapInArrow(run, "digest long, shingles array<long>").dropDuplicates(["digest"])
+
+
+def similar(docs: DataFrame, found: DataFrame, near: DataFrame, similarity: float, text: str = "text") -> DataFrame:
+    """``a, b``: digests of texts of one fingerprint, or of two linked in ``near``, whose shingles are that similar."""
+    texts = found.select("digest", "fp").distinct()
+    one, two = texts.toDF("a", "fa"), texts.toDF("b", "fb")
+    equal = one.join(two, (F.col("fa") == F.col("fb")) & (F.col("a") < F.col("b"))).select("a", "b")
+    apart = near.toDF("fa", "fb").join(one, "fa").join(two, "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = written(equal.union(apart).distinct(), "candidate-texts")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    sets = written(shingle_sets(docs, text).join(ends, "digest", "left_semi"), "shingle-sets")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    union = F.size("x") + F.size("y") - common
+    return both.filter((union == 0) | (common >= F.lit(similarity) * union)).select("a", "b")
+
+
+def grouped(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, lead: int = LEAD,
+    similarity: float | None = None,
+) -> DataFrame:
+    """``id, digest, fp, root``: the fingerprint of every row and its component of fingerprints, or of similar texts."""
+    found = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     distinct = written(found.select("fp").distinct(), "distinct-fingerprints")
-    roots = components(links(distinct)).select(F.col("node").alias("fp"), "root")
-    return found.join(roots, "fp", "left").select("id", "digest", "fp", F.coalesce("root", "fp").alias("root"))
+    near = links(distinct, distance=distance, lead=lead, every_pair=similarity is not None)
+    key = "fp"
+    if similarity is not None:
+        near, key = similar(docs, found, near.distinct(), similarity, text), "digest"
+    roots = components(near).select(F.col("node").alias(key), "root")
+    return found.join(roots, key, "left").select("id", "digest", "fp", F.coalesce("root", key).alias("root"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,9 +272,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, lead: int = LEAD,
+    similarity: float | None = None,
+) -> DataFrame:
     """One document of each component with all its columns: the first by id (nulls last), then text digest."""
-    rows = grouped(docs, doc_id, text)
+    rows = grouped(docs, doc_id, text, shingle, distance, lead, similarity)
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
     first = rows.groupBy("root").agg(F.min(rank).alias("first"))
     each = written(

@@ -350,6 +350,39 @@ def test_simhash_links(spark, group):
     assert groups(len(codes), [(at[r["a"]], at[r["b"]]) for r in found]) == want
 
 
+@pytest.mark.parametrize("distance,lead", [(0, 1), (7, 1), (6, 3)])
+def test_simhash_distance(spark, distance, lead):
+    rng = random.Random(distance)
+    codes = {rng.getrandbits(64) for _ in range(100)}
+    for c in list(codes)[:50]:
+        codes |= {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, distance + 2))) for _ in range(8)}
+    codes = sorted(codes)
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    table, x = spark.createDataFrame([(c,) for c in signed], "fp long"), np.array(codes, np.uint64)
+    at = {c: k for k, c in enumerate(signed)}
+    near = {(j, i) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x[i] ^ x[:i]) <= distance).tolist()}
+    found = [(at[r["a"]], at[r["b"]]) for r in simhash.links(table, distance=distance, lead=lead, group=40).collect()]
+    assert groups(len(x), found) == groups(len(x), near)
+    found = simhash.links(table, distance=distance, lead=lead, every_pair=True).collect()
+    assert {tuple(sorted((at[r["a"]], at[r["b"]]))) for r in found} == near
+
+
+def test_simhash_similarity(spark, docs):
+    def shingles(text):
+        words = WORD.findall(text.translate({c: c + 32 for c in range(65, 91)}))
+        return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+    sets, codes = [shingles(d["text"]) for d in docs], [fingerprint(d["text"]) for d in docs]
+    like = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert sum(sets[i] != sets[j] for i, j in like) == 2
+    for distance, lead in ((3, 1), (12, 2)):
+        near = [(i, j) for i, j in like if (codes[i] ^ codes[j]).bit_count() <= distance]
+        want = {docs[k]["doc_id"] for k in set(groups(len(docs), near))}
+        kept = simhash.keep_one(spark.read.parquet(f"{SF}/documents.parquet"), distance=distance, lead=lead, similarity=0.8)
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    assert len(near) == len(like)
+
+
 # pipeline
 def test_pipeline(spark, docs):
     table = spark.read.parquet(f"{SF}/documents.parquet")
