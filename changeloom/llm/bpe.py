@@ -197,8 +197,16 @@ def _shared(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: id and ``ids``, its token ids."""
+def _digest(codec: Codec, ids: Iterable[int]) -> str:
+    """SHA-256 of the decoded text."""
+    read = hashlib.sha256()
+    for part in codec.decode(ids):
+        read.update(part.encode())
+    return read.hexdigest()
+
+
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """Per document: id and ``ids``, its token ids; with ``decoded`` also ``decoded_sha256`` of the text they decode to."""
     vocabulary = _shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +215,15 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
                 ids = [codec.encode(x or "") for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[doc_id, "ids"])
+                columns, names = [part.column(0), pa.array(ids, pa.list_(pa.int32()))], [doc_id, "ids"]
+                if decoded:
+                    columns.append(pa.array([_digest(codec, x) for x in ids], pa.string()))
+                    names.append("decoded_sha256")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, ids array<int>")
+    out = f"`{doc_id}` {kind}, ids array<int>" + (", decoded_sha256 string" if decoded else "")
+    return docs.select(doc_id, text).mapInArrow(run, out)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -234,10 +247,8 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
 
     def one(codec: Codec, text: str) -> tuple[int, str, str]:
         ids = codec.encode(text)
-        written, read = hashlib.sha256(" ".join(map(codec.text_of.__getitem__, ids)).encode()), hashlib.sha256()
-        for part in codec.decode(ids):
-            read.update(part.encode())
-        return len(ids), written.hexdigest(), read.hexdigest()
+        written = hashlib.sha256(" ".join(map(codec.text_of.__getitem__, ids)).encode())
+        return len(ids), written.hexdigest(), _digest(codec, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary.value, pattern)

@@ -418,6 +418,13 @@ def test_pipeline(spark, docs):
     assert all(list(r["ids"]) == enc.encode_ordinary(text[r["doc_id"]]) for r in coded)
 
 
+def test_pipeline_decodes(spark):
+    rows = [(1, "Some text, ünïcode 中文 and\n\nlines."), (2, ""), (3, None)]
+    coded = corpus_pipeline.byte_bpe(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert {r["doc_id"]: r["decoded_sha256"] for r in coded} == {k: hashlib.sha256((t or "").encode()).hexdigest() for k, t in rows}
+    assert [len(r["ids"]) > 0 for r in sorted(coded)] == [True, False, False]
+
+
 # 10
 def test_line_spans(spark):
     rows = [(1, "a a\nb\nc\nd"), (2, "x\nb\n\nc\nd\ny"), (3, "c\nd\ny\nz")]
