@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from changeloom.llm import bpe, html_text, language, line_windows, mixing, quality, simhash, substrings, units, vectors
+from changeloom.llm import (
+    bpe, chat, html_text, language, line_windows, mixing, negatives, quality, ranking, simhash, substrings, units, vectors,
+)
 from changeloom.plans.catalog import Query
 
 #: Vocabulary of the byte-level encoding.
@@ -195,3 +197,97 @@ def op7(spark, sf_dir):
     return done.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS e
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    pair AS (
+        SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+               CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) AS BIGINT) AS score
+        FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    pos AS (
+        SELECT a, b, score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+    neg AS (
+        SELECT p.a, p.b AS p, n.b AS n, p.score AS ps, n.score AS ns,
+               row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS rank
+        FROM pos p JOIN pair n ON p.a = n.a AND NOT n.same
+         AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+    SELECT a AS anchor_id, p AS positive_id, CAST(rank AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+    FROM neg WHERE rank <= 3
+    """,
+)
+def op11(spark, sf_dir):
+    seventh = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=seventh)
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query(
+    "op12_ranked_search",
+    rf"""
+    WITH word AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) AS term
+        FROM documents WHERE text IS NOT NULL),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM word GROUP BY 1, 2),
+    size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY 1),
+    total AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM size),
+    norm AS (SELECT doc_id, 10 + (90 * n * nn) // ll AS m FROM size, total),
+    item AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) AS term
+        FROM benchmark WHERE text IS NOT NULL),
+    weight AS (
+        SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w
+        FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1), total),
+    score AS (
+        SELECT item_id, tf.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM item JOIN weight USING (term) JOIN tf USING (term) JOIN norm ON tf.doc_id = norm.doc_id GROUP BY 1, 2),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op12(spark, sf_dir):
+    return ranking.search(ranking.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_chat_trees",
+    r"""
+    WITH turn AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    loss AS (
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+               CAST(sum(4 + 2 + 8 + length(regexp_replace(role, '([\\#: \n])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#])', '\\\1', 'g'))
+                        + len(string_split(text, '</turn>')) - 1 + len(string_split(role, '</turn>')) - 1) AS BIGINT) AS formatted_chars
+        FROM turn GROUP BY conv_id)
+    SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM loss
+    """,
+)
+def op13(spark, sf_dir):
+    """A conversation is a tree with one branch: each turn replies to the one before."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = [(-7, k, role, r"\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.createDataFrame(own, rows.schema))
+    node = F.struct("turn").alias("node")
+    turns = rows.select(F.col("conv_id").alias("tree"), node).distinct()
+    links = turns.select("tree", "node", F.lag("node").over(Window.partitionBy("tree").orderBy("node")).alias("parent"), F.lit(0).alias("score"))
+    messages = rows.select(F.col("conv_id").alias("tree"), node, "role", "text", F.lit(0).alias("score"))
+    done = chat.format_trees(messages, links)
+    turns = F.array_join(F.transform(chat.read_turns(F.col("text")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        F.col("tree").alias("conv_id"), F.size(chat.read_turns(F.col("text"))).cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        chat.read_loss(F.col("text"), F.col("spans")).alias("loss"), F.char_length("text").cast("long").alias("formatted_chars"),
+    ).select(
+        "conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )

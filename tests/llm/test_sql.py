@@ -22,5 +22,5 @@ def test_query(spark, name):
 
 def test_registered():
     names = set(contract.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names if n.startswith("op")} | {"op_"}
+    assert {f"op{n}_" for n in range(1, 14)} <= {n.split("_")[0] + "_" for n in names if n.startswith("op")} | {"op_"}
     assert "pipeline" in names
