@@ -31,18 +31,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from changeloom.llm.arrays import Texts, pieces
-from changeloom.session import written
+from changeloom.session import scratch_path, written
 
 B = 90
 TOP = 10
 #: Documents of an index row, about.
-STRATUM = 2048
+STRATUM = 512
 #: Documents whose strata are ordered by bound together.
-VISIT = 16_384
+VISIT = 4096
 #: Items of a block of queries, about.
 BLOCK = 1000
-#: Cells of a table of scores (items by documents) worked on at once.
-CELLS = 4_000_000
+#: Postings, or cells of a table of scores (items by documents), worked on at once.
+CELLS = 500_000
 
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[128:] = _IN_TERM[48:58] = _IN_TERM[65:91] = _IN_TERM[97:123] = True
@@ -140,7 +140,10 @@ def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b: int =
     placed = each.withColumn("m", m.cast("bigint"))
     sizes = placed.groupBy("m").agg(F.ceil(F.count("*") / stratum).cast("int").alias("parts"))
     dealt = placed.join(sizes, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
-    return Index(written(dealt.groupBy("m", "part").applyInArrow(_stratum, INDEX), "strata"), totals)
+    # A row holds a whole part; small row groups bound what a reader decodes at once.
+    path, strata = scratch_path(docs.sparkSession, "strata"), dealt.groupBy("m", "part").applyInArrow(_stratum, INDEX)
+    strata.write.options(**{"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}).parquet(path)
+    return Index(docs.sparkSession.read.schema(strata.schema).parquet(path), totals)
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
