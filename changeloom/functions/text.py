@@ -8,10 +8,14 @@ from pyspark.sql import Column, functions as F
 WORD = r"[\p{L}\p{N}_]+"
 
 
+def words(text: Column) -> Column:
+    """Lower-case words in order, with repeats."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
 def tokenize(text: Column) -> Column:
     """Distinct lower-case words, sorted."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    return F.sort_array(F.array_distinct(words))
+    return F.sort_array(F.array_distinct(words(text)))
 
 
 def cents(price: Column) -> Column:

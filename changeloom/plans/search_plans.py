@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import envelope, quality, search
+from ..operators import envelope, postings, quality, search
 from ..schemas import ORDER_ITEMS, ORDERS, PRODUCTS
 from ..session import scratch_path
 from ..sinks.logs import write_dlq
@@ -431,3 +431,106 @@ def _full_images(spark, sf):
     events = fixtures.order_events(spark, sf)
     log = changes.to_change_log(events, ORDERS, F.col("operation"), F.col("event_ts"), "standard")
     return quality.check_full_images(envelope.parse_changes(log, ORDERS))
+
+
+# ---- stored postings
+
+_QUERY = "the inan hein thentionor"
+
+
+def _scored_sql(least: int) -> str:
+    return f"""
+    WITH word AS (
+        SELECT doc_id AS product_id, unnest(regexp_extract_all(lower(source || ' ' || text), '[\\p{{L}}\\p{{N}}_]+')) AS token FROM documents),
+    tf AS (SELECT product_id, token, count(*) AS tf FROM word GROUP BY 1, 2),
+    w AS (
+        SELECT token, CAST(floor(1000 * ln((2 * (SELECT count(*) FROM documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf GROUP BY 1),
+    score AS (
+        SELECT product_id, count(*) AS matched_tokens, CAST(sum(w * (1000 * tf // (tf + 1))) AS BIGINT) AS score
+        FROM tf JOIN w USING (token) WHERE token IN ({', '.join(f"'{t}'" for t in _QUERY.split())}) GROUP BY 1)
+    SELECT product_id, matched_tokens, score FROM score WHERE matched_tokens >= {least} ORDER BY score DESC, product_id LIMIT 10
+    """
+
+
+def document_postings(spark: SparkSession, sf: str) -> postings.PostingIndex:
+    index = postings.PostingIndex(scratch_path(spark, "postings"), buckets=16, block=64)
+    index.add_documents(fixtures.documents(spark, sf))
+    return index
+
+
+@query("search_scored", _scored_sql(1))
+def _search_scored(spark, sf):
+    return document_postings(spark, sf).search(spark, _QUERY)
+
+
+@query("search_scored_all_tokens", _scored_sql(3).replace(", 'thentionor'", ""))
+def _search_scored_all(spark, sf):
+    return document_postings(spark, sf).search(spark, _QUERY.rsplit(" ", 1)[0], require_all=True)
+
+
+# ---- postings after changes: all products; then new names for some and deletes of others; then some return
+
+_AFTER = """
+    + step AS (
+        SELECT id, CASE WHEN id % 5 = 0 THEN name || ' new ring ring' ELSE name END AS name, description FROM prod
+        WHERE id % 11 <> 0 OR id % 33 = 0),
+    word AS (SELECT id, unnest(regexp_extract_all(lower(name || ' ' || description), '[\\p{L}\\p{N}_]+')) AS token FROM step),
+    tf AS (SELECT id, token, count(*) AS tf FROM word GROUP BY 1, 2)
+"""
+_AFTER_SQL = _AFTER + """
+    SELECT token, count(*) AS products, CAST(sum(tf) AS BIGINT) AS occurrences, CAST(sum(id * tf) AS BIGINT) AS checked FROM tf GROUP BY 1
+    """
+
+
+def product_batches(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The product log in three parts, updates and deletes with their old images."""
+    products = fixtures.spread(fixtures.products(spark, sf)).withColumn("before", F.struct(*PRODUCTS.columns))
+    renamed = products.withColumn("name", F.concat("name", F.lit(" new ring ring")))
+    old = F.col("before")
+
+    def part(rows: DataFrame, op: str, day: int, before=None) -> DataFrame:
+        at = F.col("event_ts") + F.expr(f"INTERVAL {day} DAYS")
+        return changes.to_change_log(rows, PRODUCTS, op, at, "standard", before)
+
+    gone = renamed.filter("id % 5 = 0 AND id % 11 = 0").unionByName(products.filter("id % 5 <> 0 AND id % 11 = 0"))
+    return [
+        part(products, "c", 0),
+        part(renamed.filter("id % 5 = 0"), "u", 1, old).unionByName(part(gone, "d", 2)),
+        part(renamed.filter("id % 5 = 0 AND id % 33 = 0").unionByName(products.filter("id % 5 <> 0 AND id % 33 = 0")), "c", 3),
+    ]
+
+
+def parsed_products(log: DataFrame) -> DataFrame:
+    return envelope.parse_rows(log, PRODUCTS, old=postings.FIELDS)
+
+
+def posting_sums(stored: DataFrame) -> DataFrame:
+    return stored.groupBy("token").agg(
+        F.count(F.lit(1)).alias("products"), F.sum("tf").alias("occurrences"), F.sum(F.col("product_id") * F.col("tf")).alias("checked")
+    )
+
+
+@query("index_after_changes", _AFTER_SQL, ("prod",))
+def _index_after_changes(spark, sf):
+    """Postings kept up batch by batch, one of them written twice: the same as a rebuild."""
+    index = postings.PostingIndex(scratch_path(spark, "postings"), buckets=16, block=64)
+    for n, log in enumerate(product_batches(spark, sf)):
+        index.add(parsed_products(log), n)
+        if n == 1:
+            index.add(parsed_products(log), n)
+    return posting_sums(index.postings(spark))
+
+
+@query(
+    "token_counts_after_changes",
+    _AFTER + "SELECT token, count(*) AS products FROM tf GROUP BY 1",
+    ("prod",),
+)
+def _counts_after_changes(spark, sf):
+    """Products per token from the blocks' heads alone."""
+    index = postings.PostingIndex(scratch_path(spark, "postings"), buckets=16, block=64)
+    for n, log in enumerate(product_batches(spark, sf)):
+        index.add(parsed_products(log), n)
+    counts = index.rows(spark).filter(F.col("token") != postings.ALL).groupBy("token").agg(F.sum("products").alias("products"))
+    return counts.filter("products > 0")

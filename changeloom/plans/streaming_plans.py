@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import anomalies, envelope, reports, search
+from ..operators import anomalies, envelope, postings, reports, search
 from ..schemas import OPS_REPORT, OPS_SALES, ORDERS
 from ..session import configure, scratch_path
 from ..sources import changes, fixtures
@@ -22,7 +22,9 @@ from .analytics_plans import (
 )
 from .catalog import query, ts_text
 from .orders_plans import STATUS_COUNTS_SQL, _LAST_EVENT, status_events
-from .search_plans import _DOC_SQL, _INDEX_SQL, _docs, product_changes
+from .search_plans import (
+    _AFTER_SQL, _DOC_SQL, _INDEX_SQL, _docs, parsed_products, posting_sums, product_batches, product_changes,
+)
 
 
 class _Streaming:
@@ -185,6 +187,18 @@ def _stream_search_index(spark, sf):
     return _docs(search.search_documents(pipelines.search_table(root).read(spark)))
 
 
+@query("stream_index_after_changes", _AFTER_SQL, ("prod",))
+def _stream_postings(spark, sf):
+    """Stored postings kept up by a stream; each part of the log is a micro-batch."""
+    index = postings.PostingIndex(scratch_path(spark, "stream-postings"), buckets=16, block=64)
+    log, state = scratch_path(spark, "product-log"), scratch_path(spark, "postings-state")
+    for part in product_batches(spark, sf):
+        part.write.mode("append").parquet(log)
+        rows = parsed_products(spark.readStream.schema(part.schema).parquet(log))
+        pipelines.posting_stream(rows, index, state).awaitTermination()
+    return posting_sums(index.postings(spark))
+
+
 @query("stream_rfm", RFM_SQL, ("ord",))
 def _stream_rfm(spark, sf):
     root = scratch_path(spark, "segments")

@@ -17,6 +17,7 @@ from ..functions.times import duration_micros, micros
 from ..operators import inventory
 from ..operators.anomalies import Limits, alerts_from_features
 from ..operators.envelope import event_order
+from ..operators.postings import PostingIndex
 from ..operators.rfm import finish_totals, rfm_totals
 from ..operators.state import order_status_distribution as status_counts
 from ..operators.windows import _label, sales_windows, window_metrics
@@ -212,6 +213,13 @@ def search_index_stream(
     )
 
 
+def posting_stream(
+    changes: DataFrame, index: PostingIndex, checkpoint: str, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep stored postings up with changes that carry old images; each micro-batch adds what it changes, and no more."""
+    return start(changes, checkpoint, trigger=trigger, each_batch=index.sink())
+
+
 def low_stock_stream(products: DataFrame, items: DataFrame, limit: int = rules.LOW_STOCK) -> DataFrame:
     """An insight row for each event that leaves less than ``limit`` in stock."""
     return inventory_stream(products, items).filter(F.col("current_stock") < limit)
