@@ -37,6 +37,8 @@ B = 90
 TOP = 10
 #: Documents of an index row, about.
 STRATUM = 512
+#: Tables of large strata up to this many rows are broadcast, larger ones are joined.
+BROADCAST_ROWS = 200_000
 #: Documents whose strata are ordered by bound together.
 VISIT = 4096
 #: Items of a block of queries, about.
@@ -138,8 +140,11 @@ def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b: int =
     # The product is taken in decimals, which no corpus overflows.
     m = F.expr(f"{100 - b} + cast(n AS decimal(12,0)) * cast({b * n_docs} AS decimal(16,0)) div cast({max(n_terms, 1)} AS decimal(19,0))")
     placed = each.withColumn("m", m.cast("bigint"))
-    sizes = placed.groupBy("m").agg(F.ceil(F.count("*") / stratum).cast("int").alias("parts"))
-    dealt = placed.join(sizes, "m").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    sizes = placed.groupBy("m").agg(F.ceil(F.count("*") / stratum).cast("int").alias("parts")).filter("parts > 1")
+    sizes = written(sizes, "large-strata")  # at most one row for each STRATUM documents
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    dealt = placed.join(sizes, "m", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)))
+    dealt = dealt.repartition("m", "part")  # a join by m alone would leave a large stratum's parts together
     # A row holds a whole part; small row groups bound what a reader decodes at once.
     path, strata = scratch_path(docs.sparkSession, "strata"), dealt.groupBy("m", "part").applyInArrow(_stratum, INDEX)
     strata.write.options(**{"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}).parquet(path)
