@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from math import gcd
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +20,7 @@ from ..operators.anomalies import Limits, alerts_from_features
 from ..operators.envelope import event_order
 from ..operators.postings import PostingIndex
 from ..operators.rfm import finish_totals, rfm_totals
+from ..operators.rollups import HLL_LG, customer_bits
 from ..operators.state import order_status_distribution as status_counts
 from ..operators.windows import _label, sales_windows, window_metrics
 from ..schemas import DELETE
@@ -50,27 +52,28 @@ def sales_window_stream(
 ) -> DataFrame:
     """Windowed sales, each window emitted once the watermark passes it.
 
-    The exact distinct count folds per (window, customer) first and per window second, so no
-    state entry holds a set of customers.  ``approx`` keeps one sketch per window instead.
+    Orders fold into panes first, which tile every window; only finished panes go on to the windows over them.  A pane keeps its
+    customers as bitmaps, one for each range of 32,768 ids, so the distinct count stays exact and no state entry belongs to a
+    single customer and window.  ``approx`` keeps one sketch per pane instead.
     """
     slide = slide or size
-    window = F.window(ts, size, slide)
+    pane = f"{gcd(duration_micros(size), duration_micros(slide))} microseconds"
     rows = with_event_time(orders, delay, ts)
     sums = [F.sum("total_amount").alias("total_revenue"), F.count(F.lit(1)).alias("order_count")]
+    added = [F.sum(c).alias(c) for c in ("total_revenue", "order_count")]
+    customer = F.col("customer_id").cast("bigint")
     if approx:
-        folded = rows.groupBy(window.alias("window")).agg(
-            *sums, F.approx_count_distinct("customer_id").alias("unique_customers")
+        panes = rows.groupBy(F.window(ts, pane).alias("pane")).agg(*sums, F.hll_sketch_agg(customer, HLL_LG).alias("customers"))
+        folded = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window")).agg(
+            *added, F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("unique_customers")
         )
     else:
-        folded = (
-            rows.groupBy(window.alias("window"), "customer_id").agg(*sums)
-            .groupBy("window")
-            .agg(
-                F.sum("total_revenue").alias("total_revenue"),
-                F.sum("order_count").alias("order_count"),
-                F.count("customer_id").alias("unique_customers"),
-            )
+        bucket, customers = customer_bits(customer)
+        panes = rows.groupBy(F.window(ts, pane).alias("pane"), bucket).agg(*sums, customers)
+        ranges = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window"), "bucket").agg(
+            *added, F.bitmap_or_agg("customers").alias("customers")
         )
+        folded = ranges.groupBy("window").agg(*added, F.sum(F.bitmap_count("customers")).alias("unique_customers"))
     start_us = micros(F.col("window.start"))
     return window_metrics(folded, start_us, duration_micros(size), _label(size, slide))
 
