@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Keyed state of streams lives on executor disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A micro-batch commits what it changed, not a copy of the whole store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
