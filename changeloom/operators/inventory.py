@@ -102,7 +102,11 @@ def apply_deltas(
 
 
 def _log(products: DataFrame, items: DataFrame, ties: Sequence[str]) -> DataFrame:
-    """One tagged log; ``_kind`` puts product events before items of the same time."""
+    """One tagged log; ``_kind`` puts product events before items of the same time, ``_offset`` those of one transaction in order."""
+
+    def offset(df: DataFrame) -> Column:
+        return (F.col("offset") if "offset" in df.columns else F.lit(None)).cast("bigint").alias("_offset")
+
     p = require_key(products, "id").select(
         F.col("id").alias("product_id"),
         F.lit(0).alias("_kind"),
@@ -110,12 +114,14 @@ def _log(products: DataFrame, items: DataFrame, ties: Sequence[str]) -> DataFram
         F.col("price").alias("_price"),
         F.coalesce("stock_quantity", F.lit(0)).cast("bigint").alias("_set"),
         micros(F.col("event_ts")).alias("event_us"),
+        offset(products),
     )
     i = require_key(valid_items(items)[0], "product_id").select(
         "product_id",
         F.lit(1).alias("_kind"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("_qty"),
         micros(F.col("event_ts")).alias("event_us"),
+        offset(items),
         *[F.col(t) for t in ties],
     )
     return p.unionByName(i, allowMissingColumns=True)
@@ -156,7 +162,7 @@ def _stock_log(d: DataFrame, scan) -> DataFrame:
 
 
 def _order(ties: Sequence[str]) -> list[str]:
-    return ["event_us", "_kind", *ties]
+    return ["event_us", "_kind", "_offset", *ties]
 
 
 def restock_events(

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from decimal import Decimal
 from math import gcd
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules
@@ -26,7 +27,7 @@ from ..operators.windows import _label, sales_windows, window_metrics
 from ..schemas import DELETE
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable
-from .processors import FEATURES, STOCK_ROWS, AnomalyProcessor, InventoryProcessor
+from .processors import FEATURES, NONE, STOCK_ROWS, AnomalyProcessor, InventoryProcessor
 
 WATERMARK = "10 minutes"
 FLUSH = "300 seconds"  # fixed value: report interval
@@ -96,67 +97,96 @@ def session_stream(
     )
 
 
-def anomaly_stream(orders: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Alerts as orders arrive (append mode)."""
-    rows = orders.filter(F.col("customer_id").isNotNull()).select(
+def _timed(rows: DataFrame, delay: str | None, key: str, processor, out: str) -> DataFrame:
+    """Rows through a processor; with ``delay`` event time runs its timers."""
+    return rows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="None" if delay is None else "EventTime",
+    )
+
+
+def _filled(column: Column) -> Column:
+    """A number without nulls, for a processor."""
+    return F.coalesce(column.cast("bigint"), F.lit(NONE))
+
+
+def _given(name: str) -> Column:
+    """A processor's number, null where it is none."""
+    return F.when(F.col(name) != NONE, F.col(name))
+
+
+def _money(cents: Column, kind: str = "decimal(12,2)") -> Column:
+    return (cents.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast(kind)
+
+
+def anomaly_stream(orders: DataFrame, limits: Limits = Limits(), delay: str | None = None) -> DataFrame:
+    """Alerts as orders arrive (append mode).
+
+    With ``delay`` the order times of idle customers leave the state, too, once the watermark has passed them by ``limits.kept``;
+    Spark then drops orders that are later than ``delay``.  Without, nothing is dropped and old times leave with
+    the customer's next order.
+    """
+    timed = orders if delay is None else with_event_time(orders, delay)
+    rows = timed.filter(F.col("customer_id").isNotNull()).select(
         "customer_id",
-        "id",
-        (F.col("total_amount") * 100).cast("bigint").alias("cents"),
+        _filled(F.col("id")).alias("id"),
+        (F.coalesce("total_amount", F.lit(0)) * 100).cast("bigint").alias("cents"),
         micros(F.col("event_ts")).alias("event_us"),
+        *(["event_ts"] if delay is not None else []),
     )
-    features = rows.groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=AnomalyProcessor(limits),
-        outputStructType=FEATURES,
-        outputMode="Append",
-        timeMode="None",
+    found = _timed(rows, delay, "customer_id", AnomalyProcessor(limits, delay is not None), FEATURES)
+    features = found.select(
+        "customer_id", _given("id").alias("id"), _money(F.col("cents")).alias("total_amount"), "event_us", "total_customer_orders",
+        _money(F.col("total_cents"), "decimal(22,2)").alias("total_customer_amount"), "spike_count", "rapid_count", "mean_amount",
+        F.nanvl("stddev_amount", F.lit(None).cast("double")).alias("stddev_amount"), F.nanvl("z_score", F.lit(None).cast("double")).alias("z_score"),
     )
     return alerts_from_features(features, limits)
 
 
 def inventory_stream(
-    products: DataFrame, items: DataFrame, ties: Sequence[str] = inventory.TIES
+    products: DataFrame, items: DataFrame, ties: Sequence[str] = inventory.TIES, delay: str | None = None,
 ) -> DataFrame:
-    """Insight row per product or sale event as it arrives (append mode)."""
-    none = F.lit(None).cast("bigint")
+    """Insight row per product or sale event as it arrives (append mode); ``delay`` as in ``anomaly_stream``."""
+    none = F.lit(NONE).cast("bigint")
+
+    def offset(df: DataFrame) -> Column:
+        return (_filled(F.col("offset")) if "offset" in df.columns else none).alias("offset")
+
+    if delay is not None:
+        products, items = with_event_time(products, delay), with_event_time(items, delay)
+    zero, time = F.lit(0).cast("bigint"), ["event_ts"] if delay is not None else []
     p = products.select(
         F.col("id").alias("product_id"),
         F.lit(0).alias("kind"),
         F.coalesce("name", F.lit("Unknown")).alias("name"),
-        (F.col("price") * 100).cast("bigint").alias("price_cents"),
+        _filled(F.col("price") * 100).alias("price_cents"),
         F.coalesce("stock_quantity", F.lit(0)).cast("bigint").alias("set"),
-        none.alias("qty"),
+        zero.alias("qty"),
         micros(F.col("event_ts")).alias("event_us"),
-        *[none.alias(t) for t in ties],
+        offset(products), *[none.alias(t) for t in ties], *time,
     )
-    i = inventory.valid_items(items)[0].select(
+    good = inventory.valid_items(items)[0]
+    i = good.select(
         "product_id",
         F.lit(1).alias("kind"),
         F.lit(None).cast("string").alias("name"),
         none.alias("price_cents"),
-        none.alias("set"),
+        zero.alias("set"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("qty"),
         micros(F.col("event_ts")).alias("event_us"),
-        *[F.col(t).cast("bigint").alias(t) for t in ties],
+        offset(good), *[_filled(F.col(t)).alias(t) for t in ties], *time,
     )
     rows = p.unionByName(i).filter(F.col("product_id").isNotNull())
     window = duration_micros(f"{rules.VELOCITY_DAYS} days")
-    stock = rows.groupBy("product_id").transformWithStateInPandas(
-        statefulProcessor=InventoryProcessor(tuple(ties), window),
-        outputStructType=STOCK_ROWS,
-        outputMode="Append",
-        timeMode="None",
-    )
+    stock = _timed(rows, delay, "product_id", InventoryProcessor(("offset", *ties), window, delay is not None), STOCK_ROWS)
     flat = stock.select(
         "product_id",
         "event_kind",
         F.timestamp_micros("event_us").alias("event_ts"),
-        F.struct(
-            F.col("name").alias("_name"), (F.col("price_cents") / 100).cast("decimal(12,2)").alias("_price")
-        ).alias("_shown"),
+        F.struct(F.col("name").alias("_name"), _money(_given("price_cents")).alias("_price")).alias("_shown"),
         "current_stock",
         F.col("units").alias("_units"),
-        F.col("sale_us").alias("_sale_us"),
-        F.col("restock_us").alias("_restock_at"),
+        _given("sale_us").alias("_sale_us"),
+        _given("restock_us").alias("_restock_at"),
     )
     return inventory._insight(flat, F.col("event_ts"), "event_kind", "event_ts")
 

@@ -1,14 +1,20 @@
 """Keyed state for the rules that look back over single orders or sales.
 
-Each processor keeps what its rules can still reach and works on whole micro-batches with array
-operations.  Rules and output fields are the batch operators' columns, applied after it.  Within
-a micro-batch events are put in order.  Across micro-batches an event counts what arrived before it and
-lies in its own window, so a late event neither misses earlier ones nor hides itself from later ones.
+Each processor keeps what its rules can still reach and works on whole micro-batches with array operations.  Rules and output
+fields are the batch operators' columns, applied after it.  Within a micro-batch events are put in order.  Across
+micro-batches an event counts what arrived before it and lies in its own window, so a late event neither misses earlier ones
+nor hides itself from later ones.
+
+Events are kept in buckets of time, one entry of a map state each: a micro-batch reads the buckets its windows reach and writes
+those it adds to, so the state it writes grows with the batch, not with the key.  Buckets out of reach leave when their
+key has a new event, or by an event-time timer of their own, which empties idle keys too.
+
+All columns come and go as whole numbers without nulls (``NONE`` for none): ids and cents beyond 2^53 keep their digits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,10 +23,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions.times import duration_micros
 from ..operators.anomalies import Limits
 
+#: Stands for a missing number; sorts first.
+NONE = -(1 << 63)
+
 FEATURES = (
-    "customer_id bigint, id bigint, total_amount decimal(12,2), event_us bigint, "
-    "total_customer_orders bigint, total_customer_amount decimal(22,2), spike_count bigint, "
-    "rapid_count bigint, mean_amount double, stddev_amount double, z_score double"
+    "customer_id bigint, id bigint, cents bigint, event_us bigint, total_customer_orders bigint, total_cents bigint, "
+    "spike_count bigint, rapid_count bigint, mean_amount double, stddev_amount double, z_score double"
 )
 
 STOCK_ROWS = (
@@ -28,13 +36,14 @@ STOCK_ROWS = (
     "current_stock bigint, units bigint, sale_us bigint, restock_us bigint"
 )
 
+_MILLI = 1000
+
 
-def _batch(rows: Iterator[pd.DataFrame], order: list[str]) -> dict[str, np.ndarray]:
-    """The micro-batch of one key as arrays in event order; nulls sort first."""
+def _batch(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> dict[str, np.ndarray]:
+    """The micro-batch of one key as arrays in event order."""
     parts = list(rows)
     frame = parts[0] if len(parts) == 1 else pd.concat(parts)
-    keys = [np.nan_to_num(frame[c].to_numpy(float, na_value=np.nan), nan=-np.inf) for c in order[1:]]
-    at = np.lexsort([*reversed(keys), frame[order[0]].to_numpy(np.int64)])
+    at = np.lexsort([frame[c].to_numpy(np.int64) for c in reversed(order)])
     return {c: frame[c].to_numpy()[at] for c in frame.columns}
 
 
@@ -56,39 +65,135 @@ def _within(old: np.ndarray, amounts: np.ndarray, now: np.ndarray, added: np.nda
     return before[-1] - before[gone] + inside[1:] - inside[passed]
 
 
-class AnomalyProcessor(StatefulProcessor):
-    """State per customer: totals, order times of the last day, last amounts in cents."""
+class Buckets:
+    """Timed values of one key in a map state: bucket number to (times, values)."""
+
+    SCHEMA = ("bucket bigint", "times array<bigint>, amounts array<bigint>")
+    #: Buckets looked up one by one; a longer reach reads the map once.
+    FEW = 48
+
+    def __init__(self, state, width: int, kept: int):
+        self.state, self.width, self.kept = state, width, kept
+        self.held: dict[int, tuple[list[int], list[int]]] = {}
+
+    def read(self, low: int, high: int, oldest: int, newest: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+        """Values with times in [low, high] that are newer than the horizon; buckets from oldest to newest may exist."""
+        first, last = max(low // self.width, oldest), min(high // self.width, newest)
+        self.held = {}
+        if last - first < self.FEW:
+            for b in range(first, last + 1):
+                found = self.state.getValue((b,))
+                if found is not None:
+                    self.held[b] = found
+        else:
+            self.held = {k[0]: v for k, v in self.state.iterator() if first <= k[0] <= last}
+        none = np.zeros(0, np.int64)
+        times = np.concatenate([none, *[np.asarray(t, np.int64) for t, _ in self.held.values()]])
+        amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in self.held.values()]])
+        return times[times > horizon], amounts[times > horizon]
+
+    def add(self, times: np.ndarray, amounts: np.ndarray, horizon: int) -> list[int]:
+        """Write the buckets of new values; the numbers of buckets that did not exist."""
+        times, amounts = times[times > horizon], amounts[times > horizon]
+        number, fresh = times // self.width, []
+        for b in np.unique(number).tolist():
+            here = number == b
+            old = self.held.get(b, ([], []))
+            if b not in self.held:
+                fresh.append(b)
+            self.state.updateValue((b,), ([*old[0], *times[here].tolist()], [*old[1], *amounts[here].tolist()]))
+        return fresh
+
+    def drop(self, oldest: int, horizon: int) -> int:
+        """Remove buckets that end at or before the horizon; the oldest number that may be left."""
+        left = (horizon + 1) // self.width
+        if oldest < left:
+            wanted = range(oldest, left) if left - oldest < 4 else [k[0] for k in self.state.keys() if k[0] < left]
+            for b in wanted:
+                self.state.removeKey((b,))
+        return max(oldest, left)
+
+    def timer(self, bucket: int) -> int:
+        """Milliseconds of event time at which a bucket is out of reach."""
+        return ((bucket + 1) * self.width + self.kept) // _MILLI + 1
+
+    def timed_out(self, expired_ms: int) -> int:
+        """The bucket of a timer."""
+        return ((expired_ms - 1) * _MILLI - self.kept) // self.width - 1
+
+
+class _Timed(StatefulProcessor):
+    """Buckets under the name ``recent``; with ``timers`` each bucket has an event-time timer that removes it."""
+
+    width: int
+    kept: int
+    timers: bool
 
-    def __init__(self, limits: Limits = Limits()):
-        self.limits = limits
-        self.spike = duration_micros(limits.spike_window)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buckets = Buckets(handle.getMapState("recent", *Buckets.SCHEMA), self.width, self.kept)
+
+    def keep(self, times: np.ndarray, amounts: np.ndarray, oldest: int, newest: int, horizon: int) -> tuple[int, int]:
+        """Add new values and drop what no later event may count; the oldest and newest bucket there may be (none: the
+        oldest is higher)."""
+        fresh = self.buckets.add(times, amounts, horizon)
+        if self.timers:
+            for b in fresh:
+                self.handle.registerTimer(self.buckets.timer(b))
+        if fresh:
+            oldest, newest = (min(fresh), max(fresh)) if oldest > newest else (min(oldest, *fresh), max(newest, *fresh))
+        return (oldest, newest) if oldest > newest else (self.buckets.drop(oldest, horizon), newest)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.buckets.state.removeKey((self.buckets.timed_out(expiredTimerInfo.getExpiryTimeInMs()),))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _exact(amounts: np.ndarray, rows: int) -> np.ndarray:
+    """As int64 where sums of squares over the array, times ``rows``, fit; as Python integers otherwise."""
+    top = int(np.abs(amounts).max(initial=0))
+    return amounts if max(len(amounts), rows) * rows * top * top < 1 << 62 else amounts.astype(object)
+
+
+class AnomalyProcessor(_Timed):
+    """State per customer: totals, order times by the hour, last amounts in chunks, all in cents."""
+
+    def __init__(self, limits: Limits = Limits(), timers: bool = False):
+        self.limits, self.timers = limits, timers
+        self.spike = self.width = duration_micros(limits.spike_window)
         self.rapid = duration_micros(limits.rapid_window)
         self.kept = max(self.spike, self.rapid, duration_micros(limits.kept))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "orders", "n bigint, cents bigint, times array<bigint>, amounts array<bigint>"
-        )
+        super().init(handle)
+        self.totals = handle.getValueState("totals", "n bigint, cents bigint, oldest bigint, newest bigint, horizon bigint")
+        self.amounts = handle.getMapState("amounts", "chunk bigint", "cents array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.state.get() if self.state.exists() else None
-        n0, cents0, times0, amounts0 = known if known else (0, 0, [], [])
         batch = _batch(rows, ["event_us", "id"])
         now, cents = batch["event_us"].astype(np.int64), batch["cents"].astype(np.int64)
-
-        old = np.asarray(times0, np.int64)
-        times = np.concatenate([old, now])
+        known, size = self.totals.get(), self.limits.z_rows
+        n0, cents0, oldest, newest, horizon = known or (0, 0, 0, -1, NONE)
+        old = old_amounts = np.zeros(0, np.int64)
+        if known:
+            old, _ = self.buckets.read(int(now[0]) - max(self.spike, self.rapid), int(now[-1]), oldest, newest, horizon)
+            chunks = range(max(0, n0 - size) // size, (n0 - 1) // size + 1)
+            parts = [self.amounts.getValue((c,))[0] for c in chunks]
+            old_amounts = np.concatenate([np.asarray(p, np.int64) for p in parts])
         ones, new = np.ones(len(old), np.int64), np.ones(len(now), np.int64)
 
-        # Exact integer sums over the last rows: running totals of Python integers.
-        amounts = np.concatenate([np.asarray(amounts0, np.int64), cents]).astype(object)
+        # Exact integer sums over the last rows, as differences of running totals.
+        amounts = _exact(np.concatenate([old_amounts[-size:], cents]), size)
         run = np.concatenate([[0], np.cumsum(amounts)])
         squares = np.concatenate([[0], np.cumsum(amounts * amounts)])
-        end = len(amounts0) + np.arange(1, len(now) + 1)
-        begin = np.maximum(0, end - self.limits.z_rows)
+        end = len(amounts) - len(cents) + np.arange(1, len(now) + 1)
+        begin = np.maximum(0, end - size)
         n = end - begin
         s, q = run[end] - run[begin], squares[end] - squares[begin]
-        spread = (n.astype(object) * q - s * s).astype(float)
+        spread = (n.astype(amounts.dtype) * q - s * s).astype(float)
         pairs = np.maximum(1, n * (n - 1))
         mean = s.astype(float) / n / 100.0
         deviation = np.sqrt(spread / pairs) / 100.0
@@ -99,57 +204,60 @@ class AnomalyProcessor(StatefulProcessor):
         yield pd.DataFrame({
             "customer_id": key[0],
             "id": batch["id"],
-            "total_amount": _decimals(cents),
+            "cents": cents,
             "event_us": now,
             "total_customer_orders": n0 + np.arange(1, len(now) + 1),
-            "total_customer_amount": _decimals(total),
+            "total_cents": total,
             "spike_count": _within(old, ones, now, new, self.spike),
             "rapid_count": _within(old, ones, now, new, self.rapid),
             "mean_amount": mean,
             "stddev_amount": np.where(n > 1, deviation, np.nan),
-            "z_score": pd.array(z, dtype="Float64"),
+            "z_score": z,
         })
 
-        reach = times[times > now[-1] - self.kept]
-        self.state.update((
-            int(n0 + len(now)), int(total[-1]), reach.tolist(), amounts[-self.limits.z_rows:].tolist(),
-        ))
-
-    def close(self) -> None:
-        pass
-
+        # What lies before the horizon no later event may count.
+        horizon = max(horizon, int(now[-1]) - self.kept)
+        oldest, newest = self.keep(now, new, oldest, newest, horizon)
+        self.totals.update((int(n0 + len(now)), int(total[-1]), oldest, newest, horizon))
+        self._keep_amounts(n0, np.concatenate([old_amounts, cents]), len(cents))
 
-def _decimals(cents: np.ndarray) -> list:
-    from decimal import Decimal
+    def _keep_amounts(self, n0: int, amounts: np.ndarray, added: int) -> None:
+        """Chunk c holds the amounts of orders c z_rows to (c + 1) z_rows; the last two reach z_rows back."""
+        size, n = self.limits.z_rows, n0 + added
+        start = n - len(amounts)  # the order number of the first amount at hand
+        keep = max(0, n - size) // size
+        for c in range(max(keep, n0 // size), (n - 1) // size + 1):
+            a, b = max(c * size - start, 0), (c + 1) * size - start
+            self.amounts.updateValue((c,), (amounts[a:b].tolist(),))
+        if n0:
+            for c in range(max(0, n0 - size) // size, min(keep, (n0 - 1) // size + 1)):
+                self.amounts.removeKey((c,))
 
-    return [Decimal(int(c)).scaleb(-2) for c in cents]
 
-
-class InventoryProcessor(StatefulProcessor):
-    """State per product: shown fields, stock, last sale and restock, sales of the velocity window.
+class InventoryProcessor(_Timed):
+    """State per product: shown fields, stock, last sale and restock, sales of the velocity window by the day.
 
     Rows carry ``kind`` (0 product, 1 item), ``name, price_cents, set, qty, event_us`` and ties.
     """
 
-    def __init__(self, ties: tuple[str, ...], window: int):
-        self.ties = list(ties)
-        self.window = window
+    def __init__(self, ties: tuple[str, ...], window: int, timers: bool = False):
+        self.ties, self.kept, self.timers = list(ties), window, timers
+        self.width = duration_micros("1 day")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.state = handle.getValueState(
             "stock",
-            "known boolean, name string, price bigint, stock bigint, sale bigint, restock bigint, "
-            "times array<bigint>, units array<bigint>",
+            "known boolean, name string, price bigint, stock bigint, sale bigint, restock bigint, oldest bigint, newest bigint, "
+            "horizon bigint",
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        start = (False, None, None, 0, None, None, [], [])
-        known, name, price, stock, sale, restock, times0, units0 = (
-            self.state.get() if self.state.exists() else start
-        )
+        seen = self.state.get()
+        known, name, price, stock, sale, restock, oldest, newest, horizon = seen or (False, None, NONE, 0, NONE, NONE, 0, -1, NONE)
         batch = _batch(rows, ["event_us", "kind", *self.ties])
         now, is_set = batch["event_us"].astype(np.int64), batch["kind"] == 0
-        qty, given = _whole(batch["qty"]), _whole(batch["set"])
+        qty, given = batch["qty"].astype(np.int64), batch["set"].astype(np.int64)
         sold = np.cumsum(qty)
 
         # A product event at running total S0 lifts the ceiling to stock + S0 (see batch twin).
@@ -160,15 +268,15 @@ class InventoryProcessor(StatefulProcessor):
             after[shown < 0] = 0
         before = np.concatenate([[stock], after[:-1]])
 
-        times = np.concatenate([np.asarray(times0, np.int64), now])
-        units = np.concatenate([np.asarray(units0, np.int64), qty])
-        recent = _within(np.asarray(times0, np.int64), np.asarray(units0, np.int64), now, qty, self.window)
+        none = np.zeros(0, np.int64)
+        old, units = (none, none) if seen is None else self.buckets.read(int(now[0]) - self.kept, int(now[-1]), oldest, newest, horizon)
+        recent = _within(old, units, now, qty, self.kept)
 
         def carried(values: np.ndarray, last: np.ndarray, old) -> np.ndarray:
-            return np.where(last >= 0, values.astype(object)[last], old)
+            return np.where(last >= 0, values[last], old)
 
         names = carried(batch["name"], shown, name)
-        prices = carried(_whole(batch["price_cents"]), shown, price)
+        prices = carried(batch["price_cents"].astype(np.int64), shown, price)
         sales = carried(now, _last(~is_set), sale)
         restocks = carried(now, _last(is_set & (given > before)), restock)
         yield pd.DataFrame({
@@ -176,23 +284,16 @@ class InventoryProcessor(StatefulProcessor):
             "event_kind": np.where(is_set, "product", "sale"),
             "event_us": now,
             "name": names,
-            "price_cents": pd.array(prices, dtype="Int64"),
+            "price_cents": prices,
             "current_stock": after,
             "units": recent,
-            "sale_us": pd.array(sales, dtype="Int64"),
-            "restock_us": pd.array(restocks, dtype="Int64"),
+            "sale_us": sales,
+            "restock_us": restocks,
         })
 
-        keep = (times > times.max() - self.window) & (units != 0)
+        horizon = max(horizon, int(now[-1]) - self.kept)
+        sold_now = qty != 0
+        oldest, newest = self.keep(now[sold_now], qty[sold_now], oldest, newest, horizon)
         self.state.update((
-            bool(known or is_set.any()), names[-1], prices[-1], int(after[-1]), sales[-1], restocks[-1],
-            times[keep].tolist(), units[keep].tolist(),
+            bool(known or is_set.any()), names[-1], int(prices[-1]), int(after[-1]), int(sales[-1]), int(restocks[-1]), oldest, newest, horizon,
         ))
-
-    def close(self) -> None:
-        pass
-
-
-def _whole(values: np.ndarray) -> np.ndarray:
-    """Integers with 0 for null."""
-    return np.nan_to_num(values.astype(float), nan=0.0).astype(np.int64)
