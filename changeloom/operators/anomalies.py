@@ -49,19 +49,17 @@ def order_features(
     squared = cents.cast("decimal(14,0)") * cents.cast("decimal(14,0)")
 
     def body(d: DataFrame, scan) -> DataFrame:
-        d = scan.running(
-            d, {"total_customer_orders": F.lit(1), "total_customer_amount": F.col("total_amount")}
-        )
-        d = scan.rolling(
+        return scan.history(
             d,
+            {"total_customer_orders": F.lit(1), "total_customer_amount": F.col("total_amount")},
             "event_us",
             {
                 "spike_count": (F.lit(1), duration_micros(limits.spike_window)),
                 "rapid_count": (F.lit(1), duration_micros(limits.rapid_window)),
             },
-            signed=False,
+            limits.z_rows,
+            {"_n": F.lit(1), "_s": cents, "_q": squared},
         )
-        return scan.trailing(d, limits.z_rows, {"_n": F.lit(1), "_s": cents, "_q": squared})
 
     found = per_key(rows, "customer_id", order, body, max_rows)
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
@@ -201,7 +199,7 @@ def order_bursts(
     """Orders that complete a sequence of at least ``k`` orders, each within ``gap`` of the last."""
     if "event_us" not in orders.columns:
         orders = orders.withColumn("event_us", micros(F.col("event_ts")))
-    rows = orders.select("customer_id", *dict.fromkeys(["event_us", "id", *order]))
+    rows = require_key(orders, "customer_id").select("customer_id", *dict.fromkeys(["event_us", "id", *order]))
     width = duration_micros(gap)
 
     def body(d: DataFrame, scan) -> DataFrame:

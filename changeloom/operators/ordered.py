@@ -131,6 +131,32 @@ class Scan:
         })
         return df.drop(*totals)
 
+    def history(
+        self, df: DataFrame, sums: Mapping[str, Column], at: str, frames: Mapping[str, tuple[Column, int]], rows: int,
+        trailing: Mapping[str, Column],
+    ) -> DataFrame:
+        """``running`` sums, ``rolling`` frames of values of 0 or more, and ``trailing`` sums, all from one set of running totals."""
+        if self.order[0] != at:
+            raise ValueError("rolling frames need their time column first in the order")
+        total = {str(v): n for n, v in sums.items()}
+        added = {}
+        for v in [*[v for v, _ in frames.values()], *trailing.values()]:
+            if str(v) not in total:
+                total[str(v)] = f"_total_{len(added)}"
+                added[total[str(v)]] = F.coalesce(v, F.lit(0))
+        df = self.running(df, {**sums, **added})
+        gone = Window.partitionBy(self.key).orderBy(at)
+        inside = {
+            n: F.col(total[str(v)])
+            - F.coalesce(F.max(total[str(v)]).over(gone.rangeBetween(Window.unboundedPreceding, -width)), F.lit(0))
+            for n, (v, width) in frames.items()
+        }
+        last = {
+            n: F.col(total[str(v)]) - F.coalesce(F.lag(total[str(v)], rows).over(self._sorted()), F.lit(0))
+            for n, v in trailing.items()
+        }
+        return df.withColumns({**inside, **last}).drop(*added)
+
 
 class SplitScan(Scan):
     """The same totals for keys too large for one task."""
@@ -232,6 +258,10 @@ class SplitScan(Scan):
             *kept, *[F.col(f"_r_{n}").cast(plain[n]).alias(n) for n in frames]
         )
 
+    def history(self, df, sums, at, frames, rows, trailing):
+        df = self.rolling(self.running(df, sums), at, frames, signed=False)
+        return self.trailing(df, rows, trailing)
+
     def trailing(self, df, rows, sums):
         """Blocks of row numbers, each with the last ``rows`` rows of the block before it."""
         kept = df.columns

@@ -10,6 +10,8 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import as_timestamp
@@ -72,7 +74,7 @@ def summary(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def summary_with_status(
-    orders: DataFrame, items: DataFrame, events: DataFrame, ordering=("event_ts",)
+    orders: DataFrame, items: DataFrame, events: DataFrame, ordering: Sequence[str] | None = None
 ) -> DataFrame:
     """Summary as rows ``metric, value``, with one ``status:<name>`` row per order status."""
     numbers = _numbers(orders, items)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rules import average
 from ..functions.times import duration_micros, micros
+from .envelope import require_key
 
 # Window labels.
 SLIDING_LABEL, HOURLY_LABEL, DAILY_LABEL = "sliding_1h_5m", "tumbling_1h", "tumbling_1d"
@@ -100,12 +101,12 @@ def sales_windows(
 def customer_sessions(orders: DataFrame, gap: str = "30 minutes", ts: str = "event_ts") -> DataFrame:
     """A customer's orders grouped by inactivity: a pause longer than ``gap`` starts a new session.
 
-    Orders within one gap-wide slot always share a session, so each customer is first reduced to
+    Orders without a customer are in no session.  Orders within one gap-wide slot always share a session, so each customer is first reduced to
     one row per slot, map-side; sessions are then islands of slots.
     """
     gap_us = duration_micros(gap)
     at = micros(F.col(ts))
-    slots = orders.groupBy("customer_id", F.floor(at / gap_us).alias("_slot")).agg(
+    slots = require_key(orders, "customer_id").groupBy("customer_id", F.floor(at / gap_us).alias("_slot")).agg(
         F.min(at).alias("_first"),
         F.max(at).alias("_last"),
         F.count(F.lit(1)).alias("order_count"),

@@ -586,3 +586,62 @@ def _changes_of_one_transaction(spark, sf):
         F.lit("2025-01-15").cast("timestamp").alias("event_ts"), F.when(F.col("id") % 3 == 0, "d").otherwise("u").alias("operation"),
     )
     return state.latest_state(log, "key", envelope.event_order(log)).select(F.col("key").alias("customer_id"), "last_id")
+
+
+@query(
+    "sessions_of_keyed_events",
+    """
+    + g AS (
+        SELECT *, CASE WHEN event_us - lag(event_us) OVER (PARTITION BY customer_id ORDER BY event_us)
+                            <= 7200000000 THEN 0 ELSE 1 END AS opens
+        FROM ev WHERE operation <> 'd' AND id % 7 <> 0),
+    h AS (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY event_us) AS n FROM g)
+    SELECT customer_id, min(event_us) AS first_us, count(*) AS order_count FROM h GROUP BY customer_id, n
+    """,
+    ("ev",),
+)
+def _sessions_of_keyed_events(spark, sf):
+    """Orders without a customer are no session."""
+    found = windows.customer_sessions(_some_without_key(spark, sf), "2 hours")
+    return found.select("customer_id", F.unix_micros("session_start").alias("first_us"), "order_count")
+
+
+@query(
+    "bursts_of_keyed_events",
+    """
+    + g AS (
+        SELECT *, row_number() OVER w AS pos,
+               CASE WHEN event_us - lag(event_us) OVER w <= 3600000000 THEN 0 ELSE 1 END AS opens
+        FROM ev WHERE operation <> 'd' AND id % 7 <> 0
+        WINDOW w AS (PARTITION BY customer_id ORDER BY event_us, id)),
+    h AS (SELECT *, max(CASE WHEN opens = 1 THEN pos END)
+                    OVER (PARTITION BY customer_id ORDER BY event_us, id) AS first FROM g)
+    SELECT customer_id, id, pos - first + 1 AS burst_length FROM h WHERE pos - first + 1 >= 2
+    """,
+    ("ev",),
+)
+def _bursts_of_keyed_events(spark, sf):
+    """Orders without a customer are no burst."""
+    return anomalies.order_bursts(_some_without_key(spark, sf), k=2, gap="1 hour").select("customer_id", "id", "burst_length")
+
+
+@query(
+    "inventory_of_one_transaction",
+    """
+    + step AS (
+        SELECT id, 100 AS stock, 1 AS n FROM prod UNION ALL SELECT id, 7 + id % 5, 2 FROM prod),
+    last AS (SELECT id, max_by(stock, n) AS stock FROM step GROUP BY 1),
+    sold AS (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS q FROM item WHERE event_ts >= TIMESTAMP '1998-11-01' GROUP BY 1)
+    SELECT l.id AS product_id, CAST(greatest(0, l.stock - coalesce(s.q, 0)) AS BIGINT) AS current_stock
+    FROM last l LEFT JOIN sold s ON l.id = s.product_id
+    """,
+    ("prod", "item"),
+)
+def _inventory_of_one_transaction(spark, sf):
+    """Two recounts of a product at one time: the log's offset says which is the later, whatever order they are read in."""
+    products = fixtures.products(spark, sf).withColumn("event_ts", F.lit("1998-11-01").cast("timestamp"))
+    second = products.withColumns({"stock_quantity": (7 + F.col("id") % 5).cast("int"), "offset": F.lit(2)})
+    first = products.withColumns({"stock_quantity": F.lit(100), "offset": F.lit(1)})
+    items = fixtures.order_items(spark, sf).filter("event_ts >= '1998-11-01'")
+    found = inventory.inventory_insights(second.unionByName(first), items, "2030-01-01")
+    return found.select("product_id", "current_stock")

@@ -95,6 +95,26 @@ def _stream_sessions(spark, sf):
     return _run(pipelines.session_stream(order_stream(spark, sf), "2 hours"), "sessions")
 
 
+@query(
+    "stream_sessions_flushed",
+    """
+    + g AS (
+        SELECT *, CASE WHEN event_us - lag(event_us) OVER (PARTITION BY customer_id ORDER BY event_us)
+                            <= 7200000000 THEN 0 ELSE 1 END AS opens
+        FROM ev WHERE operation <> 'd'),
+    h AS (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY event_us) AS n FROM g)
+    SELECT customer_id, min(event_us) AS first_us, count(*) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS total_amount
+    FROM h GROUP BY customer_id, n
+    """,
+    ("ev",),
+)
+def _stream_sessions_flushed(spark, sf):
+    """All sessions of a bounded input: those of the stream, and its final flush."""
+    columns = ["customer_id", F.unix_micros("session_start").alias("first_us"), "order_count", "total_amount"]
+    ended = _run(pipelines.session_stream(order_stream(spark, sf), "2 hours"), "sessions")
+    return ended.select(*columns).unionByName(pipelines.flush_sessions(sale_events(spark, sf), "2 hours").select(*columns))
+
+
 @query("stream_anomalies", ANOMALY_SQL, ("ev",))
 def _stream_anomalies(spark, sf):
     return flat_alerts(_run(pipelines.anomaly_stream(order_stream(spark, sf), LIMITS), "alerts"))
@@ -123,17 +143,19 @@ _ARRIVAL = "least(4, bucket + CASE WHEN id % 10 = 3 THEN 1 ELSE 0 END)"
     ("ev",),
 )
 def _stream_late_orders(spark, sf):
-    """Alerts where some orders come late: five files, one micro-batch each, counted as they arrive."""
+    """Alerts where some orders come late: five parts, one micro-batch each, counted as they arrive; the query stops and goes on
+    from its checkpoint after each."""
     root = scratch_path(spark, "late-files")
     events = envelope.with_ops(fixtures.order_events(spark, sf), OPS_SALES)
     low, high = events.agg(F.min("event_us"), F.max("event_us")).first()
     bucket = F.expr(f"least(4, (event_us - {low}) * 5 div ({high} - {low}))")
     rows = events.withColumn("bucket", bucket).withColumn("file", F.expr(_ARRIVAL)).drop("bucket")
-    for n in range(5):
-        rows.filter(F.col("file") == n).drop("file").coalesce(1).write.mode("append").parquet(root)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(root)
     limits = replace(LIMITS, rapid_window="2 hours", kept="10 days")
-    found = _run(pipelines.anomaly_stream(stream, limits), "late-alerts")
+    state, out = scratch_path(spark, "late-state"), scratch_path(spark, "late-alerts")
+    for n in range(5):
+        rows.filter(F.col("file") == n).drop("file").write.mode("append").parquet(root)
+        stream = spark.readStream.schema(events.schema).parquet(root)
+        found = pipelines.run(pipelines.anomaly_stream(stream, limits), state, out)
     return found.filter(F.col("anomaly_type") == anomalies.RAPID).select(
         "customer_id", "order_id", F.col("details.order_count").cast("long").alias("order_count")
     )

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.envelope import UNKNOWN, read_metadata
 
 
-def write_dlq(letters: DataFrame, root: str) -> None:
-    """Append dead letters as JSON, by service and topic."""
-    letters.write.mode("append").partitionBy("service", "topic").json(root)
+def write_dlq(letters: DataFrame, root: str, batch: int | None = None) -> None:
+    """Dead letters as JSON, by service and topic.
+
+    Letters of a numbered batch stand in a folder of their own, which a retry writes anew; others are appended.
+    """
+    if batch is None:
+        letters.write.mode("append").partitionBy("service", "topic").json(root)
+    else:
+        letters.write.mode("overwrite").partitionBy("service", "topic").json(f"{root.rstrip('/')}/batch={int(batch)}")
+
+
+def dlq_sink(root: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: each micro-batch's letters once, however often it is tried."""
+    return lambda letters, batch: write_dlq(letters, root, batch)
 
 
 def archive_rows(df: DataFrame, value: str = "value") -> DataFrame:

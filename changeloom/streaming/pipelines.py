@@ -18,12 +18,12 @@ from ..functions import rules
 from ..functions.times import duration_micros, micros
 from ..operators import inventory
 from ..operators.anomalies import Limits, alerts_from_features
-from ..operators.envelope import event_order
+from ..operators.envelope import event_order, require_key
 from ..operators.postings import PostingIndex
 from ..operators.rfm import finish_totals, rfm_totals
 from ..operators.rollups import HLL_LG, customer_bits
 from ..operators.state import order_status_distribution as status_counts
-from ..operators.windows import _label, sales_windows, window_metrics
+from ..operators.windows import _label, customer_sessions, sales_windows, window_metrics
 from ..schemas import DELETE
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable
@@ -84,7 +84,7 @@ def session_stream(
 ) -> DataFrame:
     """Customer sessions, emitted once the watermark passes their end."""
     return (
-        with_event_time(orders, delay, ts)
+        with_event_time(require_key(orders, "customer_id"), delay, ts)
         .groupBy("customer_id", F.session_window(ts, gap).alias("_w"))
         .agg(F.count(F.lit(1)).alias("order_count"), F.sum("total_amount").alias("total_amount"))
         .select(
@@ -223,6 +223,19 @@ def flush_windows(
     return sales_windows(tail, size, slide).filter(F.col("window_end") > mark)
 
 
+def flush_sessions(orders: DataFrame, gap: str = "30 minutes", delay: str = WATERMARK, ts: str = "event_ts") -> DataFrame:
+    """The final flush of a bounded ``session_stream``: sessions still open when its input ended.
+
+    ``orders`` is the same input as a batch.  A session is open if its end lies behind the watermark; only customers with such a
+    session are read.
+    """
+    edge = orders.agg(F.max(ts)).first()[0]
+    mark = F.lit(edge) - F.expr(f"INTERVAL {delay}")
+    late = orders.filter(F.col(ts) + F.expr(f"INTERVAL {gap}") > mark).select("customer_id").distinct()
+    sessions = customer_sessions(orders.join(late, "customer_id", "left_semi"), gap, ts)
+    return sessions.filter(F.col("session_end") > mark)
+
+
 def status_stream(events: DataFrame, root: str, checkpoint: str, **flush) -> StreamingQuery:
     """The status report over a log whose updates carry their old images."""
     counts = status_counts(events, full_images=True, version="changes")
