@@ -8,6 +8,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -102,8 +103,20 @@ class Texts:
         ends[last] = self.at[1:][doc[last]]
         return starts, ends, doc
 
+    def strings(self, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+        """The bytes between starts and ends, for spans in order that don't overlap."""
+        at = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(ends - starts, out=at[1:])
+        steps, some = np.zeros(len(self.data) + 1, np.int8), ends > starts
+        steps[starts[some]] += 1
+        steps[ends[some]] -= 1
+        inside = np.cumsum(steps[:-1], dtype=np.int8) > 0
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(self.data[inside])])
+
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hash of the bytes between starts and ends, equal for equal strings wherever they stand."""
+        """64-bit hash of the bytes between starts and ends, equal for equal strings wherever they stand.
+
+        For short strings only: long ones of a regular build may share it (``digests`` tells strings of any length apart)."""
         if self._sums is None:
             size = max(PIECE_BYTES, 1 << int(len(self.data)).bit_length()) + 1
             self._up, self._down = _powers(size)
@@ -123,6 +136,19 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         start = end
 
 
+def codes(strings: pa.LargeBinaryArray) -> tuple[np.ndarray, int]:
+    """A number for each string, equal for equal strings only, and how many there are."""
+    known = strings.dictionary_encode()
+    return known.indices.to_numpy().astype(np.int64), len(known.dictionary)
+
+
+def digests(strings: pa.LargeBinaryArray) -> np.ndarray:
+    """128-bit digests (XXH3), a row of two numbers for each string; equal strings are digested once."""
+    known = strings.dictionary_encode()
+    each = b"".join(map(xxhash.xxh3_128_digest, known.dictionary.to_pylist()))
+    return np.frombuffer(each, np.uint64).reshape(-1, 2)[known.indices.to_numpy()]
+
+
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Flags the keys that stand twice or more."""
     order = np.argsort(keys)

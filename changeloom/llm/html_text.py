@@ -17,6 +17,7 @@ an empty table; other columns are not looked at.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -50,8 +51,8 @@ HELD_MARKS = frozenset("comment comments commentlist disqus related replies repl
 ARTICLE_MARKS = frozenset("article articlebody content entry maincontent post story storybody".split())
 #: Words that may stand beside a mark in one token (site-footer, comment-list); others (has-sidebar, search-enabled) void it.
 BESIDE = frozenset(
-    "area author block body bottom box button buttons container global head icons inner item items link links list main meta "
-    "outer page posts section site slot text title top wrap wrapper x".split()
+    "area author block body bottom box button buttons container global head icons inner item items left link links list main meta "
+    "outer page posts reader readers right section site slot text thread title top user users wrap wrapper x".split()
 )
 
 _TOKEN = re.compile(
@@ -63,6 +64,7 @@ _TOKEN = re.compile(
 _MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "furniture", "article")
 
@@ -139,7 +141,7 @@ class _Open:
 def _marks(value: str) -> frozenset[str]:
     """Marks of the whole tokens of a class, id or role."""
     found = set()
-    for token in value.lower().strip("\"'").split():
+    for token in _CAMEL.sub("-", value).lower().strip("\"'").split():
         words = _WORD.findall(token)
         if all(w in MARKS or w in ARTICLE_MARKS or w in BESIDE for w in words):
             found.update(w for w in words if w not in BESIDE)
@@ -169,13 +171,20 @@ def _element(name: str, rest: str, above: _Open | None) -> _Open:
     return _Open(name, furniture, held, max(article, own_article))
 
 
+def _unended(m: re.Match) -> bool:
+    """Whether a comment, or an element whose content is not shown, has no end on the page."""
+    if m["unseen"]:
+        return not re.search(rf"</{m['unseen']}\s*>\Z", m[0], re.I) and not m.string.startswith("<body", m.end())
+    return m[0].startswith("<!--") and not m[0].endswith("-->")
+
+
 def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
     """Text, words, link density, furniture and article mark of each block."""
     found: list[list] = []
     stack: list[_Open] = []
     parts: list[str] = []
     linked = links = 0
-    any_article = False
+    any_article = hidden = False
 
     def text(piece: str) -> None:
         nonlocal linked
@@ -194,8 +203,22 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
         parts.clear()
         linked = 0
 
-    at = 0
-    for m in _TOKEN.finditer(html):
+    def shut(k: int) -> None:
+        """Close the elements from place k on."""
+        nonlocal links
+        for x in stack[k:]:
+            count[x.name] -= 1
+            links -= x.name == "a"
+        del stack[k:]
+        while block_at and block_at[-1] >= k:
+            block_at.pop()
+
+    # Open elements by name, and the places of block-level ones: no tag looks through the whole stack in vain.
+    count: Counter[str] = Counter()
+    block_at: list[int] = []
+    at, last = 0, html.rfind(">") + 1
+    # No tag begins behind the last bracket; a comment or a script that is still open there hides the rest.
+    for m in _TOKEN.finditer(html, 0, last):
         if m.start() > at:
             text(html[at:m.start()])
         at = m.end()
@@ -203,6 +226,7 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
         if not name:
             if m["unseen"] or m["closed"]:
                 parts.append(" ")
+            hidden = m.end() == last and _unended(m)
             continue
         name = name.lower()
         if name == "br":
@@ -211,27 +235,26 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int]]:
         if name in BLOCK:
             close()
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    links -= sum(x.name == "a" for x in stack[k:])
-                    del stack[k:]
-                    break
+            if count[name]:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                shut(k)
             continue
-        if name in BLOCK:
+        if name in BLOCK and block_at:
             # A block-level tag ends an open paragraph, and an item the open item.
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == "p" or name == stack[k].name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-                    links -= sum(x.name == "a" for x in stack[k:])
-                    del stack[k:]
-                    break
-                if stack[k].name in BLOCK:
-                    break
+            above = stack[block_at[-1]].name
+            if above == "p" or name == above in ("li", "dd", "dt", "tr", "td", "th", "option"):
+                shut(block_at[-1])
         if name not in VOID and not m["rest"].endswith("/"):
+            if name in BLOCK:
+                block_at.append(len(stack))
             stack.append(_element(name, m["rest"], stack[-1] if stack else None))
+            count[name] += 1
             links += name == "a"
             any_article = any_article or stack[-1].article > 0
-    if at < len(html):
-        text(html[at:])
+    if at < len(html) and not hidden:
+        text(html[at:].partition("<!--")[0])
     close()
     return [(t, w, d, f, a if a else -any_article) for t, w, d, f, a in found]
 

@@ -46,6 +46,10 @@ def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts
 
 
+class TooManyLetters(Exception):
+    """Texts hold more different letters than a code has values; they are to be taken in smaller parts."""
+
+
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letters met (code points, sorted), n-grams (document << 48 and three codes of 16 bits: place among the letters
     from 1) and how often."""
@@ -55,8 +59,10 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seen = np.unique(points)
     alpha = np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False for c in seen.tolist()], bool)
     letters = seen[alpha]
-    if len(letters) >= NONE:  # more letters than Unicode scripts in use: the rarest part of the code space counts as border
-        letters = letters[: NONE - 1]
+    if len(letters) >= NONE:
+        if len(texts) > 1:
+            raise TooManyLetters
+        letters = letters[: NONE - 1]  # one text with more letters: the last of the code space count as borders
     code = np.searchsorted(letters, points).astype(np.uint64) + np.uint64(1)
     place = np.minimum(code.astype(np.int64) - 1, max(len(letters) - 1, 0))
     code[(letters[place] != points) if len(letters) else slice(None)] = 0
@@ -128,18 +134,26 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     part = F.pmod(F.xxhash64("id", F.lit("learn")), F.lit(1_000_000))
     few = rows.filter(part * size[F.col("lang")] < F.lit(bound * 1_000_000)).select("lang", "text")
 
+    def counted(texts: list[str], of: list[str]) -> Iterator[pa.RecordBatch]:
+        names = sorted(set(of))
+        number = np.array([names.index(x) for x in of])
+        try:
+            letters, keys, counts = grams(texts)
+        except TooManyLetters:
+            half = len(texts) // 2
+            yield from counted(texts[:half], of[:half])
+            yield from counted(texts[half:], of[half:])
+            return
+        keys = number[(keys >> np.uint64(48)).astype(int)].astype(np.uint64) << np.uint64(48) | keys & _LOW
+        keys, counts = _counted(keys, counts)
+        yield pa.RecordBatch.from_pydict({
+            "lang": [names[k] for k in (keys >> np.uint64(48)).tolist()], "gram": spell(keys & _LOW, letters), "n": counts.astype(np.int64),
+        })
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                of = piece.column("lang").to_pylist()
-                names = sorted(set(of))
-                number = np.array([names.index(x) for x in of])
-                letters, keys, counts = grams(piece.column("text").to_pylist())
-                keys = number[(keys >> np.uint64(48)).astype(int)].astype(np.uint64) << np.uint64(48) | keys & _LOW
-                keys, counts = _counted(keys, counts)
-                yield pa.RecordBatch.from_pydict({
-                    "lang": [names[k] for k in (keys >> np.uint64(48)).tolist()], "gram": spell(keys & _LOW, letters), "n": counts.astype(np.int64),
-                })
+                yield from counted(piece.column("text").to_pylist(), piece.column("lang").to_pylist())
 
     found = few.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -152,7 +166,11 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 def identify(texts: list[str], profiles: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Language (its number among the profiles, -1 for none) and score of each text."""
-    letters, keys, counts = grams(texts)
+    try:
+        letters, keys, counts = grams(texts)
+    except TooManyLetters:
+        half = len(texts) // 2
+        return tuple(np.concatenate(x) for x in zip(identify(texts[:half], profiles), identify(texts[half:], profiles)))
     doc, keys, rank = ranked(keys, counts)
     size = np.bincount(doc, minlength=len(texts))
     distance = np.zeros((len(texts), max(len(profiles), 1)))

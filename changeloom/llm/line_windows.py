@@ -1,7 +1,7 @@
 r"""Line dedup over overlapping windows of three lines.
 
 A line is a ``\n``-split part with a word (a character outside space and tab to carriage return); lines without one
-are no part of windows and always stay.  Every window of three consecutive lines is hashed (128 bits); of equal
+are no part of windows and always stay.  Every window of three consecutive lines is hashed (128 bits, from 128 bits a line); of equal
 windows anywhere in the corpus the first by (id, nulls last; text digest; line) stays, and all lines that a later
 one covers go, so overlapping windows merge to longer removed runs.
 
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from changeloom.llm.arrays import Texts, mix, pieces
+from changeloom.llm.arrays import Texts, digests, mix, pieces
 from changeloom.llm.rewrite import SPAN, SPANS, digest, rewrite, spans
 
 WINDOW = 3
@@ -47,10 +47,10 @@ def windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                 starts, ends, doc, number = full_lines(t)
                 n = max(len(doc) - WINDOW + 1, 0)
                 inside = np.flatnonzero(doc[:n] == doc[WINDOW - 1:])
-                each = t.hashes(starts, ends)
+                each = digests(t.strings(starts, ends))
                 one, two = np.zeros(len(inside), np.uint64), np.full(len(inside), 7, np.uint64)
                 for k in range(WINDOW):
-                    one, two = mix(one + each[inside + k]), mix(two ^ each[inside + k])
+                    one, two = mix(one + each[inside + k, 0]), mix(two ^ each[inside + k, 1])
                 numbers = np.stack([number[inside + k] for k in range(WINDOW)], axis=1).astype(np.int32).ravel()
                 at = pa.array(doc[inside])
                 yield pa.RecordBatch.from_arrays(

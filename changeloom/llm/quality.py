@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from changeloom.llm.arrays import IS_SPACE, Texts, later, mix, pieces, repeated
+from changeloom.llm.arrays import IS_SPACE, Texts, codes, later, pieces, repeated
 
 MIN_WORDS = 50
 #: Rejected by the base rules above this percentage of words in repeated three-word windows.
@@ -55,26 +55,37 @@ _LETTER = _flags(bytes([*range(65, 91), *range(97, 123)]))
 _CONTINUES = np.array([0x80 <= b < 0xC0 for b in range(256)])
 
 
+def _again(doc: np.ndarray, words: list[np.ndarray], docs: int, size: int) -> np.ndarray:
+    """Flags the windows that stand twice or more in their document."""
+    bits = max(int(size).bit_length(), 1)
+    if 3 * bits + int(docs).bit_length() <= 63:
+        return repeated(((doc << bits | words[0]) << bits | words[1]) << bits | words[2])
+    key = doc
+    for word in words:  # one exact number for document and words so far
+        _, key = np.unique(key * size + word, return_inverse=True)
+    return repeated(key)
+
+
 def features(column: pa.Array) -> dict[str, np.ndarray]:
     """The counts of every text of a column."""
     t = Texts.of(column)
     d = t.data
     starts, ends, doc = t.words()
-    hashes = t.hashes(starts, ends)
-    # Hash of words i, i+1, i+2 and the document; windows that leave it are not looked at.
+    # Windows of words i, i+1, i+2 by exact numbers of the words; windows that leave a document are not looked at.
     n = max(len(doc) - 2, 0)
-    inside = doc[:n] == doc[2:]
-    three = mix(mix(mix(hashes[:n]) + hashes[1:n + 1]) + hashes[2:]) + mix(doc[:n].astype(np.uint64))
+    inside = np.flatnonzero(doc[:n] == doc[2:])
+    word, size = codes(t.strings(starts, ends))
     again = np.zeros(n, bool)
-    again[inside] = repeated(mix(three[inside]))
+    again[inside] = _again(doc[inside], [word[inside + k] for k in range(3)], t.n, size)
     covered = np.zeros(len(doc), bool)
     for k in range(3):
         covered[k:k + n] |= again
     ls, le, ldoc = t.lines()
     words_before = np.searchsorted(starts, ls)
     full = np.searchsorted(starts, le) > words_before
+    line, size = codes(t.strings(ls[full], le[full]))
     dup = np.zeros(len(ls), bool)
-    dup[full] = later(mix(t.hashes(ls[full], le[full]) + mix(ldoc[full].astype(np.uint64))))
+    dup[full] = later(ldoc[full] * max(size, 1) + line)
     last = d[ends - 1]
     return {
         "n_words": t.per_doc(doc), "word_chars": t.count(~IS_SPACE[d] & ~_CONTINUES[d]), "n_symbols": t.count(_SYMBOL[d]),

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from changeloom.llm.arrays import IS_SPACE, NEWLINE, Texts, mix, pieces
+from changeloom.llm.arrays import IS_SPACE, NEWLINE, Texts, digests, pieces
 from changeloom.llm.rewrite import SPAN, SPANS, digest, rewrite, spans
 from changeloom.session import written
 
@@ -53,15 +53,12 @@ def cut(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def hashes(t: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each normalised unit."""
+    """The two halves of each normalised unit's digest."""
     keep = _PLAIN[t.data]
     place = np.concatenate(([0], np.cumsum(keep)))
     plain = Texts(_LOWER[t.data[keep]], place[t.at])
-    one = plain.hashes(place[starts], place[ends])
-    # The second from the bytes in pairs with their neighbour, so that the two fail apart.
-    mixed = Texts(plain.data ^ np.roll(plain.data, 1) * np.uint8(167), plain.at)
-    two = mixed.hashes(np.minimum(place[starts] + 1, place[ends]), place[ends])
-    return one, mix(two + one)
+    both = digests(plain.strings(place[starts], place[ends]))
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
 def found_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
