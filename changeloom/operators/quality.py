@@ -134,6 +134,54 @@ def sustained(
     )
 
 
+#: States of an alert.
+INACTIVE, PENDING, FIRING, RESOLVED = "inactive", "pending", "firing", "resolved"
+
+
+def alert_states(
+    df: DataFrame, condition: Column, wait: str, series: str, ts: str, until: Column | str | None = None, order: Sequence[str] = (),
+    max_rows: int | None = None,
+) -> DataFrame:
+    """``series, state, at``: when each series' alert became pending, firing, resolved, or inactive again.
+
+    The condition makes an alert pending; if no false sample comes within ``wait``, it fires then, samples or not, as long as
+    that is not after ``until`` (the newest sample of all, by default).  A false sample resolves it, or ends it while pending.
+    Samples without a series or a time are left out.
+    """
+    width, keys = duration_micros(wait), ["_at", *order]
+    rows = df.filter(F.col(series).isNotNull() & F.col(ts).isNotNull()).select(
+        series, micros(F.col(ts)).alias("_at"), *order, F.coalesce(condition, F.lit(False)).alias("_on")
+    )
+
+    def turns(d: DataFrame, scan) -> DataFrame:
+        return scan.running(d, lasts={"_before": F.col("_on")})
+
+    # Only samples that turn the condition matter: far fewer rows than samples.
+    turned = per_key(rows, series, keys, turns, max_rows).filter(F.col("_on") != F.coalesce("_before", F.lit(False)))
+    back = {f"_back_{i}": -F.col(k).cast("bigint") for i, k in enumerate(keys)}
+
+    def ends(d: DataFrame, scan) -> DataFrame:
+        return scan.running(d, lasts={"_end": F.col("_at")})
+
+    stretches = per_key(turned.withColumns(back), series, list(back), ends, max_rows).filter("_on")
+    if until is None:
+        edge = F.lit(rows.agg(F.max("_at")).first()[0]).cast("bigint")
+    else:
+        edge = micros(as_timestamp(until))
+    fires, end = F.col("_at") + width, F.col("_end")
+    # A false sample at the very end of the waiting time comes first.
+    fired = (fires <= edge) & (end.isNull() | (end > fires)) if width else F.lit(True)
+
+    def move(state: str, at: Column, hit: Column) -> Column:
+        return F.when(hit & (at <= edge), F.struct(F.lit(state).alias("state"), at.alias("at")))
+
+    moves = F.array_compact(F.array(
+        move(PENDING, F.col("_at"), F.lit(True)), move(FIRING, fires, fired), move(RESOLVED, end, end.isNotNull() & fired),
+        move(INACTIVE, end, end.isNotNull() & ~fired),
+    ))
+    return stretches.select(series, F.explode(moves).alias("m")).select(series, "m.state", F.timestamp_micros("m.at").alias("at"))
+
+
 def rate(
     df: DataFrame, counter: str, window: str, series: str, ts: str, order: Sequence[str] = (),
     max_rows: int | None = None,

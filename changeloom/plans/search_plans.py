@@ -377,6 +377,29 @@ def _sustained(spark, sf):
     )
 
 
+def alert_states_sql(edge: str) -> str:
+    """Alerts of customers whose events stay above 20 for six hours, up to an edge in microseconds."""
+    return f"""
+    + g AS (
+        SELECT *, total_amount > 20 AS up, coalesce(lag(total_amount > 20) OVER (PARTITION BY customer_id ORDER BY event_us, id), false) AS before
+        FROM ev),
+    s AS (SELECT customer_id, up, event_us AS t, lead(event_us) OVER (PARTITION BY customer_id ORDER BY event_us, id) AS e FROM g WHERE up <> before),
+    k AS (
+        SELECT *, t + 21600000000 AS f, (t + 21600000000 <= {edge}) AND (e IS NULL OR e > t + 21600000000) AS fires
+        FROM s WHERE up),
+    m AS (
+        SELECT customer_id, 'pending' AS state, t AS at_us FROM k UNION ALL SELECT customer_id, 'firing', f FROM k WHERE fires
+        UNION ALL SELECT customer_id, CASE WHEN fires THEN 'resolved' ELSE 'inactive' END, e FROM k WHERE e IS NOT NULL)
+    SELECT customer_id, state, at_us FROM m WHERE at_us <= {edge}
+    """
+
+
+@query("alert_states", alert_states_sql("(SELECT max(event_us) FROM ev)"), ("ev",))
+def _alert_states(spark, sf):
+    found = quality.alert_states(fixtures.order_events(spark, sf), F.col("total_amount") > 20, "6 hours", "customer_id", "event_ts", order=["id"])
+    return found.select("customer_id", "state", F.unix_micros("at").alias("at_us"))
+
+
 @query(
     "counter_rate",
     f"""

@@ -15,7 +15,7 @@ from ..operators import anomalies, envelope, postings, reports, search
 from ..schemas import OPS_REPORT, OPS_SALES, ORDERS
 from ..session import configure, scratch_path
 from ..sources import changes, fixtures
-from ..streaming import pipelines
+from ..streaming import alerts, pipelines
 from .analytics_plans import (
     ANOMALY_SQL, HISTORY_SQL, LIMITS, RFM_AS_OF, RFM_SQL, _window_sql, flat_alerts, flat_insights,
     sale_events,
@@ -23,7 +23,7 @@ from .analytics_plans import (
 from .catalog import query, ts_text
 from .orders_plans import STATUS_COUNTS_SQL, _LAST_EVENT, status_events
 from .search_plans import (
-    _AFTER_SQL, _DOC_SQL, _INDEX_SQL, _docs, parsed_products, posting_sums, product_batches, product_changes,
+    _AFTER_SQL, _DOC_SQL, _INDEX_SQL, _docs, alert_states_sql, parsed_products, posting_sums, product_batches, product_changes,
 )
 
 
@@ -161,6 +161,24 @@ def _stream_late_orders(spark, sf):
     )
 
 
+@query("stream_sustained", alert_states_sql("(SELECT (max(event_us) // 1000 - 3600000) * 1000 FROM ev)"), ("ev",))
+def _stream_sustained(spark, sf):
+    """Alert transitions up to the watermark, firing in silence too; the events come in three parts, a third of them a part late."""
+    events = fixtures.order_events(spark, sf).select("id", "customer_id", "total_amount", "event_ts", "event_us")
+    root, state, out = (scratch_path(spark, f"sustained-{n}") for n in ("input", "state", "output"))
+    low, high = events.agg(F.min("event_us"), F.max("event_us")).first()
+    # Rows less than half the watermark's delay before a border may come after it.
+    shift = F.when(F.col("id") % 3 == 0, 1_800_000_000).otherwise(0)
+    part = F.expr(f"least(2, (event_us + shift - {low}) * 3 div ({high} - {low} + 1))")
+    rows = events.withColumn("shift", shift).withColumn("part", part).drop("shift", "event_us")
+    for n in range(3):
+        rows.filter(F.col("part") == n).drop("part").write.mode("append").parquet(root)
+        stream = spark.readStream.schema(rows.drop("part").schema).parquet(root)
+        found = alerts.alert_stream(stream, F.col("total_amount") > 20, "6 hours", "customer_id", delay="1 hour", order="id")
+        moved = pipelines.run(found, state, out)
+    return moved.select("customer_id", "state", F.unix_micros("at").alias("at_us"))
+
+
 @query("stream_inventory", HISTORY_SQL, ("prod", "item"))
 def _stream_inventory(spark, sf, twin=pipelines.inventory_stream):
     streaming = _Streaming(spark)
