@@ -199,13 +199,16 @@ def route(
 
     ``unknown='dlq'`` adds an entry ``unknown`` with the raw events of other tables.
     """
-    marked = _with_metadata(df, value, "_m_")
     names = list(tables)
-    routed = {
-        t: parse_changes(marked.filter(F.col("_m_table") == t).select(*df.columns), t, value)
-        for t in names
-    }
+
+    def may_be(name: str) -> Column:
+        # A message of the table holds its name in quotes, if no character is written as an escape.
+        return F.col(value).contains(f'"{name}"') | F.col(value).contains("\\u")
+
+    # A cheap look at the text first: a message is parsed for its own table and seldom for another.
+    routed = {t: parse_changes(df.filter(may_be(t)), t, value).filter(F.col("table") == t) for t in names}
     if unknown == "dlq":
+        marked = _with_metadata(df, value, "_m_")
         other = ~F.col("_m_corrupt") & ~F.col("_m_table").isin(*names) & F.col(value).isNotNull()
         routed["unknown"] = marked.filter(other).select(
             *df.columns, F.lit("Processing failed").alias("error")

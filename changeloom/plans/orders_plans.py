@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.decimals import decode_decimal, encode_decimal, overflows
 from ..functions.registry import register
-from ..functions.times import created_date
+from ..functions.times import created_date, iso, parse_time
 from ..operators import envelope, orders as order_ops, reports, state
 from ..schemas import OPS_REPORT, ORDERS, PRODUCTS
 from ..session import scratch_path
@@ -15,6 +16,7 @@ from ..sinks.logs import archive
 from ..sinks.reports import write_report
 from ..sinks.upsert import KeyedTable, to_item_json
 from ..sources import changes, fixtures
+from ..streaming import pipelines
 from .catalog import query, ts_text
 
 
@@ -464,6 +466,75 @@ def _replayed_files(spark, sf):
     return parsed.select("after.id", "after.customer_id", "after.total_amount", "event_ts")
 
 
+@query(
+    "replayed_paths",
+    """
+    SELECT 'orders' AS "table", count(*) AS events, CAST(sum(id) AS BIGINT) AS ids FROM ord
+    UNION ALL SELECT 'products', count(*), CAST(sum(id) AS BIGINT) FROM prod
+    """,
+    ("ord", "prod"),
+)
+def _replayed_paths(spark, sf):
+    """Several logs replayed as one stream; each table's events are routed from the mixed log."""
+    paths = [scratch_path(spark, f"log-{n}") for n in ("orders", "products")]
+    order_log(spark, sf).select("value").write.text(paths[0])
+    changes.snapshot_as_changes(fixtures.products(spark, sf), PRODUCTS, F.col("event_ts"), "bare").select("value").write.text(paths[1])
+    mixed = pipelines.run(
+        changes.read_change_files(spark, paths, streaming=True), scratch_path(spark, "paths-state"), scratch_path(spark, "mixed-log")
+    )
+    routed = envelope.route(mixed, ("orders", "products"))
+    counts = [r.groupBy("table").agg(F.count(F.lit(1)).alias("events"), F.sum("after.id").alias("ids")) for r in routed.values()]
+    return counts[0].unionByName(counts[1])
+
+
+@query(
+    "wire_amounts",
+    """
+    SELECT id, CASE WHEN id % 9 IN (1, 2, 3) THEN 0 WHEN id % 9 = 8 THEN NULL ELSE CAST(total_amount AS DOUBLE) END AS amount,
+           id % 9 = 8 AS too_large
+    FROM ord
+    """,
+    ("ord",),
+)
+def _wire_amounts(spark, sf):
+    """Money as base64 of several lengths and as plain text; null, empty and bad text give 0, what does not fit is flagged."""
+    form, amount = F.col("id") % 9, F.col("total_amount")
+    units = F.unhex(F.lpad(F.hex((amount * 100).cast("bigint")), F.lit(24), F.lit("0")))
+    text = (
+        F.when(form == 1, F.lit(None).cast("string")).when(form == 2, F.lit("")).when(form == 3, F.lit("!!bad"))
+        .when(form == 4, amount.cast("string")).when(form == 5, F.base64(units)).when(form == 8, F.lit("99999999999.99"))
+        .otherwise(encode_decimal(amount))
+    )
+    return fixtures.orders(spark, sf).select("id", decode_decimal(text).alias("amount"), overflows(text).alias("too_large"))
+
+
+@query(
+    "wire_times",
+    """
+    SELECT id, CASE WHEN id % 7 = 5 THEN NULL ELSE strftime(event_ts + to_milliseconds(CASE WHEN id % 7 IN (1, 3) THEN 250 ELSE 0 END),
+                                                            '%Y-%m-%dT%H:%M:%S') END AS iso,
+           CASE WHEN id % 7 = 5 THEN NULL ELSE epoch_us(event_ts) + CASE WHEN id % 7 IN (1, 3) THEN 250000 ELSE 0 END END AS micros
+    FROM ord
+    """,
+    ("ord",),
+)
+def _wire_times(spark, sf):
+    """Times as ISO text with and without ``Z``, with fractions and offsets, as milliseconds and microseconds, and as bad text."""
+    form, ts = F.col("id") % 7, F.col("event_ts")
+    later = ts + F.expr("INTERVAL 250 MILLISECONDS")
+    text = (
+        F.when(form == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(form == 1, F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .when(form == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(form == 3, F.unix_millis(later).cast("string"))
+        .when(form == 4, F.unix_micros(ts).cast("string"))
+        .when(form == 5, F.lit("yesterday"))
+        .otherwise(F.concat(F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+    )
+    found = fixtures.orders(spark, sf).select("id", parse_time(text).alias("ts"))
+    return found.select("id", iso(F.col("ts")).alias("iso"), F.unix_micros("ts").alias("micros"))
+
+
 @query(
     "archived_changes",
     """
