@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-from ..operators import anomalies, envelope, inventory, rfm, state, windows
+from ..operators import anomalies, envelope, inventory, patterns, rfm, state, windows
 from ..schemas import OPS_SALES
 from ..sources import fixtures
 from .catalog import query, ts_text
@@ -645,3 +645,58 @@ def _inventory_of_one_transaction(spark, sf):
     items = fixtures.order_items(spark, sf).filter("event_ts >= '1998-11-01'")
     found = inventory.inventory_insights(second.unionByName(first), items, "2030-01-01")
     return found.select("product_id", "current_stock")
+
+
+# ---- patterns of events
+
+def _chain_sql(first: str, last: str, gap_us: int, extra: str = "") -> str:
+    """Events of one kind, each with the latest earlier event of another kind, if that is near enough."""
+    return f"""
+    + k AS (
+        SELECT *, max(CASE WHEN status = '{first}' THEN event_us END) OVER w AS began{extra} FROM ev
+        WINDOW w AS (PARTITION BY customer_id ORDER BY event_us, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT customer_id, id, began AS started_us FROM k WHERE status = '{last}' AND began IS NOT NULL AND event_us - began <= {gap_us}
+    """
+
+
+@query("pattern_sequence", _chain_sql("view", "purchase", 43_200_000_000), ("ev",))
+def _pattern_sequence(spark, sf):
+    """A purchase within twelve hours of a view."""
+    steps = [patterns.Step(F.col("status") == "view"), patterns.Step(F.col("status") == "purchase", within="12 hours")]
+    return patterns.match(fixtures.order_events(spark, sf), steps).drop("event_us")
+
+
+@query(
+    "pattern_without",
+    _chain_sql("view", "purchase", 86_400_000_000, ", max(CASE WHEN status = 'error' THEN event_us END) OVER w AS barred")
+    + " AND (barred IS NULL OR barred < began)",
+    ("ev",),
+)
+def _pattern_without(spark, sf):
+    """A purchase within a day of a view, without an error between them."""
+    kind = F.col("status")
+    steps = [patterns.Step(kind == "view"), patterns.Step(kind == "purchase", within="24 hours", unless=kind == "error")]
+    return patterns.match(fixtures.order_events(spark, sf), steps).drop("event_us")
+
+
+@query(
+    "pattern_repeated",
+    """
+    + c AS (
+        SELECT *, row_number() OVER w AS pos, lag(event_us, 2) OVER w AS began,
+               event_us - lag(event_us) OVER w <= 172800000000 AND lag(event_us) OVER w - lag(event_us, 2) OVER w <= 172800000000 AS near
+        FROM ev WHERE status = 'click' WINDOW w AS (PARTITION BY customer_id ORDER BY event_us, id)),
+    k AS (
+        SELECT e.customer_id, e.id, e.event_us, max_by(c.event_us, (c.event_us, c.id)) AS stood, max_by(c.began, (c.event_us, c.id)) AS began
+        FROM ev e JOIN c ON c.customer_id = e.customer_id AND c.near AND (c.event_us, c.id) < (e.event_us, e.id)
+        WHERE e.status = 'purchase' GROUP BY 1, 2, 3)
+    SELECT customer_id, id, began AS started_us FROM k WHERE event_us - stood <= 172800000000
+    """,
+    ("ev",),
+)
+def _pattern_repeated(spark, sf):
+    """Three clicks, each within two days of the one before, and a purchase within two days of the third."""
+    steps = [
+        patterns.Step(F.col("status") == "click", within="2 days", times=3), patterns.Step(F.col("status") == "purchase", within="2 days"),
+    ]
+    return patterns.match(fixtures.order_events(spark, sf), steps).drop("event_us")

@@ -301,3 +301,22 @@ def _stream_report(spark, sf):
     value = "struct<total_amount:decimal(22,2),order_count:bigint>"
     rows = spark.read.schema(f"key string, value {value}").json(f"{root}/daily_sales/20250115_103000")
     return rows.select(F.col("key").alias("date"), "value.*")
+
+
+@query(
+    "stream_summary",
+    """
+    SELECT count(*) AS total_orders, CAST(sum(total_amount) AS DOUBLE) AS total_revenue, count(DISTINCT customer_id) AS unique_customers,
+           (SELECT count(DISTINCT product_id) FROM item) AS unique_products_sold
+    FROM ord
+    """,
+    ("ord", "item"),
+)
+def _stream_summary(spark, sf):
+    root, streaming = scratch_path(spark, "stream-summary"), _Streaming(spark)
+    pipelines.summary_stream(
+        fixtures.orders(streaming, sf), fixtures.order_items(streaming, sf), root, scratch_path(spark, "summary-state"),
+        trigger={"availableNow": True}, now=lambda: datetime(2025, 1, 15, 10, 30),
+    ).awaitTermination()
+    metrics = "struct<total_orders:bigint,total_revenue:decimal(22,2),unique_customers:bigint,unique_products_sold:bigint>"
+    return spark.read.schema(f"metrics {metrics}").json(f"{root}/summary/20250115_103000").select("metrics.*")

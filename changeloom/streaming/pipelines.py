@@ -25,7 +25,7 @@ from ..operators.rollups import HLL_LG, customer_bits
 from ..operators.state import order_status_distribution as status_counts
 from ..operators.windows import _label, customer_sessions, sales_windows, window_metrics
 from ..schemas import DELETE
-from ..sinks.reports import write_report
+from ..sinks.reports import write_report, write_summary
 from ..sinks.upsert import KeyedTable
 from .processors import FEATURES, NONE, STOCK_ROWS, AnomalyProcessor, InventoryProcessor
 
@@ -303,6 +303,36 @@ def report_stream(
     )
 
 
+def summary_stream(
+    orders: DataFrame, items: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, now: Callable[[], datetime] = utc_now,
+) -> StreamingQuery:
+    """The summary report over both streams, flushed at every trigger: orders, revenue, distinct customers and products.
+
+    Customers and products are kept as bitmaps of 32,768 ids, so the numbers are exact, and a flush writes the bitmaps that
+    changed; rows without an id count as orders, but not as customers.
+    """
+    def side(df: DataFrame, name: str, member: str, revenue: Column) -> DataFrame:
+        return df.select(F.lit(name).alias("side"), F.col(member).cast("bigint").alias("member"), revenue.cast("decimal(22,2)").alias("revenue"))
+
+    rows = side(orders, "order", "customer_id", F.col("total_amount")).unionByName(side(items, "item", "product_id", F.lit(0)))
+    bucket, members = customer_bits(F.col("member"))
+    folded = rows.groupBy("side", bucket).agg(F.count(F.lit(1)).alias("rows"), F.sum("revenue").alias("revenue"), members.alias("members"))
+    table = KeyedTable(f"{root.rstrip('/')}/_tables/summary", ["side", "bucket"], ["rows"])
+    on_batch = table.sink()
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        on_batch(batch, batch_id)
+        of_orders, count = F.col("side") == "order", F.bitmap_count("members")
+        write_summary(table.read(batch.sparkSession).agg(
+            F.coalesce(F.sum(F.when(of_orders, F.col("rows"))), F.lit(0)).alias("total_orders"),
+            F.coalesce(F.sum(F.when(of_orders, F.col("revenue"))), F.lit(0)).alias("total_revenue"),
+            F.coalesce(F.sum(F.when(of_orders, count)), F.lit(0)).alias("unique_customers"),
+            F.coalesce(F.sum(F.when(~of_orders, count)), F.lit(0)).alias("unique_products_sold"),
+        ), root, now())
+
+    return start(folded, checkpoint, mode="update", each_batch=flush, trigger=trigger or {"processingTime": FLUSH})
+
+
 def start(
     df: DataFrame, checkpoint: str, mode: str = "append", path: str | None = None,
     each_batch: Callable[[DataFrame, int], None] | None = None, trigger: dict | None = None,
