@@ -15,7 +15,7 @@ from ..operators import anomalies, envelope, postings, reports, search
 from ..schemas import OPS_REPORT, OPS_SALES, ORDERS
 from ..session import configure, scratch_path
 from ..sources import changes, fixtures
-from ..streaming import alerts, pipelines
+from ..streaming import alerts, joins, pipelines
 from .analytics_plans import (
     ANOMALY_SQL, HISTORY_SQL, LIMITS, RFM_AS_OF, RFM_SQL, _window_sql, flat_alerts, flat_insights,
     sale_events,
@@ -320,3 +320,56 @@ def _stream_summary(spark, sf):
     ).awaitTermination()
     metrics = "struct<total_orders:bigint,total_revenue:decimal(22,2),unique_customers:bigint,unique_products_sold:bigint>"
     return spark.read.schema(f"metrics {metrics}").json(f"{root}/summary/20250115_103000").select("metrics.*")
+
+
+# ---- orders and items as two streams: three parts by time; of both sides, every 29th row comes in the last part
+
+_PARTS = "CASE WHEN {} % 29 = 3 THEN 3 WHEN event_ts < TIMESTAMP '1995-06-01' THEN 1 WHEN event_ts < TIMESTAMP '1997-03-01' THEN 2 ELSE 3 END"
+_JOIN_SQL = f"""
+    + o AS (SELECT id, event_ts, {_PARTS.format("id")} AS part FROM ord),
+    i AS (
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER)) AS id, l_orderkey AS order_id,
+               event_ts, {_PARTS.format("l_partkey")} AS part FROM (SELECT *, l_shipdate AS event_ts FROM lineitem)),
+    mark AS (
+        SELECT p.part, (SELECT max(event_ts) FROM o WHERE part < p.part) AS a, (SELECT max(event_ts) FROM i WHERE part < p.part) AS b
+        FROM (VALUES (1), (2), (3), (4)) AS p(part)),
+    w AS (SELECT part, least(a, b) - INTERVAL 36 HOURS AS upto FROM mark),
+    oo AS (SELECT o.*, coalesce(o.event_ts <= w.upto, false) AS late FROM o JOIN w USING (part)),
+    ii AS (SELECT i.*, coalesce(i.event_ts <= w.upto, false) AS late FROM i JOIN w USING (part)),
+    pair AS (
+        SELECT oo.id AS o, ii.id AS i FROM oo JOIN ii ON oo.id = ii.order_id AND NOT oo.late AND NOT ii.late
+         AND ii.event_ts BETWEEN oo.event_ts AND oo.event_ts + INTERVAL 60 DAYS),
+    edge AS (SELECT upto FROM w WHERE part = 4),
+    outcome AS (
+        SELECT 'order' AS side, CAST(id AS VARCHAR) AS id, CASE WHEN id IN (SELECT o FROM pair) THEN 'matched' WHEN event_ts + INTERVAL 60 DAYS >= (SELECT upto FROM edge)
+                    THEN 'open' WHEN late THEN 'late' ELSE 'unmatched' END AS outcome FROM oo
+        UNION ALL
+        SELECT 'item', id, CASE WHEN id IN (SELECT i FROM pair) THEN 'matched' WHEN event_ts >= (SELECT upto FROM edge)
+                    THEN 'open' WHEN late THEN 'late' ELSE 'unmatched' END FROM ii)
+"""
+
+
+def _shipped(spark: SparkSession, sf: str) -> DataFrame:
+    """Items with an id made of their columns, as no line number is unique here."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")]
+    return fixtures.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", *columns).alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_shipdate").cast("timestamp").alias("event_ts"),
+    )
+
+
+@query("stream_order_items", _JOIN_SQL + "SELECT side, outcome, count(*) AS rows, min(id) AS first_id, max(id) AS last_id FROM outcome GROUP BY 1, 2", ("ord",))
+def _stream_order_items(spark, sf):
+    """Two streams joined; matched, unmatched, open and late rows together are the input."""
+    sides = {"o": fixtures.orders(spark, sf).select("id", "event_ts"), "i": _shipped(spark, sf)}
+    by = {"o": "id", "i": "product_id"}
+    root, state, out = (scratch_path(spark, f"order-items-{n}") for n in ("input", "state", "output"))
+    for part in (1, 2, 3):
+        for name, rows in sides.items():
+            rows.withColumn("part", F.expr(_PARTS.format(by[name]))).filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/{name}")
+        streams = [spark.readStream.schema(rows.schema).parquet(f"{root}/{name}") for name, rows in sides.items()]
+        running = pipelines.start(joins.order_item_stream(*streams, "60 days", "36 hours"), state, path=out)
+        running.awaitTermination()
+    kinds = "order_id bigint, order_ts timestamp, item_id string, item_ts timestamp"
+    found = joins.account(sides["o"], sides["i"], spark.read.schema(kinds).parquet(out), "60 days", joins.watermark_of(running))
+    return found.groupBy("side", "outcome").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
