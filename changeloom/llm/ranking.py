@@ -71,13 +71,14 @@ def _counted(doc: np.ndarray, terms: pa.Array, n: int) -> tuple[pa.Array, pa.Arr
     at = np.searchsorted(pair, np.arange(n + 1) * size).astype(np.int32)
     names = known.dictionary.take(pa.array(pair % size)).cast(pa.string())
     return (
-        pa.ListArray.from_arrays(pa.array(at), names), pa.ListArray.from_arrays(pa.array(at), pa.array(tf.astype(np.int32))),
+        # Joined by blanks, which no term holds: a string moves lighter than a list of them.
+        pc.binary_join(pa.ListArray.from_arrays(pa.array(at), names), " "), pa.ListArray.from_arrays(pa.array(at), pa.array(tf.astype(np.int32))),
         np.bincount(doc, minlength=n).astype(np.int64),
     )
 
 
 def forward(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, n, terms, tfs`` of the documents with a term."""
+    """``id, n, terms, tfs`` of the documents with a term; terms are joined by blanks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +88,7 @@ def forward(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                 yield out.filter(pa.array(n > 0))
 
     return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, "id bigint, n bigint, terms array<string>, tfs array<int>"
+        run, "id bigint, n bigint, terms string, tfs array<int>"
     )
 
 
@@ -100,7 +101,7 @@ INDEX = (
 def _stratum(table: pa.Table) -> pa.Table:
     """One index row: term k has the runs up to ``run_ends[k]``; a run has one tf and the documents up to ``doc_ends`` of it."""
     table = table.combine_chunks()
-    terms, tfs = table["terms"].combine_chunks(), table["tfs"].combine_chunks()
+    terms, tfs = pc.split_pattern(table["terms"].combine_chunks(), " "), table["tfs"].combine_chunks()
     sizes = pc.list_value_length(terms).to_numpy()
     known = terms.flatten().dictionary_encode()
     code, tf = known.indices.to_numpy(), tfs.flatten().to_numpy()
@@ -134,7 +135,7 @@ class Index:
 def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b: int = B, stratum: int = STRATUM) -> Index:
     """The index of all documents."""
     # Row numbers deal copies, even of one id, over the parts of a stratum.
-    each = written(forward(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "forward")
+    each = _stored(forward(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "forward")
     totals = written(each.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_terms")), "totals")
     n_docs, n_terms = totals.first()
     # The product is taken in decimals, which no corpus overflows.
@@ -146,15 +147,22 @@ def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b: int =
     dealt = placed.join(sizes, "m", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)))
     dealt = dealt.repartition("m", "part")  # a join by m alone would leave a large stratum's parts together
     # A row holds a whole part; small row groups bound what a reader decodes at once.
-    path, strata = scratch_path(docs.sparkSession, "strata"), dealt.groupBy("m", "part").applyInArrow(_stratum, INDEX)
-    strata.write.options(**{"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}).parquet(path)
-    return Index(docs.sparkSession.read.schema(strata.schema).parquet(path), totals)
+    strata = dealt.groupBy("m", "part").applyInArrow(_stratum, INDEX)
+    # A row holds a whole part; small row groups bound what a reader decodes at once.
+    return Index(_stored(strata, "strata", **{"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}), totals)
+
+
+def _stored(df: DataFrame, label: str, **options) -> DataFrame:
+    """A table in the shared folder, packed tightly, as an index holds about as many bytes as its texts."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(compression="zstd", **options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``item, term``, each pair once."""
     each = forward(items, item_id, text)
-    return each.select(F.col("id").alias("item"), F.explode("terms").alias("term")).distinct()
+    return each.select(F.col("id").alias("item"), F.explode(F.split("terms", " ")).alias("term")).distinct()
 
 
 def weights(index: Index, terms: DataFrame) -> DataFrame:
