@@ -92,6 +92,11 @@ class Buckets:
         amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in self.held.values()]])
         return times[times > horizon], amounts[times > horizon]
 
+    def end(self, newest: int) -> int:
+        """The last moment of a bucket.  What arrived before an event counts for it, however much later it lies, so reads go on to the
+        newest bucket."""
+        return (newest + 1) * self.width - 1
+
     def add(self, times: np.ndarray, amounts: np.ndarray, horizon: int) -> list[int]:
         """Write the buckets of new values; the numbers of buckets that did not exist."""
         times, amounts = times[times > horizon], amounts[times > horizon]
@@ -179,7 +184,7 @@ class AnomalyProcessor(_Timed):
         n0, cents0, oldest, newest, horizon = known or (0, 0, 0, -1, NONE)
         old = old_amounts = np.zeros(0, np.int64)
         if known:
-            old, _ = self.buckets.read(int(now[0]) - max(self.spike, self.rapid), int(now[-1]), oldest, newest, horizon)
+            old, _ = self.buckets.read(int(now[0]) - max(self.spike, self.rapid), self.buckets.end(newest), oldest, newest, horizon)
             chunks = range(max(0, n0 - size) // size, (n0 - 1) // size + 1)
             parts = [self.amounts.getValue((c,))[0] for c in chunks]
             old_amounts = np.concatenate([np.asarray(p, np.int64) for p in parts])
@@ -269,7 +274,7 @@ class InventoryProcessor(_Timed):
         before = np.concatenate([[stock], after[:-1]])
 
         none = np.zeros(0, np.int64)
-        old, units = (none, none) if seen is None else self.buckets.read(int(now[0]) - self.kept, int(now[-1]), oldest, newest, horizon)
+        old, units = (none, none) if seen is None else self.buckets.read(int(now[0]) - self.kept, self.buckets.end(newest), oldest, newest, horizon)
         recent = _within(old, units, now, qty, self.kept)
 
         def carried(values: np.ndarray, last: np.ndarray, old) -> np.ndarray:
