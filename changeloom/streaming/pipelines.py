@@ -31,6 +31,8 @@ from .processors import FEATURES, NONE, STOCK_ROWS, AnomalyProcessor, InventoryP
 
 WATERMARK = "10 minutes"
 FLUSH = "300 seconds"  # fixed value: report interval
+#: Groups that a stream's products are dealt to: a group costs some milliseconds a micro-batch, whatever it holds.
+SHARDS = 4096
 
 
 def utc_now() -> datetime:
@@ -176,8 +178,9 @@ def inventory_stream(
         offset(good), *[_filled(F.col(t)).alias(t) for t in ties], *time,
     )
     rows = p.unionByName(i).filter(F.col("product_id").isNotNull())
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("product_id"), F.lit(SHARDS)))
     window = duration_micros(f"{rules.VELOCITY_DAYS} days")
-    stock = _timed(rows, delay, "product_id", InventoryProcessor(("offset", *ties), window, delay is not None), STOCK_ROWS)
+    stock = _timed(rows, delay, "shard", InventoryProcessor(("offset", *ties), window, delay is not None), STOCK_ROWS)
     flat = stock.select(
         "product_id",
         "event_kind",

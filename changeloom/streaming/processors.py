@@ -239,10 +239,12 @@ class AnomalyProcessor(_Timed):
                 self.amounts.removeKey((c,))
 
 
-class InventoryProcessor(_Timed):
-    """State per product: shown fields, stock, last sale and restock, sales of the velocity window by the day.
+class InventoryProcessor(StatefulProcessor):
+    """State per product, kept by shard: shown fields, stock, last sale and restock, and sales of the velocity window by the day.
 
-    Rows carry ``kind`` (0 product, 1 item), ``name, price_cents, set, qty, event_us`` and ties.
+    Rows carry ``product_id, kind`` (0 product, 1 item), ``name, price_cents, set, qty, event_us`` and ties.  A group is a shard of
+    products, whose rows are worked on together; its map states have an entry per product, and per product and day.  With
+    ``timers`` a day leaves its shard by an event-time timer.
     """
 
     def __init__(self, ties: tuple[str, ...], window: int, timers: bool = False):
@@ -250,55 +252,117 @@ class InventoryProcessor(_Timed):
         self.width = duration_micros("1 day")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState(
-            "stock",
-            "known boolean, name string, price bigint, stock bigint, sale bigint, restock bigint, oldest bigint, newest bigint, "
-            "horizon bigint",
+        self.handle = handle
+        self.stock = handle.getMapState(
+            "stock", "product_id bigint",
+            "known boolean, name string, price bigint, stock bigint, sale bigint, restock bigint, horizon bigint, days array<bigint>",
         )
+        self.recent = handle.getMapState("recent", "product_id bigint, day bigint", "times array<bigint>, amounts array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.state.get()
-        known, name, price, stock, sale, restock, oldest, newest, horizon = seen or (False, None, NONE, 0, NONE, NONE, 0, -1, NONE)
-        batch = _batch(rows, ["event_us", "kind", *self.ties])
-        now, is_set = batch["event_us"].astype(np.int64), batch["kind"] == 0
-        qty, given = batch["qty"].astype(np.int64), batch["set"].astype(np.int64)
-        sold = np.cumsum(qty)
+        batch = _batch(rows, ["product_id", "event_us", "kind", *self.ties])
+        product, now, qty, given = (batch[c].astype(np.int64) for c in ("product_id", "event_us", "qty", "set"))
+        is_set, n = batch["kind"] == 0, len(now)
+        # The rows of a product are neighbours: number, first row and last row of each product's part.
+        first = np.flatnonzero(np.concatenate([[True], product[1:] != product[:-1]]))
+        last, part = np.append(first[1:], n) - 1, np.cumsum(np.isin(np.arange(n), first)) - 1
+        begin, ids = first[part], product[first].tolist()
+        met = [self.stock.getValue((p,)) for p in ids] if self.stock.exists() else [None] * len(ids)
+        seen = [tuple(m) if m is not None else (False, None, NONE, 0, NONE, NONE, NONE, []) for m in met]
+        known, name, price, stock, sale, restock, horizon, days = map(list, zip(*seen))
+        known, name = np.array(known, bool), np.array(name, object)
+        price, stock, sale, restock, horizon = (np.array(c, np.int64) for c in (price, stock, sale, restock, horizon))
 
         # A product event at running total S0 lifts the ceiling to stock + S0 (see batch twin).
+        total = np.concatenate([[0], np.cumsum(qty)])
+        sold = total[1:] - total[begin]
         shown = _last(is_set)
-        ceiling = np.where(shown >= 0, (given + sold)[shown], stock)
-        after = np.maximum(0, ceiling - sold)
-        if not known:
-            after[shown < 0] = 0
-        before = np.concatenate([[stock], after[:-1]])
-
-        none = np.zeros(0, np.int64)
-        old, units = (none, none) if seen is None else self.buckets.read(int(now[0]) - self.kept, self.buckets.end(newest), oldest, newest, horizon)
-        recent = _within(old, units, now, qty, self.kept)
-
-        def carried(values: np.ndarray, last: np.ndarray, old) -> np.ndarray:
-            return np.where(last >= 0, values[last], old)
-
-        names = carried(batch["name"], shown, name)
-        prices = carried(batch["price_cents"].astype(np.int64), shown, price)
-        sales = carried(now, _last(~is_set), sale)
-        restocks = carried(now, _last(is_set & (given > before)), restock)
+        has_set = shown >= begin
+        ceiling = np.where(has_set, (given + sold)[shown], stock[part])
+        after = np.where(has_set | known[part], np.maximum(0, ceiling - sold), 0)
+        before = np.concatenate([[0], after[:-1]])
+        before[first] = stock
+
+        def carried(values: np.ndarray, mask: np.ndarray, old: np.ndarray) -> np.ndarray:
+            at = _last(mask)
+            return np.where(at >= begin, values[at], old[part])
+
+        held = self._held(ids, now[first], days)
+        names, prices = carried(batch["name"], is_set, name), carried(batch["price_cents"].astype(np.int64), is_set, price)
+        sales, restocks = carried(now, ~is_set, sale), carried(now, is_set & (given > before), restock)
         yield pd.DataFrame({
-            "product_id": key[0],
+            "product_id": product,
             "event_kind": np.where(is_set, "product", "sale"),
             "event_us": now,
             "name": names,
             "price_cents": prices,
             "current_stock": after,
-            "units": recent,
+            "units": self._units(held, horizon, part, begin, now, total),
             "sale_us": sales,
             "restock_us": restocks,
         })
 
-        horizon = max(horizon, int(now[-1]) - self.kept)
-        sold_now = qty != 0
-        oldest, newest = self.keep(now[sold_now], qty[sold_now], oldest, newest, horizon)
-        self.state.update((
-            bool(known or is_set.any()), names[-1], int(prices[-1]), int(after[-1]), int(sales[-1]), int(restocks[-1]), oldest, newest, horizon,
-        ))
+        horizon = np.maximum(horizon, now[last] - self.kept)
+        kept = np.flatnonzero((qty != 0) & (now > horizon[part]))
+        added: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+        for k, day, t, q in zip(part[kept].tolist(), (now[kept] // self.width).tolist(), now[kept].tolist(), qty[kept].tolist()):
+            times, amounts = added.setdefault((k, day), ([], []))
+            times.append(t)
+            amounts.append(q)
+        for (k, day), (times, amounts) in added.items():
+            old = held.get((k, day)) or (self.recent.getValue((ids[k], day)) if day in days[k] else None) or ([], [])
+            self.recent.updateValue((ids[k], day), ([*old[0], *times], [*old[1], *amounts]))
+            if day not in days[k]:
+                days[k] = [*days[k], day]
+                if self.timers:
+                    self.handle.registerTimer(((day + 1) * self.width + self.kept) // _MILLI + 1)
+        left = (horizon + 1) // self.width
+        known = known | np.logical_or.reduceat(is_set, first)
+        for k, row in enumerate(zip(
+            known.tolist(), names[last].tolist(), prices[last].tolist(), after[last].tolist(), sales[last].tolist(), restocks[last].tolist(),
+            horizon.tolist(),
+        )):
+            for day in days[k]:
+                if day < left[k]:
+                    self.recent.removeKey((ids[k], day))
+            self.stock.updateValue((ids[k],), (*row, [d for d in days[k] if d >= left[k]]))
+
+    def _held(self, ids: list[int], since: np.ndarray, days: list[list[int]]) -> dict[tuple[int, int], tuple]:
+        """Stored sales that the first event of a product or a later one can reach, by product's number and day."""
+        found = {}
+        for k, low in enumerate(((since - self.kept) // self.width).tolist()):
+            for day in days[k]:
+                value = self.recent.getValue((ids[k], day)) if day >= low else None
+                if value is not None:  # a timer may have removed it
+                    found[k, day] = tuple(value)
+        return found
+
+    def _units(self, held: dict, horizon: np.ndarray, part: np.ndarray, begin: np.ndarray, now: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Per row: units of its product that arrived up to it and were sold after its time less the window (as ``_within``)."""
+        none = np.zeros(0, np.int64)
+        of = np.concatenate([none, *[np.full(len(t), k) for (k, _), (t, _) in held.items()]])
+        times = np.concatenate([none, *[np.asarray(t, np.int64) for t, _ in held.values()]])
+        amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in held.values()]])
+        there = times > horizon[of]
+        of, times, amounts = of[there], times[there], amounts[there]
+        edge = now - self.kept
+        # A product's number and the rank of a time as one number.
+        moments = np.unique(np.concatenate([now, edge, times]))
+        size = len(moments)
+        place, edges = (part * size + np.searchsorted(moments, t) for t in (now, edge))
+        units = total[1:] - total[np.searchsorted(place, edges, side="right")]
+        if len(of):
+            old = of * size + np.searchsorted(moments, times)
+            at = np.argsort(old, kind="stable")
+            old, run = old[at], np.concatenate([[0], np.cumsum(amounts[at])])
+            units += run[np.searchsorted(old, (part + 1) * size, side="left")] - run[np.searchsorted(old, edges, side="right")]
+        return units
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        day = ((expiredTimerInfo.getExpiryTimeInMs() - 1) * _MILLI - self.kept) // self.width - 1
+        for k in [k for k in self.recent.keys() if k[1] == day]:
+            self.recent.removeKey(tuple(k))
+        return iter(())
+
+    def close(self) -> None:
+        pass
