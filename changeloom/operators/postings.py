@@ -53,27 +53,42 @@ def net_changes(
     )
 
 
-def posting_deltas(net: DataFrame) -> DataFrame:
-    """``token, id, tf, change``: postings that are not as before; ``change`` is +1, 0 or -1 product for the token."""
+def posting_deltas(net: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``token, block, id, tf, change``: postings that are not as before; ``change`` is +1, 0 or -1 product for the token.
+
+    Words are dealt once, by token and block, and counted and gathered where they lie.
+    """
     sides = F.array(
         F.struct(words(F.col("old")).alias("words"), F.lit(1).alias("was"), F.lit(0).alias("now")),
         F.struct(words(F.col("new")).alias("words"), F.lit(0).alias("was"), F.lit(1).alias("now")),
     )
-    spoken = net.select("id", F.explode(sides).alias("s")).select("id", F.explode("s.words").alias("token"), "s.was", "s.now")
-    counted = spoken.groupBy("token", "id").agg(F.sum("was").alias("was"), F.sum("now").alias("tf")).filter("was <> tf")
+    spoken = net.select(F.col("id").cast("bigint").alias("id"), F.explode(sides).alias("s")).select(
+        F.explode("s.words").alias("token"), _block(block), "id", "s.was", "s.now"
+    )
+    counted = spoken.repartition("token", "block").groupBy("token", "block", "id").agg(F.sum("was").alias("was"), F.sum("now").alias("tf"))
     change = (F.col("tf") > 0).cast("bigint") - (F.col("was") > 0).cast("bigint")
-    there = F.col("new").isNotNull().cast("bigint") - F.col("old").isNotNull().cast("bigint")
-    products = net.select(F.lit(ALL).alias("token"), F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("tf"), there.alias("change"))
-    return counted.select("token", F.col("id").cast("bigint").alias("id"), "tf", change.alias("change")).unionByName(products.filter("change <> 0"))
+    return counted.filter("was <> tf").select("token", "block", "id", "tf", change.alias("change"))
+
+
+def _block(block: int) -> Column:
+    return F.expr(f"coalesce(id div {int(block)}, 0)").alias("block")
 
 
-def posting_blocks(deltas: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Deltas in blocks of ids; no row holds more than a block, however common its token."""
-    pair = F.when(F.col("id").isNotNull(), F.struct("id", "tf"))
-    grouped = deltas.groupBy("token", F.expr(f"coalesce(id div {int(block)}, 0)").alias("block")).agg(
-        F.sort_array(F.collect_list(pair)).alias("pairs"), F.max("tf").alias("max_tf"), F.sum("change").alias("products")
+def product_change(net: DataFrame) -> DataFrame:
+    """``change``: products that came, less those that went."""
+    return net.agg(F.sum(F.col("new").isNotNull().cast("bigint") - F.col("old").isNotNull().cast("bigint")).alias("change"))
+
+
+def posting_blocks(deltas: DataFrame, products: DataFrame) -> DataFrame:
+    """Deltas in blocks of ids; no row holds more than a block, however common its token.  ``products`` becomes the row of ``ALL``."""
+    grouped = deltas.groupBy("token", "block").agg(
+        F.sort_array(F.collect_list(F.struct("id", "tf"))).alias("pairs"), F.max("tf").alias("max_tf"), F.sum("change").alias("products")
     )
-    return grouped.select("token", "block", F.col("pairs.id").alias("ids"), F.col("pairs.tf").alias("tfs"), "max_tf", "products")
+    none, zero = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
+    count = products.filter("change <> 0").select(
+        F.lit(ALL).alias("token"), zero.alias("block"), none.alias("ids"), none.alias("tfs"), zero.alias("max_tf"), F.col("change").alias("products")
+    )
+    return grouped.select("token", "block", F.col("pairs.id").alias("ids"), F.col("pairs.tf").alias("tfs"), "max_tf", "products").unionByName(count)
 
 
 def weight(products: int, holding: int) -> int:
@@ -95,20 +110,23 @@ class PostingIndex:
     def _bucket(self, token: Column) -> Column:
         return F.pmod(F.xxhash64(token), F.lit(self.buckets)).cast("bigint")
 
-    def _write(self, deltas: DataFrame, batch: int) -> None:
-        rows = posting_blocks(deltas, self.block).withColumn("bucket", self._bucket(F.col("token")))
+    def _write(self, deltas: DataFrame, products: DataFrame, batch: int) -> None:
+        rows = posting_blocks(deltas, products).withColumn("bucket", self._bucket(F.col("token")))
         # A large bucket is split, small ones share a task; each stays sorted, so readers skip row groups by token.
         rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token", "block")
         rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/batch={int(batch)}")
 
     def add(self, changes: DataFrame, batch: int, **options) -> None:
         """Take in a batch of changes with old images; batches are numbered in their order."""
-        self._write(posting_deltas(net_changes(changes, **options)), batch)
+        self._add(net_changes(changes, **options), batch)
+
+    def _add(self, net: DataFrame, batch: int) -> None:
+        self._write(posting_deltas(net, self.block), product_change(net), batch)
 
     def add_documents(self, documents: DataFrame, key: str = "id", fields: Sequence[str] = FIELDS, batch: int = 0) -> None:
         """Take in rows of a table that are not yet there."""
         text = F.concat_ws(" ", *fields)
-        self._write(posting_deltas(documents.select(F.col(key).alias("id"), F.lit(None).cast("string").alias("old"), text.alias("new"))), batch)
+        self._add(documents.select(F.col(key).alias("id"), F.lit(None).cast("string").alias("old"), text.alias("new")), batch)
 
     def sink(self, after: int = 1, **options) -> Callable[[DataFrame, int], None]:
         """For ``foreachBatch``: micro-batch n becomes batch ``after + n``; a retried one replaces itself."""
@@ -136,9 +154,8 @@ class PostingIndex:
         """The same postings as one batch of a new index."""
         whole = PostingIndex(root, self.buckets, self.block)
         kept = self.postings(spark).select("token", F.col("product_id").alias("id"), "tf", F.lit(1).cast("bigint").alias("change"))
-        count = self.rows(spark, [ALL]).agg(F.coalesce(F.sum("products"), F.lit(0)).alias("change"))
-        none = [F.lit(ALL).alias("token"), F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("tf"), "change"]
-        whole._write(kept.unionByName(count.select(*none)), 0)
+        count = self.rows(spark, [ALL]).agg(F.sum("products").alias("change"))
+        whole._write(kept.withColumn("block", _block(self.block)), count, 0)
         return whole
 
     def search(self, spark: SparkSession, query: str, k: int = 10, require_all: bool = False) -> DataFrame:
