@@ -73,3 +73,17 @@ def test_a_group_holds_many_products(spark, tmp_path):
     assert "shard" in found._jdf.queryExecution().logical().toString()
     got = pipelines.run(found, f"{tmp_path}/cp", f"{tmp_path}/out").groupBy("current_stock", "total_sales_7d").count()
     assert sorted(map(tuple, got.collect())) == [(3, 2, 9000), (5, 0, 9000)]
+
+
+def test_days_leave_by_timers(spark, tmp_path):
+    for day in (1, 2, 20, 40, 60):
+        spark.sql(f"SELECT {day}L AS order_id, 1L AS line_number, {day}L AS product_id, 2 AS quantity, timestamp'2024-01-01' + INTERVAL {day} DAYS AS event_ts") \
+            .coalesce(1).write.parquet(f"{tmp_path}/i/p={day}")
+    schema = "order_id long, line_number long, product_id long, quantity int, event_ts timestamp"
+    items = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/i/p=*")
+    spark.sql("SELECT 1L AS id, 'a' AS name, 1BD AS price, 5 AS stock_quantity, timestamp'2024-03-01' AS event_ts").write.parquet(f"{tmp_path}/p")
+    products = spark.readStream.schema("id long, name string, price decimal(12,2), stock_quantity int, event_ts timestamp").parquet(f"{tmp_path}/p")
+    query = pipelines.start(pipelines.inventory_stream(products, items, delay="1 hour"), f"{tmp_path}/cp", path=f"{tmp_path}/out")
+    query.awaitTermination()
+    assert sum(p["stateOperators"][0]["customMetrics"]["numDeletedTimers"] for p in query.recentProgress if p["stateOperators"]) >= 3
+    assert spark.read.parquet(f"{tmp_path}/out").filter("event_kind = 'sale'").count() == 5
