@@ -368,7 +368,7 @@ def _stream_order_items(spark, sf):
         for name, rows in sides.items():
             rows.withColumn("part", F.expr(_PARTS.format(by[name]))).filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/{name}")
         streams = [spark.readStream.schema(rows.schema).parquet(f"{root}/{name}") for name, rows in sides.items()]
-        running = pipelines.start(joins.order_item_stream(*streams, "60 days", "36 hours"), state, path=out)
+        running = joins.start_joined(joins.order_item_stream(*streams, "60 days", "36 hours"), state, out)
         running.awaitTermination()
     kinds = "order_id bigint, order_ts timestamp, item_id string, item_ts timestamp"
     found = joins.account(sides["o"], sides["i"], spark.read.schema(kinds).parquet(out), "60 days", joins.watermark_of(running))

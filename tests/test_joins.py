@@ -43,3 +43,17 @@ def test_every_row_is_accounted_for(spark, tmp_path):
         dlq_sink(f"{tmp_path}/dlq")(letters, 3)
     assert spark.read.json(f"{tmp_path}/dlq").select("topic", "key").orderBy("key").collect() == [("item", "16"), ("order", "5")]
     assert joined.filter(F.col("order_id").isNull() & F.col("item_id").isNull()).count() <= 1
+
+
+def test_a_joined_stream_does_not_read_before_it_writes(spark, tmp_path):
+    """Counting the state's rows costs a read for each write; the join's state has a row per input row."""
+    spark.range(3000).select("id", F.lit(START).alias("event_ts")).coalesce(1).write.parquet(f"{tmp_path}/o")
+    spark.range(3000).select("id", F.col("id").alias("order_id"), F.lit(START).alias("event_ts")).coalesce(1).write.parquet(f"{tmp_path}/i")
+    sides = [spark.readStream.schema(spark.read.parquet(f"{tmp_path}/{n}").schema).parquet(f"{tmp_path}/{n}") for n in "oi"]
+    joined, gets, counted = joins.order_item_stream(*sides, "10 hours", "1 hour"), [], spark.conf.get(joins.COUNTED, None)
+    for n, run in enumerate((lambda *a: pipelines.start(a[0], a[1], path=a[2]), joins.start_joined)):
+        query = run(joined, f"{tmp_path}/cp{n}", f"{tmp_path}/out{n}")
+        query.awaitTermination()
+        gets.append(query.recentProgress[0]["stateOperators"][0]["customMetrics"]["rocksdbGetCount"])
+        assert spark.read.parquet(f"{tmp_path}/out{n}").filter("order_id = item_id").count() == 3000
+    assert gets[1] <= gets[0] - 6000 and spark.conf.get(joins.COUNTED, None) == counted
