@@ -16,34 +16,74 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions.times import duration_micros, micros
 from ..operators.quality import FIRING, INACTIVE, PENDING, RESOLVED
-from .pipelines import WATERMARK, with_event_time
+from .pipelines import SHARDS, WATERMARK, with_event_time
 
 
 class AlertProcessor(StatefulProcessor):
-    """State per series: samples the watermark has not passed, and the alert's state with its beginning."""
+    """State per shard of series: samples the watermark has not passed, and the alerts that are pending or firing with their beginning.
 
-    def __init__(self, series: str, wait: int):
-        self.series, self.wait = series, wait
+    A group costs some milliseconds a micro-batch, whatever it holds, so series share groups; a shard's state is read and written once.
+    """
+
+    def __init__(self, series: str, kind: str, wait: int):
+        self.series, self.kind, self.wait = series, kind, wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, place bigint, is_on boolean")
-        self.alert = handle.getValueState("alert", "state string, since bigint, timer bigint")
+        self.waiting = handle.getValueState("waiting", f"series array<{self.kind}>, at array<bigint>, place array<bigint>, is_on array<boolean>")
+        self.alerts = handle.getValueState("alerts", f"series array<{self.kind}>, state array<string>, since array<bigint>, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(a), int(p), bool(o)) for part in rows for a, p, o in zip(part["at"], part["place"], part["is_on"])]
-        yield from self._advance(key, new, timerValues)
+        columns = [[], [], [], []]
+        for part in rows:
+            for column, name in zip(columns, (self.series, "at", "place", "is_on")):
+                column += part[name].tolist()
+        yield from self._advance(columns, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, [], timerValues)
+        yield from self._advance([[], [], [], []], timerValues)
 
-    def _advance(self, key, new: list[tuple], timerValues) -> Iterator[pd.DataFrame]:
+    def _advance(self, new: list[list], timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        samples = sorted([*self.waiting.get(), *new])
-        state, since, timer = self.alert.get() or (INACTIVE, 0, -1)
+        names, states, begun, timer = self.alerts.get() or ([], [], [], -1)
+        alerts = {name: (state, since) for name, state, since in zip(names, states, begun)}
+        held = self.waiting.get()
+        columns = [[*old, *added] for old, added in zip(held, new)] if held else new
+        # Series in any order; the samples of each by time.
+        due: dict = {name: [] for name, (state, since) in alerts.items() if state == PENDING and since + self.wait <= mark}
+        later = []
+        for sample in zip(*columns):
+            if sample[1] > mark:
+                later.append(sample)
+            else:
+                due.setdefault(sample[0], []).append(sample[1:])
+        moves: list[tuple] = []
+        for name, samples in due.items():
+            state, since = alerts.pop(name, (INACTIVE, 0))
+            state, since, moved = self._moves(state, since, sorted(samples), mark)
+            moves += [(name, *move) for move in moved]
+            if state in (PENDING, FIRING):  # a quiet series leaves the state
+                alerts[name] = (state, since)
+        if later:
+            self.waiting.update(tuple(map(list, zip(*later))))
+        elif held:
+            self.waiting.clear()
+        # The next moment at which anything can happen.
+        times = [s[1] for s in later] + [since + self.wait for state, since in alerts.values() if state == PENDING]
+        soon = min(times) // 1000 if times else -1
+        if soon >= 0 and soon != timer:
+            self.handle.registerTimer(soon)
+        if alerts or later:
+            self.alerts.update((list(alerts), [a[0] for a in alerts.values()], [a[1] for a in alerts.values()], soon))
+        elif self.alerts.exists():
+            self.alerts.clear()
+        if moves:
+            yield pd.DataFrame({self.series: [m[0] for m in moves], "state": [m[1] for m in moves], "at_us": [m[2] for m in moves]})
+
+    def _moves(self, state: str, since: int, samples: list[tuple], mark: int) -> tuple[str, int, list[tuple[str, int]]]:
+        """A series' state and its beginning after samples in order, and the transitions on the way."""
         moves: list[tuple[str, int]] = []
-        later = [s for s in samples if s[0] > mark]
-        for at, _, is_on in samples[: len(samples) - len(later)]:
+        for at, _, is_on in samples:
             # A false sample at the very end of the waiting time comes first.
             if state == PENDING and (since + self.wait < at or is_on and since + self.wait == at):
                 state = FIRING
@@ -60,21 +100,7 @@ class AlertProcessor(StatefulProcessor):
         if state == PENDING and since + self.wait <= mark:
             state = FIRING
             moves.append((FIRING, since + self.wait))
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        # The next moment at which anything can happen.
-        times = [s[0] for s in later[:1]] + ([since + self.wait] if state == PENDING else [])
-        soon = min(times) // 1000 if times else -1
-        if soon >= 0 and soon != timer:
-            self.handle.registerTimer(soon)
-        if state in (INACTIVE, RESOLVED) and not later:
-            self.alert.clear()  # a quiet series leaves the state
-        else:
-            self.alert.update((state, since, soon))
-        if moves:
-            yield pd.DataFrame({self.series: key[0], "state": [m[0] for m in moves], "at_us": [m[1] for m in moves]})
+        return state, since, moves
 
     def close(self) -> None:
         pass
@@ -92,8 +118,8 @@ def alert_stream(
         F.coalesce(condition, F.lit(False)).alias("is_on"),
     )
     kind = samples.schema[series].dataType.simpleString()
-    found = rows.groupBy(series).transformWithStateInPandas(
-        statefulProcessor=AlertProcessor(series, duration_micros(wait)), outputStructType=f"`{series}` {kind}, state string, at_us bigint",
+    found = rows.withColumn("_shard", F.pmod(F.xxhash64(series), F.lit(SHARDS))).groupBy("_shard").transformWithStateInPandas(
+        statefulProcessor=AlertProcessor(series, kind, duration_micros(wait)), outputStructType=f"`{series}` {kind}, state string, at_us bigint",
         outputMode="Append", timeMode="EventTime",
     )
     return found.select(series, "state", F.timestamp_micros("at_us").alias("at"))

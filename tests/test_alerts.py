@@ -72,3 +72,23 @@ def test_fires_in_silence_and_takes_late_samples(spark, tmp_path):
     assert got == sorted([
         (1, "pending", at(0)), (1, "firing", at(15)), (2, "pending", at(0)), (2, "inactive", at(5)), (3, "pending", at(52)), (3, "firing", at(67)),
     ])
+
+
+def test_a_group_holds_many_series(spark, tmp_path):
+    """Every group costs a fixed time, so their number must not grow with the series."""
+    at = lambda n: F.lit(START) + F.make_dt_interval(mins=F.lit(n))
+    for n, on in ((0, 1), (8, 0), (200, 0)):  # every third series is off at 8 minutes, one at 200
+        rows = spark.range(9000 if n < 200 else 1).filter("id % 3 = 0" if n else "true")
+        rows = rows.select(F.concat(F.lit("s"), "id").alias("series"), "id", F.lit(on).alias("value"), at(n).alias("ts"))
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+        found = alerts.alert_stream(stream, F.col("value") == 1, "15 minutes", "series", "ts", delay="10 minutes", order="id")
+        query = pipelines.start(found, f"{tmp_path}/cp", path=f"{tmp_path}/out")
+        query.awaitTermination()
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        assert max(states) <= 4 * pipelines.SHARDS  # two values and their timers a shard
+    got = spark.read.parquet(f"{tmp_path}/out").groupBy("state", "at").agg(F.count_distinct("series"), F.count("series"))
+    after = lambda n: START + timedelta(minutes=n)
+    assert sorted(map(tuple, got.collect())) == [
+        ("firing", after(15), 6000, 6000), ("inactive", after(8), 3000, 3000), ("pending", after(0), 9000, 9000),
+    ]
