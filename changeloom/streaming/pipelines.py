@@ -31,7 +31,7 @@ from .processors import FEATURES, NONE, STOCK_ROWS, AnomalyProcessor, InventoryP
 
 WATERMARK = "10 minutes"
 FLUSH = "300 seconds"  # fixed value: report interval
-#: Groups that a stream's products are dealt to: a group costs some milliseconds a micro-batch, whatever it holds.
+#: Groups that a stream's customers or products are dealt to: a group costs some milliseconds a micro-batch, whatever it holds.
 SHARDS = 4096
 
 
@@ -135,7 +135,8 @@ def anomaly_stream(orders: DataFrame, limits: Limits = Limits(), delay: str | No
         micros(F.col("event_ts")).alias("event_us"),
         *(["event_ts"] if delay is not None else []),
     )
-    found = _timed(rows, delay, "customer_id", AnomalyProcessor(limits, delay is not None), FEATURES)
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("customer_id"), F.lit(SHARDS)))
+    found = _timed(rows, delay, "shard", AnomalyProcessor(limits, delay is not None), FEATURES)
     features = found.select(
         "customer_id", _given("id").alias("id"), _money(F.col("cents")).alias("total_amount"), "event_us", "total_customer_orders",
         _money(F.col("total_cents"), "decimal(22,2)").alias("total_customer_amount"), "spike_count", "rapid_count", "mean_amount",

@@ -5,9 +5,9 @@ fields are the batch operators' columns, applied after it.  Within a micro-batch
 micro-batches an event counts what arrived before it and lies in its own window, so a late event neither misses earlier ones
 nor hides itself from later ones.
 
-Events are kept in buckets of time, one entry of a map state each: a micro-batch reads the buckets its windows reach and writes
-those it adds to, so the state it writes grows with the batch, not with the key.  Buckets out of reach leave when their
-key has a new event, or by an event-time timer of their own, which empties idle keys too.
+Keys share groups, whose rows are worked on together.  Events are kept in buckets of time, one entry of a map state for a key's
+bucket: a micro-batch reads the buckets its windows reach and writes those it adds to, so the state it writes grows with the batch,
+not with the key.  Buckets out of reach leave when their key has a new event, or by an event-time timer, which empties idle keys too.
 
 All columns come and go as whole numbers without nulls (``NONE`` for none): ids and cents beyond 2^53 keep their digits.
 """
@@ -40,7 +40,7 @@ _MILLI = 1000
 
 
 def _batch(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> dict[str, np.ndarray]:
-    """The micro-batch of one key as arrays in event order."""
+    """The micro-batch of one group as arrays in order."""
     parts = list(rows)
     frame = parts[0] if len(parts) == 1 else pd.concat(parts)
     at = np.lexsort([frame[c].to_numpy(np.int64) for c in reversed(order)])
@@ -52,24 +52,64 @@ def _last(mask: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1))
 
 
-def _within(old: np.ndarray, amounts: np.ndarray, now: np.ndarray, added: np.ndarray, width: int) -> np.ndarray:
-    """Per new event: the sum of the amounts that arrived up to it and lie after its time less ``width``.
+def _parts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order of their key: the first and the last row of each key's part, and each row's number of part."""
+    opens = np.concatenate([[True], key[1:] != key[:-1]])
+    first = np.flatnonzero(opens)
+    return first, np.append(first[1:], len(key)) - 1, np.cumsum(opens) - 1
 
-    ``now`` is in order inside the micro-batch; ``old`` need not be, as late events join it in any order.
+
+def _within(
+    of: np.ndarray, old: np.ndarray, amounts: np.ndarray, part: np.ndarray, now: np.ndarray, total: np.ndarray, width: int,
+) -> np.ndarray:
+    """Per new row: the sum of its key's amounts that arrived up to it and lie after its time less ``width``.
+
+    New rows are in order of ``part``, the number of their key, and time; ``total`` are running totals of their amounts, from 0.
+    ``old`` are times of stored amounts and ``of`` the numbers of their keys, in any order, as late events join them.
+    """
+    edge = now - width
+    # A key's number and the rank of a time as one number.
+    moments = np.unique(np.concatenate([now, edge, old]))
+    size = len(moments)
+    place, edges = (part * size + np.searchsorted(moments, t) for t in (now, edge))
+    found = total[1:] - total[np.searchsorted(place, edges, side="right")]
+    if len(of):
+        stored = of * size + np.searchsorted(moments, old)
+        at = np.argsort(stored, kind="stable")
+        stored, run = stored[at], np.concatenate([[0], np.cumsum(amounts[at])])
+        found += run[np.searchsorted(stored, (part + 1) * size, side="left")] - run[np.searchsorted(stored, edges, side="right")]
+    return found
+
+
+class _Share:
+    """The buckets of one owner in a map state that many share, as a map of their own.
+
+    ``numbers`` are the buckets there may be: no call is made for others.
     """
-    at = np.argsort(old, kind="stable")
-    before = np.concatenate([[0], np.cumsum(amounts[at])])
-    inside = np.concatenate([[0], np.cumsum(added)])
-    gone = np.searchsorted(old[at], now - width, side="right")
-    passed = np.searchsorted(now, now - width, side="right")
-    return before[-1] - before[gone] + inside[1:] - inside[passed]
+
+    def __init__(self, state, owner: int, numbers: Sequence[int]):
+        self.state, self.owner, self.numbers = state, owner, set(numbers)
+
+    def getValue(self, key: tuple) -> tuple | None:
+        return self.state.getValue((self.owner, *key)) if key[0] in self.numbers else None
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.numbers.add(key[0])
+        self.state.updateValue((self.owner, *key), value)
+
+    def removeKey(self, key: tuple) -> None:
+        if key[0] in self.numbers:
+            self.numbers.remove(key[0])
+            self.state.removeKey((self.owner, *key))
+
+    def keys(self) -> Iterator[tuple]:
+        return iter([(b,) for b in self.numbers])
 
 
 class Buckets:
     """Timed values of one key in a map state: bucket number to (times, values)."""
 
-    SCHEMA = ("bucket bigint", "times array<bigint>, amounts array<bigint>")
-    #: Buckets looked up one by one; a longer reach reads the map once.
+    #: Buckets looked up one by one; a longer reach goes through the map's keys.
     FEW = 48
 
     def __init__(self, state, width: int, kept: int):
@@ -79,14 +119,10 @@ class Buckets:
     def read(self, low: int, high: int, oldest: int, newest: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
         """Values with times in [low, high] that are newer than the horizon; buckets from oldest to newest may exist."""
         first, last = max(low // self.width, oldest), min(high // self.width, newest)
-        self.held = {}
-        if last - first < self.FEW:
-            for b in range(first, last + 1):
-                found = self.state.getValue((b,))
-                if found is not None:
-                    self.held[b] = found
-        else:
-            self.held = {k[0]: v for k, v in self.state.iterator() if first <= k[0] <= last}
+        near = last - first < self.FEW
+        wanted = range(first, last + 1) if near else [k[0] for k in self.state.keys() if first <= k[0] <= last]
+        values = ((b, self.state.getValue((b,))) for b in wanted)
+        self.held = {b: value for b, value in values if value is not None}  # a timer may have removed it
         none = np.zeros(0, np.int64)
         times = np.concatenate([none, *[np.asarray(t, np.int64) for t, _ in self.held.values()]])
         amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in self.held.values()]])
@@ -127,44 +163,19 @@ class Buckets:
         return ((expired_ms - 1) * _MILLI - self.kept) // self.width - 1
 
 
-class _Timed(StatefulProcessor):
-    """Buckets under the name ``recent``; with ``timers`` each bucket has an event-time timer that removes it."""
-
-    width: int
-    kept: int
-    timers: bool
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buckets = Buckets(handle.getMapState("recent", *Buckets.SCHEMA), self.width, self.kept)
-
-    def keep(self, times: np.ndarray, amounts: np.ndarray, oldest: int, newest: int, horizon: int) -> tuple[int, int]:
-        """Add new values and drop what no later event may count; the oldest and newest bucket there may be (none: the
-        oldest is higher)."""
-        fresh = self.buckets.add(times, amounts, horizon)
-        if self.timers:
-            for b in fresh:
-                self.handle.registerTimer(self.buckets.timer(b))
-        if fresh:
-            oldest, newest = (min(fresh), max(fresh)) if oldest > newest else (min(oldest, *fresh), max(newest, *fresh))
-        return (oldest, newest) if oldest > newest else (self.buckets.drop(oldest, horizon), newest)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.buckets.state.removeKey((self.buckets.timed_out(expiredTimerInfo.getExpiryTimeInMs()),))
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
 def _exact(amounts: np.ndarray, rows: int) -> np.ndarray:
     """As int64 where sums of squares over the array, times ``rows``, fit; as Python integers otherwise."""
     top = int(np.abs(amounts).max(initial=0))
     return amounts if max(len(amounts), rows) * rows * top * top < 1 << 62 else amounts.astype(object)
 
 
-class AnomalyProcessor(_Timed):
-    """State per customer: totals, order times by the hour, last amounts in chunks, all in cents."""
+class AnomalyProcessor(StatefulProcessor):
+    """State per customer, kept by shard: totals, order times by the hour, last amounts in chunks, all in cents.
+
+    A group is a shard of customers, whose rows are worked on together: a group costs some milliseconds a micro-batch, whatever it
+    holds.  Its map states have an entry per customer, per customer and hour, and per customer and chunk.  With ``timers`` an hour
+    leaves its shard by an event-time timer.
+    """
 
     def __init__(self, limits: Limits = Limits(), timers: bool = False):
         self.limits, self.timers = limits, timers
@@ -173,29 +184,33 @@ class AnomalyProcessor(_Timed):
         self.kept = max(self.spike, self.rapid, duration_micros(limits.kept))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.totals = handle.getValueState("totals", "n bigint, cents bigint, oldest bigint, newest bigint, horizon bigint")
-        self.amounts = handle.getMapState("amounts", "chunk bigint", "cents array<bigint>")
+        self.handle = handle
+        self.totals = handle.getMapState("totals", "customer_id bigint", "n bigint, cents bigint, horizon bigint, buckets array<bigint>")
+        self.recent = handle.getMapState("recent", "customer_id bigint, bucket bigint", "times array<bigint>, amounts array<bigint>")
+        self.amounts = handle.getMapState("amounts", "customer_id bigint, chunk bigint", "cents array<bigint>")
+        self.buckets = Buckets(self.recent, self.width, self.kept)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _batch(rows, ["event_us", "id"])
-        now, cents = batch["event_us"].astype(np.int64), batch["cents"].astype(np.int64)
-        known, size = self.totals.get(), self.limits.z_rows
-        n0, cents0, oldest, newest, horizon = known or (0, 0, 0, -1, NONE)
-        old = old_amounts = np.zeros(0, np.int64)
-        if known:
-            old, _ = self.buckets.read(int(now[0]) - max(self.spike, self.rapid), self.buckets.end(newest), oldest, newest, horizon)
-            chunks = range(max(0, n0 - size) // size, (n0 - 1) // size + 1)
-            parts = [self.amounts.getValue((c,))[0] for c in chunks]
-            old_amounts = np.concatenate([np.asarray(p, np.int64) for p in parts])
-        ones, new = np.ones(len(old), np.int64), np.ones(len(now), np.int64)
-
-        # Exact integer sums over the last rows, as differences of running totals.
-        amounts = _exact(np.concatenate([old_amounts[-size:], cents]), size)
+        batch = _batch(rows, ["customer_id", "event_us", "id"])
+        customer, now, cents = (batch[c].astype(np.int64) for c in ("customer_id", "event_us", "cents"))
+        first, last, part = _parts(customer)
+        ids, size = customer[first].tolist(), self.limits.z_rows
+        known = [tuple(self.totals.getValue((c,)) or (0, 0, NONE, ())) for c in ids]
+        n0, cents0, horizon = (np.array([k[f] for k in known], np.int64) for f in range(3))
+        buckets = [Buckets(_Share(self.recent, c, k[3]), self.width, self.kept) for c, k in zip(ids, known)]
+        since = (now[first] - max(self.spike, self.rapid)).tolist()
+        times = [self._times(b, low, k[2]) for b, low, k in zip(buckets, since, known)]
+        before = [self._last_amounts(c, k[0]) for c, k in zip(ids, known)]
+
+        # Exact integer sums over the last rows of a customer, as differences of running totals.
+        pieces = [p for b, f, l in zip(before, first.tolist(), last.tolist()) for p in (b[-size:], cents[f:l + 1])]
+        amounts = _exact(np.concatenate(pieces), size)
         run = np.concatenate([[0], np.cumsum(amounts)])
         squares = np.concatenate([[0], np.cumsum(amounts * amounts)])
-        end = len(amounts) - len(cents) + np.arange(1, len(now) + 1)
-        begin = np.maximum(0, end - size)
+        stored = np.array([min(len(b), size) for b in before])
+        shift = np.cumsum(stored)
+        end = np.arange(1, len(now) + 1) + shift[part]
+        begin = np.maximum((first + shift - stored)[part], end - size)
         n = end - begin
         s, q = run[end] - run[begin], squares[end] - squares[begin]
         spread = (n.astype(amounts.dtype) * q - s * s).astype(float)
@@ -205,38 +220,73 @@ class AnomalyProcessor(_Timed):
         scored = (n >= self.limits.z_min_rows) & (deviation > 0)
         z = np.where(scored, (cents / 100.0 - mean) / np.where(scored, deviation, 1.0), np.nan)
 
-        total = cents0 + np.cumsum(cents)
+        paid = np.concatenate([[0], np.cumsum(cents)])
+        total = (cents0 - paid[first])[part] + paid[1:]
+        place = np.arange(len(now) + 1)
+        of, old = np.repeat(np.arange(len(ids)), [len(t) for t in times]), np.concatenate(times)
+        spikes, rapids = (_within(of, old, np.ones(len(old), np.int64), part, now, place, w) for w in (self.spike, self.rapid))
         yield pd.DataFrame({
-            "customer_id": key[0],
+            "customer_id": customer,
             "id": batch["id"],
             "cents": cents,
             "event_us": now,
-            "total_customer_orders": n0 + np.arange(1, len(now) + 1),
+            "total_customer_orders": (n0 - first)[part] + place[1:],
             "total_cents": total,
-            "spike_count": _within(old, ones, now, new, self.spike),
-            "rapid_count": _within(old, ones, now, new, self.rapid),
+            "spike_count": spikes,
+            "rapid_count": rapids,
             "mean_amount": mean,
             "stddev_amount": np.where(n > 1, deviation, np.nan),
             "z_score": z,
         })
 
         # What lies before the horizon no later event may count.
-        horizon = max(horizon, int(now[-1]) - self.kept)
-        oldest, newest = self.keep(now, new, oldest, newest, horizon)
-        self.totals.update((int(n0 + len(now)), int(total[-1]), oldest, newest, horizon))
-        self._keep_amounts(n0, np.concatenate([old_amounts, cents]), len(cents))
+        horizon = np.maximum(horizon, now[last] - self.kept).tolist()
+        n0, total, fresh = n0.tolist(), total[last].tolist(), set()
+        for k, (c, f, l) in enumerate(zip(ids, first.tolist(), (last + 1).tolist())):
+            fresh.update(buckets[k].add(now[f:l], np.ones(l - f, np.int64), horizon[k]))
+            numbers = buckets[k].state.numbers
+            if numbers:
+                buckets[k].drop(min(numbers), horizon[k])
+            self.totals.updateValue((c,), (n0[k] + l - f, total[k], horizon[k], sorted(numbers)))
+            self._keep_amounts(c, n0[k], np.concatenate([before[k], cents[f:l]]), l - f)
+        if self.timers:
+            for b in sorted(fresh):
+                self.handle.registerTimer(self.buckets.timer(b))
 
-    def _keep_amounts(self, n0: int, amounts: np.ndarray, added: int) -> None:
+    def _times(self, buckets: Buckets, low: int, horizon: int) -> np.ndarray:
+        """A customer's stored order times that its new orders can reach."""
+        numbers = buckets.state.numbers
+        if not numbers:
+            return np.zeros(0, np.int64)
+        oldest, newest = min(numbers), max(numbers)
+        return buckets.read(low, buckets.end(newest), oldest, newest, horizon)[0]
+
+    def _last_amounts(self, customer: int, n0: int) -> np.ndarray:
+        """The stored chunks of a customer that reach z_rows back."""
+        size = self.limits.z_rows
+        chunks = range(max(0, n0 - size) // size, (n0 - 1) // size + 1) if n0 else ()
+        return np.array([x for c in chunks for x in self.amounts.getValue((customer, c))[0]], np.int64)
+
+    def _keep_amounts(self, customer: int, n0: int, amounts: np.ndarray, added: int) -> None:
         """Chunk c holds the amounts of orders c z_rows to (c + 1) z_rows; the last two reach z_rows back."""
         size, n = self.limits.z_rows, n0 + added
         start = n - len(amounts)  # the order number of the first amount at hand
         keep = max(0, n - size) // size
         for c in range(max(keep, n0 // size), (n - 1) // size + 1):
             a, b = max(c * size - start, 0), (c + 1) * size - start
-            self.amounts.updateValue((c,), (amounts[a:b].tolist(),))
+            self.amounts.updateValue((customer, c), (amounts[a:b].tolist(),))
         if n0:
             for c in range(max(0, n0 - size) // size, min(keep, (n0 - 1) // size + 1)):
-                self.amounts.removeKey((c,))
+                self.amounts.removeKey((customer, c))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        bucket = self.buckets.timed_out(expiredTimerInfo.getExpiryTimeInMs())
+        for k in [k for k in self.recent.keys() if k[1] == bucket]:
+            self.recent.removeKey(tuple(k))
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 class InventoryProcessor(StatefulProcessor):
@@ -262,10 +312,8 @@ class InventoryProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _batch(rows, ["product_id", "event_us", "kind", *self.ties])
         product, now, qty, given = (batch[c].astype(np.int64) for c in ("product_id", "event_us", "qty", "set"))
-        is_set, n = batch["kind"] == 0, len(now)
-        # The rows of a product are neighbours: number, first row and last row of each product's part.
-        first = np.flatnonzero(np.concatenate([[True], product[1:] != product[:-1]]))
-        last, part = np.append(first[1:], n) - 1, np.cumsum(np.isin(np.arange(n), first)) - 1
+        is_set = batch["kind"] == 0
+        first, last, part = _parts(product)
         begin, ids = first[part], product[first].tolist()
         met = [self.stock.getValue((p,)) for p in ids] if self.stock.exists() else [None] * len(ids)
         seen = [tuple(m) if m is not None else (False, None, NONE, 0, NONE, NONE, NONE, []) for m in met]
@@ -297,7 +345,7 @@ class InventoryProcessor(StatefulProcessor):
             "name": names,
             "price_cents": prices,
             "current_stock": after,
-            "units": self._units(held, horizon, part, begin, now, total),
+            "units": self._units(held, horizon, part, now, total),
             "sale_us": sales,
             "restock_us": restocks,
         })
@@ -337,26 +385,14 @@ class InventoryProcessor(StatefulProcessor):
                     found[k, day] = tuple(value)
         return found
 
-    def _units(self, held: dict, horizon: np.ndarray, part: np.ndarray, begin: np.ndarray, now: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Per row: units of its product that arrived up to it and were sold after its time less the window (as ``_within``)."""
+    def _units(self, held: dict, horizon: np.ndarray, part: np.ndarray, now: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Per row: units of its product that arrived up to it and were sold after its time less the window."""
         none = np.zeros(0, np.int64)
         of = np.concatenate([none, *[np.full(len(t), k) for (k, _), (t, _) in held.items()]])
         times = np.concatenate([none, *[np.asarray(t, np.int64) for t, _ in held.values()]])
         amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in held.values()]])
         there = times > horizon[of]
-        of, times, amounts = of[there], times[there], amounts[there]
-        edge = now - self.kept
-        # A product's number and the rank of a time as one number.
-        moments = np.unique(np.concatenate([now, edge, times]))
-        size = len(moments)
-        place, edges = (part * size + np.searchsorted(moments, t) for t in (now, edge))
-        units = total[1:] - total[np.searchsorted(place, edges, side="right")]
-        if len(of):
-            old = of * size + np.searchsorted(moments, times)
-            at = np.argsort(old, kind="stable")
-            old, run = old[at], np.concatenate([[0], np.cumsum(amounts[at])])
-            units += run[np.searchsorted(old, (part + 1) * size, side="left")] - run[np.searchsorted(old, edges, side="right")]
-        return units
+        return _within(of[there], times[there], amounts[there], part, now, total, self.kept)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         day = ((expiredTimerInfo.getExpiryTimeInMs() - 1) * _MILLI - self.kept) // self.width - 1
