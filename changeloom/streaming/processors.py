@@ -170,13 +170,16 @@ def _exact(amounts: np.ndarray, rows: int) -> np.ndarray:
 
 
 class AnomalyProcessor(StatefulProcessor):
-    """State per customer, kept by shard: totals, order times by the hour, last amounts in chunks, all in cents.
+    """State per customer, kept by shard: totals, last amounts in cents, and recent order times.
 
     A group is a shard of customers, whose rows are worked on together: a group costs some milliseconds a micro-batch, whatever it
-    holds.  Its map states have an entry per customer, per customer and hour, and per customer and chunk.  With ``timers`` an hour
-    leaves its shard by an event-time timer.
+    holds, and each call to the state a third of one.  A customer has one row, which holds up to ``FEW`` order times; where there
+    are more, times lie in buckets of an hour, an entry each.  With ``timers`` all lie there, and an hour leaves its shard by
+    an event-time timer.
     """
 
+    FEW = 64
+
     def __init__(self, limits: Limits = Limits(), timers: bool = False):
         self.limits, self.timers = limits, timers
         self.spike = self.width = duration_micros(limits.spike_window)
@@ -185,9 +188,11 @@ class AnomalyProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getMapState("totals", "customer_id bigint", "n bigint, cents bigint, horizon bigint, buckets array<bigint>")
+        self.amounts = handle.getMapState(
+            "amounts", "customer_id bigint",
+            "n bigint, total bigint, horizon bigint, cents array<bigint>, times array<bigint>, buckets array<bigint>",
+        )
         self.recent = handle.getMapState("recent", "customer_id bigint, bucket bigint", "times array<bigint>, amounts array<bigint>")
-        self.amounts = handle.getMapState("amounts", "customer_id bigint, chunk bigint", "cents array<bigint>")
         self.buckets = Buckets(self.recent, self.width, self.kept)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -195,21 +200,22 @@ class AnomalyProcessor(StatefulProcessor):
         customer, now, cents = (batch[c].astype(np.int64) for c in ("customer_id", "event_us", "cents"))
         first, last, part = _parts(customer)
         ids, size = customer[first].tolist(), self.limits.z_rows
-        known = [tuple(self.totals.getValue((c,)) or (0, 0, NONE, ())) for c in ids]
-        n0, cents0, horizon = (np.array([k[f] for k in known], np.int64) for f in range(3))
-        buckets = [Buckets(_Share(self.recent, c, k[3]), self.width, self.kept) for c, k in zip(ids, known)]
+        met = [tuple(self.amounts.getValue((c,)) or (0, 0, NONE, (), (), ())) for c in ids]
+        n0, total0, horizon = (np.array([m[f] for m in met], np.int64) for f in range(3))
+        buckets = {k: self._of(ids[k], m[5]) for k, m in enumerate(met) if m[5]}
         since = (now[first] - max(self.spike, self.rapid)).tolist()
-        times = [self._times(b, low, k[2]) for b, low, k in zip(buckets, since, known)]
-        before = [self._last_amounts(c, k[0]) for c, k in zip(ids, known)]
+        times = [self._times(buckets[k], since[k], m[2]) if k in buckets else m[4] for k, m in enumerate(met)]
 
         # Exact integer sums over the last rows of a customer, as differences of running totals.
-        pieces = [p for b, f, l in zip(before, first.tolist(), last.tolist()) for p in (b[-size:], cents[f:l + 1])]
-        amounts = _exact(np.concatenate(pieces), size)
+        stored = np.array([len(m[3]) for m in met])
+        shift, place = np.cumsum(stored), np.arange(len(now) + 1)
+        end = place[1:] + shift[part]
+        amounts = np.zeros(len(now) + shift[-1], np.int64)
+        amounts[end - 1] = cents
+        amounts[np.delete(np.arange(len(amounts)), end - 1)] = [x for m in met for x in m[3]]
+        amounts = _exact(amounts, size)
         run = np.concatenate([[0], np.cumsum(amounts)])
         squares = np.concatenate([[0], np.cumsum(amounts * amounts)])
-        stored = np.array([min(len(b), size) for b in before])
-        shift = np.cumsum(stored)
-        end = np.arange(1, len(now) + 1) + shift[part]
         begin = np.maximum((first + shift - stored)[part], end - size)
         n = end - begin
         s, q = run[end] - run[begin], squares[end] - squares[begin]
@@ -221,9 +227,8 @@ class AnomalyProcessor(StatefulProcessor):
         z = np.where(scored, (cents / 100.0 - mean) / np.where(scored, deviation, 1.0), np.nan)
 
         paid = np.concatenate([[0], np.cumsum(cents)])
-        total = (cents0 - paid[first])[part] + paid[1:]
-        place = np.arange(len(now) + 1)
-        of, old = np.repeat(np.arange(len(ids)), [len(t) for t in times]), np.concatenate(times)
+        total = (total0 - paid[first])[part] + paid[1:]
+        of, old = np.repeat(np.arange(len(ids)), [len(t) for t in times]), np.array([t for ts in times for t in ts], np.int64)
         spikes, rapids = (_within(of, old, np.ones(len(old), np.int64), part, now, place, w) for w in (self.spike, self.rapid))
         yield pd.DataFrame({
             "customer_id": customer,
@@ -241,43 +246,27 @@ class AnomalyProcessor(StatefulProcessor):
 
         # What lies before the horizon no later event may count.
         horizon = np.maximum(horizon, now[last] - self.kept).tolist()
-        n0, total, fresh = n0.tolist(), total[last].tolist(), set()
+        counts, total, now, cents, fresh = (n0 + last + 1 - first).tolist(), total[last].tolist(), now.tolist(), cents.tolist(), set()
         for k, (c, f, l) in enumerate(zip(ids, first.tolist(), (last + 1).tolist())):
-            fresh.update(buckets[k].add(now[f:l], np.ones(l - f, np.int64), horizon[k]))
-            numbers = buckets[k].state.numbers
-            if numbers:
-                buckets[k].drop(min(numbers), horizon[k])
-            self.totals.updateValue((c,), (n0[k] + l - f, total[k], horizon[k], sorted(numbers)))
-            self._keep_amounts(c, n0[k], np.concatenate([before[k], cents[f:l]]), l - f)
+            kept, numbers = [t for t in (*met[k][4], *now[f:l]) if t > horizon[k]], []
+            if self.timers or k in buckets or len(kept) > self.FEW:
+                own = buckets.get(k) or self._of(c, ())
+                fresh.update(own.add(np.array(kept, np.int64), np.ones(len(kept), np.int64), horizon[k]))
+                if own.state.numbers:
+                    own.drop(min(own.state.numbers), horizon[k])
+                kept, numbers = [], sorted(own.state.numbers)
+            self.amounts.updateValue((c,), (counts[k], total[k], horizon[k], [*met[k][3], *cents[f:l]][-size:], kept, numbers))
         if self.timers:
             for b in sorted(fresh):
                 self.handle.registerTimer(self.buckets.timer(b))
 
-    def _times(self, buckets: Buckets, low: int, horizon: int) -> np.ndarray:
-        """A customer's stored order times that its new orders can reach."""
-        numbers = buckets.state.numbers
-        if not numbers:
-            return np.zeros(0, np.int64)
-        oldest, newest = min(numbers), max(numbers)
-        return buckets.read(low, buckets.end(newest), oldest, newest, horizon)[0]
-
-    def _last_amounts(self, customer: int, n0: int) -> np.ndarray:
-        """The stored chunks of a customer that reach z_rows back."""
-        size = self.limits.z_rows
-        chunks = range(max(0, n0 - size) // size, (n0 - 1) // size + 1) if n0 else ()
-        return np.array([x for c in chunks for x in self.amounts.getValue((customer, c))[0]], np.int64)
-
-    def _keep_amounts(self, customer: int, n0: int, amounts: np.ndarray, added: int) -> None:
-        """Chunk c holds the amounts of orders c z_rows to (c + 1) z_rows; the last two reach z_rows back."""
-        size, n = self.limits.z_rows, n0 + added
-        start = n - len(amounts)  # the order number of the first amount at hand
-        keep = max(0, n - size) // size
-        for c in range(max(keep, n0 // size), (n - 1) // size + 1):
-            a, b = max(c * size - start, 0), (c + 1) * size - start
-            self.amounts.updateValue((customer, c), (amounts[a:b].tolist(),))
-        if n0:
-            for c in range(max(0, n0 - size) // size, min(keep, (n0 - 1) // size + 1)):
-                self.amounts.removeKey((customer, c))
+    def _of(self, customer: int, numbers: Sequence[int]) -> Buckets:
+        return Buckets(_Share(self.recent, customer, numbers), self.width, self.kept)
+
+    def _times(self, buckets: Buckets, low: int, horizon: int) -> list[int]:
+        """Order times in a customer's buckets that its new orders can reach."""
+        oldest, newest = min(buckets.state.numbers), max(buckets.state.numbers)
+        return buckets.read(low, buckets.end(newest), oldest, newest, horizon)[0].tolist()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         bucket = self.buckets.timed_out(expiredTimerInfo.getExpiryTimeInMs())

@@ -34,12 +34,14 @@ def one_by_one(batches, size, spike, rapid, kept):
     return out
 
 
+@pytest.mark.parametrize("timers, few", [(True, 64), (False, 64), (False, 5), (False, 0)])
 @pytest.mark.parametrize("top", [10**4, 10**12])  # the second needs more than 64 bits for its squares
-def test_shards_against_a_loop(top):
+def test_shards_against_a_loop(top, timers, few, monkeypatch):
+    monkeypatch.setattr(AnomalyProcessor, "FEW", few)
     rng = np.random.default_rng(11)
     for _ in range(60):
         size, days = int(rng.integers(1, 8)), int(rng.integers(1, 4))
-        p = AnomalyProcessor(Limits(z_rows=size, kept=f"{days} days", rapid_window="2 hours"), timers=True)
+        p = AnomalyProcessor(Limits(z_rows=size, kept=f"{days} days", rapid_window="2 hours"), timers=timers)
         p.init(Handle())
         batches, got, tie = [], [], 0
         for _ in range(int(rng.integers(1, 7))):
@@ -60,6 +62,22 @@ def test_shards_against_a_loop(top):
             assert math.isnan(deviation) if w[9] is None else deviation == pytest.approx(w[9], rel=1e-9, abs=1e-9)
 
 
+def test_a_sparse_customer_is_one_row():
+    """Calls to the state cost more than all else: one to read and one to write a customer."""
+    handle, p = Handle(), AnomalyProcessor(Limits(kept="10 days"))
+    p.init(handle)
+    for batch in range(3):
+        frame = pd.DataFrame([(c, batch * 20 * HOUR + h * HOUR, h, 5) for c in range(50) for h in range(20)], columns=["customer_id", "event_us", "id", "cents"])
+        list(p.handleInputRows((3,), iter([frame]), None))
+    assert sum(m.writes for m in handle.maps.values()) == 3 * 50
+    # A busy customer has buckets: only those with new orders are written.
+    for batch in range(3):
+        handle.maps["recent"].writes = 0
+        frame = pd.DataFrame([(7, (60 + batch) * HOUR + h, h, 5) for h in range(100)], columns=["customer_id", "event_us", "id", "cents"])
+        counts = list(p.handleInputRows((3,), iter([frame]), None))[0]["spike_count"].tolist()
+        assert counts[-1] == 100 and (not batch or handle.maps["recent"].writes == 1)
+
+
 def test_a_group_holds_many_customers(spark, tmp_path):
     """Every group costs a fixed time, so their number must not grow with the customers."""
     for n in range(2):  # two micro-batches
