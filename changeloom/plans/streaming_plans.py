@@ -364,12 +364,15 @@ def _stream_order_items(spark, sf):
     sides = {"o": fixtures.orders(spark, sf).select("id", "event_ts"), "i": _shipped(spark, sf)}
     by = {"o": "id", "i": "product_id"}
     root, state, out = (scratch_path(spark, f"order-items-{n}") for n in ("input", "state", "output"))
+    partitions = 4 * spark.sparkContext.defaultParallelism
     for part in (1, 2, 3):
         for name, rows in sides.items():
             rows.withColumn("part", F.expr(_PARTS.format(by[name]))).filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/{name}")
         streams = [spark.readStream.schema(rows.schema).parquet(f"{root}/{name}") for name, rows in sides.items()]
-        running = joins.start_joined(joins.order_item_stream(*streams, "60 days", "36 hours"), state, out)
+        joined = joins.order_item_stream(*streams, "60 days", "36 hours")
+        running = joins.start_joined(joined, state, out, partitions=partitions, one_store=True)
         running.awaitTermination()
     kinds = "order_id bigint, order_ts timestamp, item_id string, item_ts timestamp"
-    found = joins.account(sides["o"], sides["i"], spark.read.schema(kinds).parquet(out), "60 days", joins.watermark_of(running))
+    stored = [spark.read.schema(rows.schema).parquet(f"{root}/{name}") for name, rows in sides.items()]  # ids are made once
+    found = joins.account(*stored, spark.read.schema(kinds).parquet(out), "60 days", joins.watermark_of(running))
     return found.groupBy("side", "outcome").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))

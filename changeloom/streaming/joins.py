@@ -17,6 +17,10 @@ from .pipelines import WATERMARK, start, with_event_time
 
 #: Whether a state store counts its rows, which costs a read before every write.
 COUNTED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+#: The layout of a join's state; 3 keeps a partition's four tables in one store, where 2 has a store each to load and commit.
+LAYOUT = "spark.sql.streaming.join.stateFormatVersion"
+#: A new checkpoint has as many partitions of state as this session setting says.
+PARTITIONS = "spark.sql.shuffle.partitions"
 MATCHED, UNMATCHED, OPEN, LATE = "matched", "unmatched", "open", "late"
 
 
@@ -33,19 +37,27 @@ def order_item_stream(orders: DataFrame, items: DataFrame, reach: str, delay: st
     return o.join(i, (F.col("order_id") == F.col("of_order")) & near, "full").select("order_id", "order_ts", "item_id", "item_ts")
 
 
-def start_joined(joined: DataFrame, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
+def start_joined(
+    joined: DataFrame, checkpoint: str, path: str, trigger: dict | None = None, partitions: int | None = None, one_store: bool = False,
+) -> StreamingQuery:
     """Start a joined stream into parquet files.
 
     Every row of both sides is a state row here, so the state's rows are not counted: ``numRowsTotal`` of the query's progress is 0.
-    The session's own setting stays as it is.
+    Loading and committing a store costs tenths of a second a micro-batch, whatever it holds: a new checkpoint has ``partitions`` of state
+    at most, with ``one_store`` instead of four each, which needs RocksDB.  The session's own settings stay as they are.
     """
     conf = joined.sparkSession.conf
-    before = conf.get(COUNTED, None)
-    conf.set(COUNTED, "false")
+    wanted = {COUNTED: "false"} | ({LAYOUT: "3"} if one_store else {})
+    if partitions is not None:
+        wanted[PARTITIONS] = str(min(partitions, int(conf.get(PARTITIONS))))
+    before = {name: conf.get(name, None) for name in wanted}
     try:
+        for name, value in wanted.items():
+            conf.set(name, value)
         return start(joined, checkpoint, path=path, trigger=trigger)  # a query keeps the settings it is started with
     finally:
-        conf.unset(COUNTED) if before is None else conf.set(COUNTED, before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def watermark_of(query: StreamingQuery) -> datetime | None:
