@@ -59,7 +59,13 @@ def _parts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(key)) - 1, np.cumsum(opens) - 1
 
 
-def _within(
+def _within(old: np.ndarray, amounts: np.ndarray, now: np.ndarray, added: np.ndarray, width: int) -> np.ndarray:
+    """``_within_parts`` for the rows of one key, whose amounts are ``added``."""
+    none = np.zeros(len(old), np.int64), np.zeros(len(now), np.int64)
+    return _within_parts(none[0], old, amounts, none[1], now, np.concatenate([[0], np.cumsum(added)]), width)
+
+
+def _within_parts(
     of: np.ndarray, old: np.ndarray, amounts: np.ndarray, part: np.ndarray, now: np.ndarray, total: np.ndarray, width: int,
 ) -> np.ndarray:
     """Per new row: the sum of its key's amounts that arrived up to it and lie after its time less ``width``.
@@ -229,7 +235,7 @@ class AnomalyProcessor(StatefulProcessor):
         paid = np.concatenate([[0], np.cumsum(cents)])
         total = (total0 - paid[first])[part] + paid[1:]
         of, old = np.repeat(np.arange(len(ids)), [len(t) for t in times]), np.array([t for ts in times for t in ts], np.int64)
-        spikes, rapids = (_within(of, old, np.ones(len(old), np.int64), part, now, place, w) for w in (self.spike, self.rapid))
+        spikes, rapids = (_within_parts(of, old, np.ones(len(old), np.int64), part, now, place, w) for w in (self.spike, self.rapid))
         yield pd.DataFrame({
             "customer_id": customer,
             "id": batch["id"],
@@ -381,7 +387,7 @@ class InventoryProcessor(StatefulProcessor):
         times = np.concatenate([none, *[np.asarray(t, np.int64) for t, _ in held.values()]])
         amounts = np.concatenate([none, *[np.asarray(a, np.int64) for _, a in held.values()]])
         there = times > horizon[of]
-        return _within(of[there], times[there], amounts[there], part, now, total, self.kept)
+        return _within_parts(of[there], times[there], amounts[there], part, now, total, self.kept)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         day = ((expiredTimerInfo.getExpiryTimeInMs() - 1) * _MILLI - self.kept) // self.width - 1
